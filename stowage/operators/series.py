@@ -33,7 +33,7 @@ def days_between(bounds: DataFrame, first: str, last: str, name: str = "date") -
 def month_ends(bounds: DataFrame, first: str, last: str, name: str = "month_end") -> DataFrame:
     """The last day of every month that the range touches."""
     months = F.sequence(F.trunc(first, "MM"), F.trunc(last, "MM"), F.expr("interval 1 month"))
-    return bounds.select(F.last_day(F.explode(months)).alias(name))
+    return bounds.select(F.explode(F.transform(months, F.last_day)).alias(name))
 
 
 def resample_months(df: DataFrame, on: str, sums: Sequence[str], lasts: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stowage.functions.dates import days_in_month, in_range, month_of
-from stowage.functions.numbers import MEASURE, change_percent, clip_near_zero, percent, ratio, round2
+from stowage.functions.numbers import MEASURE, change_percent, clip_near_zero, ratio, round2
 from stowage.operators.series import clamped_level, resample_months, with_previous
 from stowage.operators.totals import shares
 

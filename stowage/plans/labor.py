@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stowage.functions.dates import at_time, hours_between, in_range, is_sunday, month_of
 from stowage.functions.numbers import MEASURE, measure, percent, round2, total
-from stowage.functions.text import blank_to, norm
+from stowage.functions.text import blank_to
 from stowage.operators.intervals import islands
 from stowage.operators.series import change_within_key
 
@@ -162,7 +162,7 @@ def labor_operations_warehouse(tasks: DataFrame, start=None, end=None) -> Wareho
     """
     rows = tasks.filter(in_range(F.col("fecha"), start, end))
     worked = F.col("day_hours") + F.col("night_hours")
-    rows = rows.withColumns({"worked_hours": worked, "billable_hours": F.ceil(worked), "client": norm(F.col("client"))})
+    rows = rows.withColumns({"worked_hours": worked, "billable_hours": F.ceil(worked)})
     elapsed = F.unix_seconds("end") - F.unix_seconds("start")
     rows = rows.withColumn("task_hours", F.coalesce(F.greatest(elapsed, F.lit(0)), F.lit(0)) / 3600)
     per_operation = (
@@ -188,8 +188,8 @@ def labor_operations_warehouse(tasks: DataFrame, start=None, end=None) -> Wareho
     return WarehouseOperations(
         per_operation.drop("person_hours", "first_start", "last_end"),
         spans,
-        per_operation.select(*OPERATION, "client", "people", "person_hours", "paid"),
-        rows.orderBy(F.desc("fecha"), F.desc("bodega")),
+        per_operation.select(*OPERATION, F.upper("client").alias("client"), "people", "person_hours", "paid"),
+        rows.withColumn("client", F.upper("client")).orderBy(F.desc("fecha"), F.desc("bodega")),
         _by_worker(rows, "adjusted_hours", "adjusted_cost"),
     )
 
