@@ -201,7 +201,7 @@ CTES |= {
     "b_inflow": f"""select idingreso, idmodelo, max(fecha) as received, max(descrip) as description, sum(inicial) as cbm,
         min(pallets_final) as pallets, sum(pesokgs) as units, first(bodega order by fecha desc, itemno desc) as warehouse
       from b_in where fecha between '{START}' and '{END}' group by idingreso, idmodelo""",
-    "b_out": """select f.* replace (lpad(ltrim(f.idingreso, '0'), 10, '0') as idingreso), m.mode_count, count(*) over (partition by trannum, f.idmodelo) as num_rows,
+    "b_out": """select f.* replace (lpad(ltrim(f.idingreso, '0'), 10, '0') as idingreso), m.mode_count, case when f.idmodelo is not null then count(*) over (partition by trannum, f.idmodelo) end as num_rows,
         abs(date_diff('day', arrived, f.fecha)) + 1 as days, coalesce(r.descrip, 'Unknown') as descrip, c.descrip as client
       from o_fact f left join b_fills m on f.idmodelo = m.idmodelo
         left join v_receipts r on f.idingreso = r.idingreso

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,38 +49,46 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@lru_cache(maxsize=16)
 def cleaned(spark, sf):
     return cleaning.clean(tables(spark, sf))
 
 
+@lru_cache(maxsize=16)
 def screened(spark, sf):
     return screening.screen(cleaned(spark, sf))
 
 
+@lru_cache(maxsize=16)
 def received(spark, sf):
     t = screened(spark, sf)
     return flows.monthly_receipts(t.receipts, t.clients, t.stock_all, t.order_lines_out)
 
 
+@lru_cache(maxsize=16)
 def shipped(spark, sf, **options):
     t = screened(spark, sf)
     return flows.monthly_dispatches(t.dispatches, t.dispatched_stock, t.clients, **options)
 
 
+@lru_cache(maxsize=16)
 def completed_stock(spark, sf):
     t = screened(spark, sf)
     return t, stock.complete_volume(t.stock, view(spark, sf, "product_volume"))
 
 
+@lru_cache(maxsize=16)
 def stock_fact(spark, sf):
     t, full = completed_stock(spark, sf)
     return stock.stock_by_warehouse(full, view(spark, sf, "product_volume"), t.clients).fact
 
 
+@lru_cache(maxsize=16)
 def fills(spark, sf):
     return billing.mode_with_override(billing.pallet_mode(stock_fact(spark, sf)), view(spark, sf, "pallet_override"))
 
 
+@lru_cache(maxsize=16)
 def simple_flows(spark, sf):
     return inventory.flow_rows(view(spark, sf, "received_rows"), view(spark, sf, "shipped_rows"))
 
@@ -449,6 +457,7 @@ def billing_stock(spark, sf):
     return billing.billing_stock(stock_fact(spark, sf), AS_OF)
 
 
+@lru_cache(maxsize=16)
 def outflow_lines(spark, sf):
     t = cleaned(spark, sf)
     clients = flows.padded(t.clients, "idcontacto", 8)
@@ -516,19 +525,23 @@ def undescribed_receipts(spark, sf):
 # ---- labour --------------------------------------------------------------------------------------
 
 
+@lru_cache(maxsize=16)
 def tasks(spark, sf):
     """Labour rows; a start and end are stored times here, so only names and types are due."""
     return view(spark, sf, "labor_tasks").withColumns({c: F.col(c).cast("timestamp") for c in ("start", "end")})
 
 
+@lru_cache(maxsize=16)
 def costed(spark, sf):
     return labor.labor_cost(tasks(spark, sf), view(spark, sf, "wages"))
 
 
+@lru_cache(maxsize=16)
 def adjusted(spark, sf):
     return labor.labor_overlap_adjust(costed(spark, sf))
 
 
+@lru_cache(maxsize=16)
 def margin(spark, sf):
     operations = labor.labor_operations_warehouse(adjusted(spark, sf)).operations
     return labor.labor_margin(operations, view(spark, sf, "overtime_tariffs"), 2024)

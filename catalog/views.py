@@ -6,6 +6,8 @@ from value rules; every row of the driver's tables is used.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stowage.tables import Tables
@@ -172,16 +174,22 @@ def text(name: str) -> str:
     return VIEWS[name].format(**{t: t for t in BASE})
 
 
+# Plans, not data, are remembered here: reading a table's schema costs a file access each time.
+
+
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=256)
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = VIEWS[name]
     used = {t: table(spark, sf_dir, t) for t in BASE if "{" + t + "}" in sql}
     return spark.sql(sql.replace('"end"', "end"), **used)
 
 
+@lru_cache(maxsize=16)
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     names = [
         "asn_headers", "orders_out", "order_lines_out", "receipts", "dispatches", "dispatch_headers", "stock",

@@ -43,8 +43,8 @@ def positive_part(c: Column) -> Column:
 
 
 def round2(c: Column) -> Column:
-    """Two decimals, halves to the even digit."""
-    return F.bround(c, 2)
+    """Two decimals, halves to the even digit, rounded on the scaled double as numpy does."""
+    return F.rint(c.cast("double") * 100) / 100
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -28,7 +28,8 @@ def receipt_of(product_id: Column) -> Column:
 
 def zero_pad(c: Column, width: Column | int) -> Column:
     """Left-pad with zeros, leaving longer text alone (``lpad`` alone would cut it)."""
-    return F.when(F.length(c) < width, F.lpad(c, width, F.lit("0"))).otherwise(c)
+    width = width if isinstance(width, Column) else F.lit(width)
+    return F.lpad(c, F.greatest(width, F.length(c)), F.lit("0"))
 
 
 def ten_digit_receipt(c: Column) -> Column:

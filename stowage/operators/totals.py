@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,6 @@ def shares(df: DataFrame, columns: Sequence[str], suffix: str = "_pct") -> DataF
 
 
 def widest(*columns: tuple[DataFrame, str]) -> Column:
-    """Longest text in any of the given columns, as a scalar subquery."""
-    longest = [df.agg(F.max(F.length(name))).scalar() for df, name in columns]
-    return longest[0] if len(longest) == 1 else F.greatest(*longest)
+    """Longest text in any of the given columns, as one scalar subquery."""
+    lengths = [df.select(F.length(name).alias("n")) for df, name in columns]
+    return reduce(DataFrame.union, lengths).agg(F.max("n")).scalar()
