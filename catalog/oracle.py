@@ -206,17 +206,17 @@ CTES |= {
       from o_fact f left join b_fills m on f.idmodelo = m.idmodelo
         left join v_receipts r on f.idingreso = r.idingreso
         left join r_clients c on f.idcontacto = c.idcontacto""",
-    "b_outflow": f"""select trannum, idmodelo, arg_min(arrived, fecha) as arrival_date, max(fecha) as shipping_date,
-        round_even(avg(days), 2) as days, first(descrip order by fecha desc, idingreso desc, itemno desc) as description,
-        first(idcontacto order by fecha desc, idingreso desc, itemno desc) as idcontacto,
-        first(client order by fecha desc, idingreso desc, itemno desc) filter (client is not null) as client,
+    "b_outflow": f"""select trannum, idmodelo, first(arrived order by fecha, arrived) filter (arrived is not null) as arrival_date, max(fecha) as shipping_date,
+        round_even(avg(days), 2) as days, first(descrip order by fecha desc, idingreso desc) as description,
+        first(idcontacto order by fecha desc, idcontacto desc) as idcontacto,
+        first(client order by fecha desc, client desc) filter (client is not null) as client,
         sum(cantidad) as cbm, max(ceil(num_rows / coalesce(mode_count, 1))) as pallets, coalesce(sum(pesokgs), 0) as units,
-        first(bodega order by fecha desc, idingreso desc, itemno desc) as warehouse
+        first(bodega order by fecha desc, bodega desc) as warehouse
       from b_out where idmodelo is not null and trannum is not null and fecha between '{START}' and '{END}'
       group by trannum, idmodelo""",
     # One row per tag; untagged rows are numbered, newest first, and sort before tags.
     "b_rows": f"""select *, idingreso || itemno as dup_key,
-        row_number() over (order by {desc('fecha', 'idingreso', 'itemno', 'idubica', 'inicial', 'pesokgs')}) as pos from k_fact""",
+        row_number() over (order by {desc('fecha', 'idingreso', 'itemno', 'idubica', 'idcontacto', 'bodega')}) as pos from k_fact""",
     "b_pallets": """select case when idubica1 like 'TA%' then idubica1 else '' end as tag,
         case when idubica1 like 'TA%' then 0 else pos end as own,
         first(idingreso order by pos) as idingreso, last(itemno order by pos) as itemno, first(dup_key order by pos) as label,
@@ -375,7 +375,7 @@ oracle("fill_unknown_counts", """select count(only_one) as replaced, count(*) -
 
 VERSION = ["fecha", "items", "transtatus", "descrip", "idcontacto", "retnum"]
 oracle("first_per_receipt", f"""select idingreso, {ts('fecha')}, items, transtatus, descrip, idcontacto, retnum from (select idingreso,
-  {', '.join(f'first({c} order by {desc(*VERSION)}) filter ({c} is not null) as {c}' for c in VERSION)}
+  {', '.join(f"first({c} order by {desc('fecha', c)}) filter ({c} is not null) as {c}" for c in VERSION)}
   from v_receipt_versions group by idingreso)""")
 oracle("latest_item_per_key", f"""select idingreso, itemno, {ts('fecha')}, idstatus, idmodelo, idubica, {n('inicial')} from (select *,
   row_number() over (partition by idingreso || itemno order by {desc('fecha')}, {TIE}) as k from v_stock) where k = 1""")
@@ -403,7 +403,7 @@ oracle("period_by_warehouse", " union all ".join(
 
 def by_product(keys: str, columns: str, more: str) -> str:
     return f"""select {columns}, {i('pallets')}, {n('units', 'cbm')}, {more} from (
-      select {keys}, first(idcoldis order by {desc('fecha')}, {TIE}) as model, sum(inicial) as cbm, sum(pesokgs) as units,
+      select {keys}, first(idcoldis order by {desc('fecha', 'idcoldis')}) as model, sum(inicial) as cbm, sum(pesokgs) as units,
         count(itemno) as pallets from (select *, cast(fecha as date) as date from k_once) group by {keys})"""
 
 
@@ -471,7 +471,7 @@ CTES |= {
         sum(paid_u) as paid_u, sum(adj_u) as adj_u, min("start") as first_start, max("end") as last_end
       from t_adj group by fecha, idcontacto, bodega""",
     "t_priced": """select o.*, cast(t.hour_price * billable_hours as double) as gross,
-        cast(cast(t.hour_price * billable_hours as decimal(18,4)) - cast(paid_u as decimal(18,4)) / 10000 as double) as net
+        cast(cast(t.hour_price * billable_hours * 10000 as bigint) - paid_u as double) / 10000 as net
       from t_ops o left join v_overtime_tariffs t on o.idcontacto = t.idcontacto where year(fecha) = 2024""",
     "t_routes": """select fecha, client, route, count(codigo) as people, max(day_hours) as day_hours, max(night_hours) as night_hours,
         max(total_hours) as total_hours, cast(sum(total_cost) as double) as paid from t_rows group by fecha, client, route""",

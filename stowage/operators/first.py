@@ -12,13 +12,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest: str, tie: Sequenc
     """Keep the newest row of each key; ties go to the largest ``tie`` columns (default: all others).
 
     Spark turns the rank filter into a group limit on both sides of the shuffle, so every task
-    sends at most one row per key and a hot key is thinned before it travels.
+    sends at most one row per key and a hot key is thinned before it travels. A hash of the key
+    leads the sort, because comparing one number is cheaper than comparing text.
     """
     if tie is None:
         tie = [c for c in df.columns if c not in {*keys, newest}]
     order = [F.col(c).desc_nulls_last() for c in (newest, *tie)]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    hashed = df.withColumn("_hash", F.xxhash64(*keys))
+    rank = F.row_number().over(Window.partitionBy("_hash", *keys).orderBy(*order))
+    return hashed.withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "_hash")
 
 
 def latest_per_item(df: DataFrame, receipt: str, item: str, newest: str, tie: Sequence[str] | None = None) -> DataFrame:
@@ -30,13 +32,18 @@ def latest_per_item(df: DataFrame, receipt: str, item: str, newest: str, tie: Se
     return latest_per_key(keyed, ["_k1", "_k2"], newest, tie).drop("_k1", "_k2")
 
 
-def known_at_max(value: Column | str, order: Column) -> Column:
-    """Aggregate: the non-null value with the largest ordering value."""
+def _ordered(value: Column | str, order: Sequence[Column | str]) -> Column:
     value = F.col(value) if isinstance(value, str) else value
-    return F.max_by(value, F.when(value.isNotNull(), order))
+    fields = [(F.col(o) if isinstance(o, str) else o).alias(f"o{k}") for k, o in enumerate(order)]
+    # The value closes its own ordering key: ties are settled and only one small struct travels.
+    return F.when(value.isNotNull(), F.struct(*fields, value.alias("value")))
 
 
-def known_at_min(value: Column | str, order: Column) -> Column:
-    """Aggregate: the non-null value with the smallest ordering value."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.min_by(value, F.when(value.isNotNull(), order))
+def newest(value: Column | str, *order: Column | str) -> Column:
+    """Aggregate: the non-null value with the largest order; among equals the largest value."""
+    return F.max(_ordered(value, order)).getField("value")
+
+
+def oldest(value: Column | str, *order: Column | str) -> Column:
+    """Aggregate: the non-null value with the smallest order; among equals the smallest value."""
+    return F.min(_ordered(value, order)).getField("value")

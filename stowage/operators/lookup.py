@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,6 +38,20 @@ def fill_from_unique(
     )
 
 
+def fill_within_key(df: DataFrame, key: str, value: str, unknown: str) -> DataFrame:
+    """``fill_from_unique`` for a pre-aggregated table that holds few rows per key.
+
+    One window instead of a second pass over the table; only for tables whose rows per key are
+    bounded, such as totals per month and warehouse.
+    """
+    of_key = Window.partitionBy(key)
+    known = F.when(~F.col(value).eqNullSafe(F.lit(unknown)), F.col(value))
+    low, high = F.min(known).over(of_key), F.max(known).over(of_key)
+    gaps = F.count_if(F.col(value).isNull()).over(of_key)
+    alone = F.col(key).isNotNull() & (low == high) & (gaps == 0)
+    return df.withColumn(value, F.when((F.col(value) == unknown) & alone, low).otherwise(F.col(value)))
+
+
 def attach_totals(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame:
     """Aggregates of each key, added to its rows; rows with a null key get nulls.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stowage.functions.dates import age_days, dwell_days, in_range
 from stowage.functions.numbers import measure, pallets_for, positive_part, round2, tally, total
 from stowage.functions.text import item_key, pallet_tag, ten_digit_receipt
-from stowage.operators.first import known_at_max, known_at_min, latest_per_key
+from stowage.operators.first import latest_per_key, newest, oldest
 from stowage.operators.lookup import attach_totals
 
 UNKNOWN_TEXT = "Unknown"
@@ -59,7 +59,6 @@ def billing_inflow(receipts_fact: DataFrame, mode: DataFrame, start=None, end=No
     zero. One grouped pass; the fill lookup joins on the finished lines.
     """
     inside = in_range(F.col("fecha"), start, end)
-    newest = F.struct("fecha", "itemno")
     lines = (
         receipts_fact.dropna(subset=["idingreso", "idmodelo"])
         .groupBy("idingreso", "idmodelo")
@@ -68,10 +67,10 @@ def billing_inflow(receipts_fact: DataFrame, mode: DataFrame, start=None, end=No
             _splits().alias("splits"),
             tally(inside).alias("_inside"),
             F.max(F.when(inside, F.col("fecha"))).alias("received"),
-            known_at_max(F.when(inside, F.col("descrip")), newest).alias("description"),
+            newest(F.when(inside, F.col("descrip")), "fecha").alias("description"),
             total(F.when(inside, F.col("inicial"))).alias("cbm"),
             total(F.when(inside, F.col("pesokgs"))).alias("units"),
-            known_at_max(F.when(inside, F.col("bodega")), newest).alias("warehouse"),
+            newest(F.when(inside, F.col("bodega")), "fecha").alias("warehouse"),
         )
         .filter("_inside > 0")
     )
@@ -108,51 +107,45 @@ def billing_stock(stock_fact: DataFrame, as_of: dt.date | str) -> DataFrame:
 
     All items under one pallet tag count as one pallet of the tag's newest receipt; every other
     item is its own pallet. Items without a tag are combined per receipt right away, so the first
-    shuffle carries one row per tag or receipt.
+    shuffle carries one row per tag or receipt. Text columns of cleaned stock hold no nulls, hence
+    the newest row gives all of them at once.
     """
     tag = pallet_tag(F.col("idubica1"))
-    newest = F.struct("fecha", "idingreso", "itemno", "idubica", "inicial", "pesokgs")
-    fields = ["idingreso", "fecha", "idcontacto", "idubica", "bodega"]
-    keyed = stock_fact.withColumns(
-        {
-            "_tag": tag,
-            "_own": F.when(tag.isNull(), F.col("idingreso")),
-            "dup_key": item_key(F.col("idingreso"), F.col("itemno")),
-        }
-    )
+    keyed = stock_fact.withColumns({"_tag": tag, "_own": F.when(tag.isNull(), F.col("idingreso"))})
     pallets = keyed.groupBy("_tag", "_own").agg(
-        *[known_at_max(c, newest).alias(c) for c in [*fields, "dup_key"]],
-        known_at_max("itemno", newest).alias("_first_item"),
-        known_at_min("itemno", newest).alias("_last_item"),
+        F.max(F.struct("fecha", "idingreso", "itemno", "idubica", "idcontacto", "bodega")).alias("first"),
+        F.min(F.struct("fecha", "idingreso", "itemno")).alias("last"),
         total("pesokgs").alias("units"),
         total("inicial").alias("cbm"),
         F.count("*").alias("_items"),
     )
     tagged = F.col("_tag").isNotNull()
-    # A tagged pallet reports its last item, an untagged item itself.
-    pallets = pallets.withColumns(
-        {
-            "itemno": F.when(tagged, F.col("_last_item")).otherwise(F.col("_first_item")),
-            "pallets": F.when(tagged, F.lit(1)).otherwise(F.col("_items")),
-        }
+    # A tagged pallet reports its last item, an untagged item itself. Within a receipt untagged
+    # items come first, then pallets in tag order.
+    pallets = pallets.select(
+        F.col("first.idingreso").alias("idingreso"), "cbm", "units",
+        F.when(tagged, F.lit(1)).otherwise(F.col("_items")).alias("pallets"),
+        F.struct(
+            F.coalesce("_tag", F.lit("")).alias("tag"),
+            F.when(tagged, F.col("last.itemno")).otherwise(F.col("first.itemno")).alias("itemno"),
+            item_key(F.col("first.idingreso"), F.col("first.itemno")).alias("label"),
+            F.to_date("first.fecha").alias("date"),
+            "first.idcontacto",
+            "first.idubica",
+            "first.bodega",
+        ).alias("pallet"),
     )
-    # Within a receipt untagged items come first, then pallets in tag order.
-    order = F.struct(F.coalesce("_tag", F.lit("")))
-    return (
+    lines = (
         pallets.filter(F.col("idingreso").isNotNull())
         .groupBy("idingreso")
         .agg(
-            known_at_min("itemno", order).alias("itemno"),
-            known_at_min("dup_key", order).alias("label"),
-            known_at_min("fecha", order).cast("date").alias("date"),
-            known_at_min("idcontacto", order).alias("idcontacto"),
-            known_at_min("idubica", order).alias("location"),
-            F.sum("cbm").alias("cbm"),
-            F.sum("pallets").alias("pallets"),
-            F.sum("units").alias("units"),
-            known_at_min("bodega", order).alias("warehouse"),
+            F.min("pallet").alias("p"), *[F.sum(c).alias(c) for c in ("cbm", "pallets", "units")]
         )
-        .withColumn("days", age_days(as_of, F.col("date")) + 1)
+    )
+    return lines.select(
+        "idingreso", "p.itemno", "p.label", "p.date", "p.idcontacto", F.col("p.idubica").alias("location"),
+        "cbm", "pallets", "units", F.col("p.bodega").alias("warehouse"),
+        (age_days(as_of, F.col("p.date")) + 1).alias("days"),
     )
 
 
@@ -162,7 +155,7 @@ def receipt_descriptions(receipts: DataFrame) -> DataFrame:
         receipts.select(ten_digit_receipt(F.col("idingreso")).alias("receipt"), "descrip", "fecha")
         .filter(F.col("receipt").isNotNull())
         .groupBy("receipt")
-        .agg(known_at_max("descrip", F.struct("fecha", "descrip")).alias("description"))
+        .agg(newest("descrip", "fecha").alias("description"))
     )
 
 
@@ -184,14 +177,13 @@ def billing_outflow(
     line takes the first name known); fill and receipt description join on the finished lines.
     """
     inside = in_range(F.col("fecha"), start, end)
-    newest = F.struct("fecha", "idingreso", "itemno")
     names = latest_per_key(
         clients.select("idcontacto", F.col("descrip").alias("client")), ["idcontacto"], "client"
     )
     rows = _outflow_rows(dispatches_fact).join(names, "idcontacto", "left")
 
     def first(c: str) -> Column:
-        return known_at_max(F.when(inside, F.col(c)), newest).alias(c)
+        return newest(F.when(inside, F.col(c)), "fecha").alias(c)
 
     lines = (
         rows.dropna(subset=["trannum", "idmodelo"])
@@ -199,11 +191,10 @@ def billing_outflow(
         .agg(
             F.count("*").alias("num_rows"),
             tally(inside).alias("_inside"),
-            known_at_min(F.when(inside, F.col("arrived")), newest).alias("arrival_date"),
+            oldest(F.when(inside, F.col("arrived")), "fecha").alias("arrival_date"),
             F.max(F.when(inside, F.col("fecha"))).alias("shipping_date"),
             round2(F.avg(F.when(inside, F.col("days").cast("double")))).alias("days"),
-            # The row whose receipt gives the description, even when that receipt is unknown.
-            F.max_by("idingreso", F.when(inside, newest)).alias("receipt"),
+            newest(F.when(inside, F.col("idingreso")), "fecha").alias("receipt"),
             first("idcontacto"),
             first("client"),
             total(F.when(inside, F.col("cantidad"))).alias("cbm"),

@@ -11,9 +11,10 @@ from stowage.functions.dates import coerce_dates, in_range, month_of
 from stowage.functions.numbers import coerce_measures, detached_later, total
 from stowage.functions.text import zero_pad
 from stowage.functions.warehouse import UNKNOWN, resolve_warehouse
-from stowage.operators.first import known_at_min, latest_per_item, latest_per_key
-from stowage.operators.lookup import fill_from_unique
+from stowage.operators.first import latest_per_item, latest_per_key
+from stowage.operators.lookup import fill_from_unique, fill_within_key
 from stowage.operators.totals import widest
+from stowage.plans.screening import first_line_place
 
 STOCK_MEASURES = ["inicial", "salidas", "pesokgs"]
 # Order columns that settle "newest" among stock rows of one date.
@@ -48,15 +49,6 @@ def totals_by_client(per_id: DataFrame, clients: DataFrame) -> DataFrame:
     )
 
 
-def outbound_place(lines: DataFrame) -> DataFrame:
-    """Warehouse and location on the outbound side of each receipt, from its first line."""
-    order = F.struct("numero", "itemline", "idubica")
-    return lines.groupBy("idingreso").agg(
-        known_at_min("bodega", order).alias("outbound_bodega"),
-        known_at_min("idubica", order).alias("outbound_idubica"),
-    )
-
-
 def receipt_items(receipts: DataFrame, stock_all: DataFrame, collapse_unmatched: bool = True) -> DataFrame:
     """Receipts with their stock items, one row per (receipt, item).
 
@@ -64,16 +56,16 @@ def receipt_items(receipts: DataFrame, stock_all: DataFrame, collapse_unmatched:
     Receipts without any stock item have no item key; like equal keys they become one row (the
     newest), unless ``collapse_unmatched`` is off.
     """
-    heads = latest_per_key(receipts, ["idingreso"], "fecha", ["bodega", "idubica"]).select(
-        "idingreso", "fecha", "descrip", "idcontacto", "retnum", "bodega", "idubica"
-    )
-    columns = ["idingreso", "itemno", "idmodelo", "idcoldis", "modifica", "ddma", *STOCK_MEASURES]
+    columns = ["idingreso", "fecha", "descrip", "idcontacto", "retnum", "bodega", "idubica"]
+    receipts = receipts.select(*columns)
+    heads = latest_per_key(receipts, ["idingreso"], "fecha", ["bodega", "idubica"])
+    item_columns = ["idingreso", "itemno", "idmodelo", "idcoldis", "modifica", "ddma", *STOCK_MEASURES]
     tie = [c for c in STOCK_TIE if c not in ("idingreso", "itemno")]
-    items = latest_per_key(stock_all, ["idingreso", "itemno"], "fecha", tie).select(*columns)
+    items = latest_per_key(stock_all, ["idingreso", "itemno"], "fecha", tie).select(*item_columns)
     if not collapse_unmatched:
         return heads.join(items, "idingreso", "left")
-    newest = [F.col(c).desc_nulls_last() for c in ("fecha", "idingreso")]
-    bare = heads.join(stock_all.select("idingreso"), "idingreso", "left_anti").orderBy(*newest).limit(1)
+    newest = [F.col(c).desc_nulls_last() for c in ("fecha", "idingreso", "bodega", "idubica")]
+    bare = receipts.join(stock_all.select("idingreso"), "idingreso", "left_anti").orderBy(*newest).limit(1)
     return heads.join(items, "idingreso").unionByName(bare, allowMissingColumns=True)
 
 
@@ -99,7 +91,7 @@ def monthly_receipts(
     )
     fact = (
         receipt_items(receipts, stock_all, collapse_unmatched)
-        .join(outbound_place(order_lines_out), "idingreso", "left")
+        .join(first_line_place(order_lines_out).toDF("idingreso", "outbound_bodega", "outbound_idubica"), "idingreso", "left")
         .withColumn(
             "bodega", resolve_warehouse(F.col("bodega"), F.col("outbound_bodega"), F.col("outbound_idubica"))
         )
@@ -155,7 +147,7 @@ def monthly_dispatches(
 
     fact = out.join(arrivals, keys, "left").withColumn("month", month_of(F.col("fecha")))
     # Everything that is summed or filled is first combined per month, client and warehouse; the
-    # client lookup then runs on that small table, whatever share of the rows one client holds.
+    # client's only warehouse is then found among its few rows of that table.
     small = fact.groupBy("month", "idcontacto", "bodega").agg(
         F.max("fecha").alias("fecha"),
         F.count("numero").alias("pallets"),
@@ -163,7 +155,7 @@ def monthly_dispatches(
         total("cantidad").alias("cbm"),
     )
     per_id = (
-        fill_from_unique(small, "idcontacto", "bodega", UNKNOWN)
+        fill_within_key(small, "idcontacto", "bodega", UNKNOWN)
         .dropna(subset=["month", "idcontacto", "bodega"])
         .groupBy("month", "idcontacto", "bodega")
         .agg(

@@ -102,7 +102,8 @@ def client_report(
 ) -> ClientReport:
     """The whole report for a date range typed day first, for one client or for all.
 
-    The screened tables are shared by ten analyses; with ``keep_shared`` they are written once.
+    The screened tables are shared by ten analyses, and the receipt, dispatch and stock rows by the
+    billing steps; with ``keep_shared`` each is written once.
     """
     lo, hi = date_range(start, end)
     screened = screening.screen(cleaning.clean(focus(tables, client)))
@@ -119,6 +120,10 @@ def client_report(
 
     completed = stock.complete_volume(t.stock, product_volume)
     by_warehouse = stock.stock_by_warehouse(completed, product_volume, t.clients, width)
+    if keep_shared:
+        received = received._replace(fact=share(received.fact, "received"))
+        shipped = shipped._replace(fact=share(shipped.fact, "shipped"))
+        by_warehouse = by_warehouse._replace(fact=share(by_warehouse.fact, "on-hand"))
 
     mode = billing.pallet_mode(by_warehouse.fact)
     fills = billing.mode_with_override(mode, pallet_override)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stowage.functions.text import blank_to
 from stowage.functions.warehouse import UNKNOWN, assign_warehouse, force_site_warehouse
-from stowage.operators.first import known_at_max, known_at_min
+from stowage.operators.first import newest
 from stowage.tables import Tables
 
 RECEIPT_FIELDS = ["fecha", "items", "transtatus", "descrip", "idcontacto", "retnum"]
@@ -28,21 +28,23 @@ def site_forced(df: DataFrame) -> DataFrame:
 
 def one_per_receipt(receipts: DataFrame) -> DataFrame:
     """One row per receipt: of each column the newest value that is not null."""
-    newest = F.struct(*RECEIPT_FIELDS)
     return (
         receipts.filter(F.col("idingreso").isNotNull())
         .groupBy("idingreso")
-        .agg(*[known_at_max(c, newest).alias(c) for c in RECEIPT_FIELDS])
+        .agg(F.max("fecha").alias("fecha"), *[newest(c, "fecha").alias(c) for c in RECEIPT_FIELDS if c != "fecha"])
     )
 
 
 def first_line_place(lines: DataFrame) -> DataFrame:
-    """Warehouse and location of the first outbound line of each receipt."""
-    order = F.struct("numero", "itemline", "idubica")
+    """Warehouse and location of the first outbound line of each receipt.
+
+    ``lines`` are cleaned and located, so places are never null and one struct carries both.
+    """
     return (
         lines.filter(F.col("idingreso").isNotNull())
         .groupBy("idingreso")
-        .agg(known_at_min("bodega", order).alias("bodega"), known_at_min("idubica", order).alias("idubica"))
+        .agg(F.min(F.struct("numero", "itemline", "idubica", "bodega")).alias("line"))
+        .select("idingreso", "line.bodega", "line.idubica")
     )
 
 
@@ -59,11 +61,11 @@ def placed_dispatches(dispatches: DataFrame, located_lines: DataFrame) -> DataFr
 
 def placed_headers(headers: DataFrame, placed: DataFrame) -> DataFrame:
     """Dispatch headers with the place of their newest line; headers without lines are left out."""
-    newest = F.struct("fecha", "idingreso", "itemno", "idubica")
     places = (
         placed.filter(F.col("trannum").isNotNull())
         .groupBy("trannum")
-        .agg(known_at_max("bodega", newest).alias("bodega"), known_at_max("idubica", newest).alias("idubica"))
+        .agg(F.max(F.struct("fecha", "idingreso", "itemno", "idubica", "bodega")).alias("line"))
+        .select("trannum", "line.bodega", "line.idubica")
     )
     # A header without lines gets no warehouse and would be dropped next, hence the inner join.
     return headers.join(places, "trannum")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stowage.functions.dates import age_days, coerce_dates
 from stowage.functions.numbers import DEFAULT_VOLUME, MEASURE, coerce_measures, measure, total
 from stowage.functions.text import zero_pad
-from stowage.operators.first import known_at_max, latest_per_item
+from stowage.operators.first import latest_per_item, newest
 from stowage.operators.totals import shares, widest
 from stowage.plans.cleaning import on_hand
 from stowage.plans.flows import STOCK_MEASURES, STOCK_TIE
@@ -83,12 +83,11 @@ def stock_by_warehouse(
 
 
 def _by_product(items: DataFrame, *keys: str) -> DataFrame:
-    newest = F.struct("fecha", *[c for c in STOCK_TIE])
     grouped = (
         items.dropna(subset=list(keys))
         .groupBy(*keys)
         .agg(
-            known_at_max("idcoldis", newest).alias("model"),
+            newest("idcoldis", "fecha").alias("model"),
             total("inicial").alias("cbm"),
             total("pesokgs").alias("units"),
             F.count("itemno").alias("pallets"),
