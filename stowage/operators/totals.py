@@ -14,11 +14,16 @@ from stowage.functions.numbers import percent
 def shares(df: DataFrame, columns: Sequence[str], suffix: str = "_pct") -> DataFrame:
     """Each column's share of its own total, in percent.
 
-    The total is a scalar subquery, summed in parallel; a window over the whole table would need
-    a single task.
+    The totals are a scalar subquery, summed in parallel; a window over the whole table would need
+    a single task. The subquery also reads the other columns (as one hash that nobody uses): with
+    equal columns its shuffles equal those of the table itself, and Spark computes them once.
     """
-    sums = df.agg(F.struct(*[F.sum(c).alias(c) for c in columns])).scalar()
-    return df.withColumns({c + suffix: percent(F.col(c), sums[c]) for c in columns})
+    others = [c for c in df.columns if c not in columns]
+    sums = [F.sum(c).alias(c) for c in columns]
+    if others:
+        sums.append(F.max(F.xxhash64(*others)).alias("_others"))
+    totals = df.agg(F.struct(*sums)).scalar()
+    return df.withColumns({c + suffix: percent(F.col(c), totals[c]) for c in columns})
 
 
 def widest(*columns: tuple[DataFrame, str]) -> Column:
