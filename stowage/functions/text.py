@@ -12,8 +12,10 @@ NA_TEXT = [
 ]
 
 
-def na_to_null(c: Column) -> Column:
-    return F.when(c.isin(NA_TEXT), None).otherwise(c)
+def na_to_null(name: str) -> Column:
+    """The named text column with missing-value spellings as null."""
+    listed = ", ".join(f"'{t}'" for t in NA_TEXT)
+    return F.expr(f"CASE WHEN `{name}` IN ({listed}) THEN NULL ELSE `{name}` END")
 
 
 def tag_site(c: Column, suffix: str) -> Column:

@@ -62,6 +62,16 @@ def attach_totals(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> D
     return df.join(totals, list(keys), "left")
 
 
+def expand(heads: DataFrame, items: DataFrame, key: str) -> DataFrame:
+    """Left join of one row per key with any number of items per key.
+
+    A left join cannot be split on its right side, where a hot key would sit here; an inner join
+    can. Keys without items are added from an anti join against the distinct item keys.
+    """
+    bare = heads.join(items.select(key).distinct(), key, "left_anti")
+    return heads.join(items, key).unionByName(bare, allowMissingColumns=True)
+
+
 def missing_keys(df: DataFrame, register: DataFrame, key: str) -> DataFrame:
     """Rows whose key the register does not hold."""
     return df.join(register.select(key).distinct(), key, "left_anti")

@@ -12,7 +12,7 @@ from stowage.functions.numbers import coerce_measures, detached_later, total
 from stowage.functions.text import zero_pad
 from stowage.functions.warehouse import UNKNOWN, resolve_warehouse
 from stowage.operators.first import latest_per_item, latest_per_key
-from stowage.operators.lookup import fill_from_unique, fill_within_key
+from stowage.operators.lookup import expand, fill_from_unique, fill_within_key
 from stowage.operators.totals import widest
 from stowage.plans.screening import first_line_place
 
@@ -63,9 +63,9 @@ def receipt_items(receipts: DataFrame, stock_all: DataFrame, collapse_unmatched:
     tie = [c for c in STOCK_TIE if c not in ("idingreso", "itemno")]
     items = latest_per_key(stock_all, ["idingreso", "itemno"], "fecha", tie).select(*item_columns)
     if not collapse_unmatched:
-        return heads.join(items, "idingreso", "left")
+        return expand(heads, items, "idingreso")
     newest = [F.col(c).desc_nulls_last() for c in ("fecha", "idingreso", "bodega", "idubica")]
-    bare = receipts.join(stock_all.select("idingreso"), "idingreso", "left_anti").orderBy(*newest).limit(1)
+    bare = receipts.join(stock_all.select("idingreso").distinct(), "idingreso", "left_anti").orderBy(*newest).limit(1)
     return heads.join(items, "idingreso").unionByName(bare, allowMissingColumns=True)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stowage.functions.text import blank_to
 from stowage.functions.warehouse import UNKNOWN, assign_warehouse, force_site_warehouse
 from stowage.operators.first import newest
+from stowage.operators.lookup import expand
 from stowage.tables import Tables
 
 RECEIPT_FIELDS = ["fecha", "items", "transtatus", "descrip", "idcontacto", "retnum"]
@@ -51,7 +52,7 @@ def first_line_place(lines: DataFrame) -> DataFrame:
 def screened_receipts(receipts: DataFrame, located_stock: DataFrame) -> DataFrame:
     """One row per receipt and stock row of it, with place; receipts without stock are kept."""
     places = located_stock.select("idingreso", "idubica", "bodega")
-    return site_forced(known_place(one_per_receipt(receipts).join(places, "idingreso", "left")))
+    return site_forced(known_place(expand(one_per_receipt(receipts), places, "idingreso")))
 
 
 def placed_dispatches(dispatches: DataFrame, located_lines: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def test_blank_to_default(spark):
 
 
 def test_na_text_is_null(spark):
-    assert texts(spark, ["NA", "null", "", "0", "nana"], text.na_to_null(F.col("c"))) == [None, None, None, "0", "nana"]
+    assert texts(spark, ["NA", "null", "", "0", "nana"], text.na_to_null("c")) == [None, None, None, "0", "nana"]
 
 
 def test_pallet_tag(spark):

@@ -65,6 +65,12 @@ def test_attach_totals_leaves_null_keys(spark):
     assert rows(got.select("v", "n", "s")) == [(1, 2, 3), (2, 2, 3), (3, None, None)]
 
 
+def test_expand_is_a_left_join(spark):
+    heads = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, h int")
+    items = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z"), (None, "n")], "k string, i string")
+    assert rows(lookup.expand(heads, items, "k")) == rows(heads.join(items, "k", "left"))
+
+
 def test_key_probes(spark):
     a = spark.createDataFrame([("1",), ("2",), ("2",), (None,)], "k string")
     b = spark.createDataFrame([("2",), ("2",)], "k string")
