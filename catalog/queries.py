@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache, reduce
 
@@ -13,6 +14,7 @@ from catalog.views import table, tables, view
 from stowage.functions import dates, numbers, text
 from stowage.functions import warehouse as wh
 from stowage.operators import first, focus, intervals, lookup, series
+from stowage.operators.totals import widest
 from stowage.plans import billing, cleaning, flows, inventory, labor, quality, reports, screening, stock
 from stowage.session import shared_dir
 from stowage.sources.extracts import mark_site, read_site, union_all
@@ -61,14 +63,19 @@ def screened(spark, sf):
 
 @lru_cache(maxsize=16)
 def received(spark, sf):
-    t = screened(spark, sf)
-    return flows.monthly_receipts(t.receipts, t.clients, t.stock_all, t.order_lines_out)
+    t, raw = screened(spark, sf), cleaned(spark, sf)
+    width = widest((raw.receipts, "idcontacto"), (raw.clients, "idcontacto"))
+    return flows.monthly_receipts(t.receipts, t.clients, t.stock_all, t.order_lines_out, width)
 
 
 @lru_cache(maxsize=16)
 def shipped(spark, sf, **options):
-    t = screened(spark, sf)
-    return flows.monthly_dispatches(t.dispatches, t.dispatched_stock, t.clients, **options)
+    t, raw = screened(spark, sf), cleaned(spark, sf)
+    widths = {
+        "client_width": widest((raw.dispatches, "idcontacto"), (raw.clients, "idcontacto")),
+        "receipt_width": widest((raw.dispatches, "idingreso"), (raw.dispatched_stock, "idingreso")),
+    }
+    return flows.monthly_dispatches(t.dispatches, t.dispatched_stock, t.clients, **widths, **options)
 
 
 @lru_cache(maxsize=16)
@@ -154,7 +161,7 @@ def calendar_days(spark, sf):
 @query
 def csv_site_extracts(spark, sf):
     """Receipts of three sites written as CSV extracts, loaded and united."""
-    base = f"{shared_dir(spark)}/extracts"
+    base = f"{shared_dir(spark)}/extracts-{uuid.uuid4().hex}"
     rows = view(spark, sf, "receipts").withColumn("referencia", F.lit("x"))
     for site, own in (
         ("", ~F.col("idcontacto").rlike("_[ce]$")),

@@ -106,17 +106,21 @@ def client_report(
     billing steps; with ``keep_shared`` each is written once.
     """
     lo, hi = date_range(start, end)
-    screened = screening.screen(cleaning.clean(focus(tables, client)))
+    cleaned = cleaning.clean(focus(tables, client))
+    screened = screening.screen(cleaned)
     if warehouse is not None:
         screened = focus(screened, warehouse=warehouse)
     if keep_shared:
         screened = shared(screened)
     t = screened
 
-    width = widest((t.receipts, "idcontacto"), (t.dispatches, "idcontacto"), (t.clients, "idcontacto"))
+    # Widths are measured on stored tables, not on the result of screening.
+    stored = screened if keep_shared else cleaned
+    width = widest((stored.receipts, "idcontacto"), (stored.dispatches, "idcontacto"), (t.clients, "idcontacto"))
+    receipt_width = widest((stored.dispatches, "idingreso"), (stored.dispatched_stock, "idingreso"))
     clients = flows.padded(t.clients, "idcontacto", width)
     received = flows.monthly_receipts(t.receipts, t.clients, t.stock_all, t.order_lines_out, width)
-    shipped = flows.monthly_dispatches(t.dispatches, t.dispatched_stock, t.clients, client_width=width)
+    shipped = flows.monthly_dispatches(t.dispatches, t.dispatched_stock, t.clients, client_width=width, receipt_width=receipt_width)
 
     completed = stock.complete_volume(t.stock, product_volume)
     by_warehouse = stock.stock_by_warehouse(completed, product_volume, t.clients, width)

@@ -32,11 +32,13 @@ def build_session(app: str = "stowage", master: str | None = None, **extra: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and shared tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, laptops) is a temporary folder used.
+    Only where none is named, and only in local mode (tests, laptops), is a temporary folder used.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("name a folder all executors share in spark.checkpoint.dir")
         folder = tempfile.mkdtemp(prefix="stowage-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
