@@ -17,7 +17,7 @@ from stowage.session import share
 SYMBOLS = "[#*$%&|<>]"  # fixed value
 SKETCH_K = 800
 # Per ratio: how many interquartile ranges a fence stands off, and the least distance from the quartile.
-FENCES = {"symbol_share": (6.0, 0.03), "dup_line_share": (6.0, 0.25), "repeat_share": (6.0, 0.25), "word_length": (6.0, 2.0)}
+FENCES = {"symbol_share": (6.0, 0.03), "dup_line_share": (6.0, 0.25), "repeat_share": (6.0, 0.3), "word_length": (6.0, 2.0)}
 TWO_SIDED = ["word_length"]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SALTS = 32
@@ -83,7 +83,8 @@ def ratios() -> dict[str, Column]:
     words, chars = F.greatest("n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
     return {
         "symbol_share": F.col("n_symbols") / chars,
-        "dup_line_share": F.col("n_dup_lines") / (F.col("n_breaks") + 1),
+        # four lines more, so that one repeat in a text of three lines is no third of it
+        "dup_line_share": F.col("n_dup_lines") / (F.col("n_breaks") + 5),
         "repeat_share": F.col("n_repeat_words") / words,
         "word_length": F.col("word_chars") / words,
     }

@@ -1,8 +1,9 @@
 """Toxic passages by maximum-scoring segments over token log-odds, calibrated as extreme values.
 
 Evidence comes from labelled documents: how many toxic and clean ones hold a word, or a word's beginning. Log-odds
-get a Dirichlet prior in proportion to the background, and count as far as their lower confidence bound is clear
-of zero; every other token scores slightly below zero. A text's maximal scoring segments are found in one scan.
+get a Dirichlet prior in proportion to the background. They count where chance would hardly bring that many toxic
+documents together for any trait at all, and as far as their lower confidence bound; every other token scores
+slightly below zero. A text's maximal scoring segments are found in one scan.
 Under clean text the best segment's score follows an extreme-value distribution whose decay is the root of
 sum p(s) exp(decay s) = 1; scores become logarithms of expected chance finds, those of all significant segments
 are added, and a logistic curve turns the sum into a probability.
@@ -27,8 +28,9 @@ TOKEN = re.compile(r"[^\W\d_]+")
 HEADS = (4, 5, 6)  # letters of the word beginnings that bear evidence
 MEMO = 300_000  # token scores remembered by a worker
 PRIOR = 10.0  # documents that the prior is worth
-SURE = 1.5  # standard errors below the estimate
-LEAST = 1.0  # smallest log-odds that count
+SURE = 1.0  # standard errors below the estimate
+LEAST = 0.5  # smallest log-odds that count
+FEWEST = 4  # documents below which no trait can stand out
 MOST = 8.0
 DRIFT = 0.5  # what any other token costs
 
@@ -54,8 +56,8 @@ def labelled(docs: DataFrame, labels: DataFrame, max_labelled: int, folds: int,
     return own.groupBy("body").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")).select("doc_id", "toxic")
 
 
-def evidence(train: DataFrame, fewest: int) -> DataFrame:
-    """(trait, toxic, clean): in how many documents of each kind a trait stands."""
+def evidence(train: DataFrame) -> DataFrame:
+    """(trait, toxic, clean): in how many documents of each kind a trait stands, ``FEWEST`` at least."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
@@ -77,17 +79,26 @@ def evidence(train: DataFrame, fewest: int) -> DataFrame:
 
     counts = train.select("toxic", "_text").mapInArrow(count, "trait string, clean long, toxic long")
     return counts.groupBy("trait").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(
-        (F.col("toxic") >= fewest) | (F.col("clean") >= 20 * fewest)
+        F.col("toxic") + F.col("clean") >= FEWEST
     )
 
 
 def weights(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
-    """Lower bounds of the log-odds of traits that speak for toxicity; as many as the bounded sample can hold."""
-    share_ = (F.col("toxic") + F.col("clean")) / F.lit(float(max(1, toxic + clean)))
-    a, b = F.col("toxic") + share_ * PRIOR, F.col("clean") + share_ * PRIOR
+    """Lower bounds of the log-odds of traits that speak for toxicity; as many as the bounded sample can hold.
+
+    A trait on n documents, k of them toxic, stands out when the bound exp(-n KL(k / n, base rate)) of the chance
+    to see that many, times the number of traits, is below one.
+    """
+    traits_seen = max(1, counts.count())
+    base = (toxic + 0.5) / (toxic + clean + 1)
+    n = F.col("toxic") + F.col("clean")
+    p = F.col("toxic") / n
+    surprise = n * (p * F.log(p / base) + F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - base))).otherwise(0.0))
+    a, b = F.col("toxic") + n * PRIOR / (toxic + clean), F.col("clean") + n * PRIOR / (toxic + clean)
     odds = F.log(a / (toxic + PRIOR - a + 0.5)) - F.log(b / (clean + PRIOR - b + 0.5))
     bound = odds - SURE * F.sqrt(1 / a + 1 / (b + 0.5))
-    rows = counts.filter("toxic > 0").select("trait", bound.alias("w")).filter(F.col("w") >= LEAST).collect()
+    standing = counts.filter(F.col("toxic") > 0).filter((p > base) & (surprise >= math.log(traits_seen)))
+    rows = standing.select("trait", bound.alias("w")).filter(F.col("w") >= LEAST).collect()
     return {r["trait"]: min(MOST, r["w"]) for r in rows}
 
 
@@ -205,7 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int, folds: int, held_
         "labelled-texts",
     )
     n = train.agg(F.count_if(F.col("toxic") > 0).alias("t"), F.count_if(F.col("toxic") <= 0).alias("c")).first()
-    table = weights(share(evidence(train, 3 if n["t"] >= 100 else 2), "traits"), n["t"], n["c"])
+    table = weights(share(evidence(train), "traits"), n["t"], n["c"])
     shared = spark.sparkContext.broadcast(table)
 
     def score_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
