@@ -4,8 +4,8 @@ A table of the index projects every vector on a number of random directions. All
 each combination of cells, rows are sorted by the last projection, and a pair collides when one lies in the window
 centred on the other. Vectors at the threshold collide in a known share of the tables, unrelated ones hardly ever.
 Collisions are counted per pair over all tables; pairs that reach a count are verified on the vectors. The count is
-calibrated: a bounded sample of vectors is compared with all others by brute force, and the largest count that
-still finds nearly all of its links is taken.
+calibrated: a bounded sample of vectors is compared with all others by brute force, and half of the largest count
+that still finds all of its links is taken.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ WINDOW = 3.0  # half width of the window, alike
 APART = 0.40  # chance that unrelated vectors share a cell; fixes how many cells a table needs
 MOST_ROWS = 4000  # rows of a cell that one task pairs at once
 SAMPLE = 400  # vectors compared with all others to calibrate the count
-SAVED = 0.99  # share of the sample's links that the count must keep
 
 
 def directions(dim: int, tables: int, cells: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -220,6 +219,6 @@ def _links_of(nodes: DataFrame, dim: int, cosine: float, tables: int, seed: int)
     truth = sample_links(nodes, SAMPLE, cosine)
     seen = truth.join(counted, ["a", "b"], "left").groupBy(F.coalesce("n", F.lit(0)).alias("n")).agg(F.count("*").alias("k")).collect()
     total, least = sum(r["k"] for r in seen), 1
-    while least < tables and total and sum(r["k"] for r in seen if r["n"] > least) >= SAVED * total:
+    while least < tables and total and sum(r["k"] for r in seen if r["n"] > least) == total:
         least += 1
-    return cosines(counted.filter(F.col("n") >= least).select("a", "b"), nodes, cosine)
+    return cosines(counted.filter(F.col("n") >= max(1, least // 2)).select("a", "b"), nodes, cosine)

@@ -12,8 +12,9 @@ shingles themselves.
 
 A key shared by more than ``HOT`` different sets is not expanded into pairs. A document with fewer such keys than
 the K - D it is sure to share has another one, and is found through it. Only pairs of documents that have many hot
-keys, large groups of near copies, depend on them: these are compared with leaders of each key first, and then
-with each document of the key that is still in another component. Nothing is capped.
+keys, large groups of near copies, depend on them. These are compared with leaders of each key first. What then is
+still in different components of a group is compared by the parity sketches alone, inside tasks, in blocks of
+documents of like size; only pairs that the sketches allow leave a task, to be verified. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from stowage.session import share
 WIDTH = 5
 HOT = 32
 GROWTH = 1.6
+IDS = 2_000_000  # ids of eight bytes that are broadcast to pick texts, sixteen megabytes
+BLOCK = 2000  # documents of a block whose sketches are compared with another's
 ENTRIES = 1_000_000  # keys of a bucket, and of a task's buffer
 _PARTS = [4]
 while _PARTS[-1] < 1 << 40:
@@ -65,8 +68,8 @@ def sets_of(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def parity(values: np.ndarray) -> bytes:
-    """One bit per hash place, flipped by each shingle; about as many places as shingles, a power of two."""
-    bits = max(6, len(values).bit_length())
+    """One bit per hash place, flipped by each shingle; four to eight times as many places as shingles."""
+    bits = max(6, len(values).bit_length() + 2)
     places = (values >> np.uint64(64 - bits)).astype(np.int64)
     return np.packbits((np.bincount(places, minlength=1 << bits) & 1).astype(np.uint8)).tobytes()
 
@@ -79,32 +82,42 @@ def folded(sketch: bytes, size: int) -> np.ndarray:
     return bits
 
 
-def part_keys(values: np.ndarray) -> tuple[np.ndarray, list[int], list[int]]:
-    """Keys of a set on all its levels; the levels; and how many hot keys each level bears.
+def part_of(values: np.ndarray, level: int) -> np.ndarray:
+    """The part of each shingle hash on a level."""
+    parts = int(PARTS[level])
+    if parts < 1 << 30:
+        return ((values >> np.uint64(20)) & np.uint64(0xFFFFFFFF)).astype(np.int64) * parts >> 32
+    return (values % np.uint64(parts)).astype(np.int64)
+
+
+def bears(values: np.ndarray) -> int:
+    """How many hot keys a set bears: with fewer, it shares another key with every set it links with."""
+    found = [sure - int(PARTS[k]) + len(np.unique(part_of(values, k))) for k, sure in levels_of(len(values))]
+    return max(0, min(found, default=0))
+
+
+def part_keys(values: np.ndarray) -> np.ndarray:
+    """Keys of a set on all its levels.
 
     A part without shingles is no key, unless the set has so many that all sure ones might be empty.
     """
-    keys, levels, bears = [], [], []
+    keys = []
     for level, sure in levels_of(len(values)):
-        parts = int(PARTS[level])
-        part = ((values >> np.uint64(20)) & np.uint64(0xFFFFFFFF)).astype(np.int64) * parts >> 32 if parts < 1 << 30 else (values % np.uint64(parts)).astype(np.int64)
+        part = part_of(values, level)
         order = np.argsort(part, kind="stable")
         at = part[order]
         first = np.flatnonzero(np.diff(at, prepend=-1))
         words = np.bitwise_xor.reduceat(mix(values[order]), first)
-        found = at[first]
-        bears_here = sure - (parts - len(found))
-        if bears_here <= 0:
+        found, parts = at[first], int(PARTS[level])
+        if sure <= parts - len(found):
             empty = np.setdiff1d(np.arange(parts), found)
             found, words = np.concatenate([found, empty]), np.concatenate([words, np.zeros(len(empty), np.uint64)])
         keys.append(mix(words + found.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(mix_int(level + 1))))
-        levels.append(level)
-        bears.append(max(0, bears_here))
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64), levels, bears
+    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
 def signatures(docs: DataFrame, text: str) -> DataFrame:
-    """Per row: id, set size, a digest of the set in two numbers, and its parity sketch."""
+    """Per row: id, set size, a digest of the set in two numbers, its parity sketch, and the hot keys it bears."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,13 +125,13 @@ def signatures(docs: DataFrame, text: str) -> DataFrame:
                 rows = []
                 for doc_id, s in zip(part.column(0).to_pylist(), sets_of(part.column(1))):
                     d = [int(x) - (1 << 63) for x in (np.add.reduce(s, dtype=np.uint64), np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5555)), initial=np.uint64(0)))]
-                    rows.append((doc_id, len(s), d[0], d[1], parity(s)))
-                names = ["doc_id", "n_shingles", "d1", "d2", "sketch"]
-                kinds = [pa.int64()] * 4 + [pa.binary()]
+                    rows.append((doc_id, len(s), d[0], d[1], parity(s), bears(s)))
+                names = ["doc_id", "n_shingles", "d1", "d2", "sketch", "bears"]
+                kinds = [pa.int64()] * 4 + [pa.binary(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), docs[text].alias("_text"))
-    return thin.mapInArrow(sign, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary")
+    return thin.mapInArrow(sign, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary, bears long")
 
 
 def packed_keys(docs: DataFrame, buckets: int) -> DataFrame:
@@ -143,7 +156,7 @@ def packed_keys(docs: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for part in chunks(batch, "_text"):
                 for doc_id, s in zip(part.column(0).to_pylist(), sets_of(part.column(1))):
-                    own = part_keys(s)[0]
+                    own = part_keys(s)
                     if len(own):
                         keys.append(own)
                         ids.append(doc_id)
@@ -160,36 +173,41 @@ def packed_keys(docs: DataFrame, buckets: int) -> DataFrame:
 MET = "a long, b long, key long"
 
 
-def meet(group: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: pairs of documents with a common key (``key`` null), and the members of hot keys (``b`` null)."""
-    keys = np.frombuffer(b"".join(group["keys"]), dtype=np.uint64)
-    docs = np.frombuffer(b"".join(group["docs"]), dtype=np.int64)
-    order = np.lexsort((docs, keys))
-    keys, docs = keys[order], docs[order]
-    fresh = np.ones(len(keys), dtype=bool)
-    fresh[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
-    keys, docs = keys[fresh], docs[fresh]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    size = np.diff(np.append(first, len(keys)))
-    of = np.repeat(size, size)
-    place = np.arange(len(keys)) - np.repeat(first, size)
-    pairs = []
-    some = np.flatnonzero((of >= 2) & (of <= HOT))
-    for step in range(1, HOT):
-        left = some[place[some] + step < of[some]]
-        if not len(left):
-            break
-        pairs.append(np.stack([docs[left], docs[left + step]]))
-    met = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.zeros((2, 0), np.int64)
-    hot = of > HOT
-    out = pd.DataFrame({
-        "a": np.concatenate([met[0], docs[hot]]),
-        "b": pd.array(np.concatenate([met[1], np.zeros(hot.sum(), np.int64)]), dtype="Int64"),
-        "key": pd.array(np.concatenate([np.zeros(met.shape[1], np.int64), keys[hot].view(np.int64)]), dtype="Int64"),
-    })
-    out.loc[met.shape[1] :, "b"] = pd.NA
-    out.loc[: met.shape[1] - 1, "key"] = pd.NA
-    return out
+def meet(most: int):
+    """Of one bucket: pairs of documents with a common key (``key`` null), and, of keys with more than ``most``
+    documents, the members (``b`` null)."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        keys = np.frombuffer(b"".join(group["keys"]), dtype=np.uint64)
+        docs = np.frombuffer(b"".join(group["docs"]), dtype=np.int64)
+        order = np.lexsort((docs, keys))
+        keys, docs = keys[order], docs[order]
+        fresh = np.ones(len(keys), dtype=bool)
+        fresh[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
+        keys, docs = keys[fresh], docs[fresh]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        size = np.diff(np.append(first, len(keys)))
+        of = np.repeat(size, size)
+        place = np.arange(len(keys)) - np.repeat(first, size)
+        pairs = []
+        some = np.flatnonzero((of >= 2) & (of <= most))
+        for step in range(1, most):
+            left = some[place[some] + step < of[some]]
+            if not len(left):
+                break
+            pairs.append(np.stack([docs[left], docs[left + step]]))
+        met = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.zeros((2, 0), np.int64)
+        hot = of > most
+        out = pd.DataFrame({
+            "a": np.concatenate([met[0], docs[hot]]),
+            "b": pd.array(np.concatenate([met[1], np.zeros(hot.sum(), np.int64)]), dtype="Int64"),
+            "key": pd.array(np.concatenate([np.zeros(met.shape[1], np.int64), keys[hot].view(np.int64)]), dtype="Int64"),
+        })
+        out.loc[met.shape[1] :, "b"] = pd.NA
+        out.loc[: met.shape[1] - 1, "key"] = pd.NA
+        return out
+
+    return run
 
 
 def close(pairs: DataFrame, signed: DataFrame) -> DataFrame:
@@ -233,24 +251,25 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
+def texts_of(texts: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """The texts that pairs (a, b) name, stored. Up to ``IDS`` ids are broadcast, so that only their texts move."""
+    ids = share(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
+    few = ids.count() <= IDS
+    return share(texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), f"{name}-texts")
+
+
 def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
 
 
-def heavy_members(met: DataFrame, texts: DataFrame) -> DataFrame:
-    """(key, doc_id): hot keys of the documents that have too many of them to be sure of another."""
+def heavy_members(met: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(key, doc_id): hot keys of the documents that have too many of them to be sure of another.
+
+    Hot keys are counted over all levels, so a document may be found too heavy, never too light.
+    """
     hot = met.filter(F.col("key").isNotNull()).select("key", F.col("a").alias("doc_id"))
     counts = hot.groupBy("doc_id").agg(F.count("*").alias("n"))
-
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, "_text"):
-                n = part.column(2).to_pylist()
-                # hot keys are counted over all levels, so a document may be weighed too heavy, never too light
-                heavy = [k >= min(part_keys(s)[2], default=0) for k, s in zip(n, sets_of(part.column(1)))]
-                yield part.select([0]).filter(pa.array(heavy, pa.bool_()))
-
-    heavy = texts.join(counts, "doc_id").select("doc_id", "_text", "n").mapInArrow(weigh, "doc_id long")
+    heavy = counts.join(chosen.select("doc_id", "bears"), "doc_id").filter(F.col("n") >= F.col("bears")).select("doc_id")
     return hot.join(heavy, "doc_id", "left_semi")
 
 
@@ -261,15 +280,58 @@ def with_leaders(members: DataFrame, seed: int) -> DataFrame:
     return ordered(members.join(lead, "key").select(F.col("doc_id").alias("a"), F.col("lead").alias("b")))
 
 
-def across(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): members of a key that are still in different components."""
-    named = members.join(labels, F.col("doc_id") == F.col("id"), "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
+def block_pairs(members: DataFrame, leaders: DataFrame, chosen: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b): documents of a hot group, in different components so far, that sizes and sketches allow to link.
+
+    A group is what hot keys connect. Its documents are cut into blocks by size, a factor of 1.25 wide, and by hash
+    where more than ``BLOCK`` are of a size; blocks of the same or neighbouring sizes are compared.
+    """
+    groups = components(leaders)
+    size = F.floor(F.log(F.col("n_shingles")) / F.log(F.lit(1.25)) + 1e-9).cast("long")
+    docs = (
+        members.select("doc_id").distinct()
+        .join(groups.select(F.col("id").alias("doc_id"), F.col("component").alias("cluster")), "doc_id")
+        .join(labels.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
+        .join(chosen, "doc_id")
+        .select("doc_id", "cluster", F.coalesce("component", "doc_id").alias("label"), "n_shingles", "sketch", size.alias("size"))
     )
-    mixed = named.groupBy(F.xxhash64("key").alias("_h"), "key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    open_ = named.join(mixed.filter("x < y").select("key"), "key", "left_semi")
-    other = open_.select("key", F.col("doc_id").alias("b"), F.col("component").alias("other"))
-    return ordered(open_.join(other, "key").filter("component < other").select(F.col("doc_id").alias("a"), "b"))
+    docs = share(docs, "hot-documents")
+    counts = docs.groupBy("cluster", "size").agg(F.count("*").alias("n"))
+    sizes = share(counts.select("cluster", "size", F.ceil(F.col("n") / BLOCK).alias("parts")), "hot-blocks")
+    own = docs.join(sizes, ["cluster", "size"]).withColumn("part", F.pmod(F.xxhash64("doc_id"), "parts"))
+    parts = sizes.select("cluster", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    left, right = (parts.select("cluster", F.col("size").alias(f"{x}size"), F.col("part").alias(f"{x}part")) for x in "lr")
+    same_size = (F.col("lsize") == F.col("rsize")) & (F.col("lpart") <= F.col("rpart"))
+    pairs = share(
+        left.join(right, "cluster").filter(same_size | (F.col("lsize") + 1 == F.col("rsize"))), "hot-block-pairs"
+    ).withColumn("pair", F.monotonically_increasing_id())
+    sent = [
+        own.join(pairs, ["cluster"]).filter((F.col("size") == F.col(f"{x}size")) & (F.col("part") == F.col(f"{x}part")))
+        .select("pair", F.lit(x).alias("side"), "doc_id", "label", "n_shingles", "sketch")
+        for x in "lr"
+    ]
+    return ordered(sent[0].unionByName(sent[1]).groupBy("pair").applyInPandas(compare_blocks, "a long, b long"))
+
+
+def compare_blocks(rows: pd.DataFrame) -> pd.DataFrame:
+    """Pairs across the two blocks that are allowed to link; a block that stands on both sides meets itself."""
+    size = int(rows["sketch"].map(len).min())
+    left, right = (rows[rows["side"] == x] for x in "lr")
+
+    def read(block: pd.DataFrame):
+        bits = [np.packbits(folded(s, size)) for s in block["sketch"]]
+        words = np.stack(bits).view(np.uint64) if bits else np.zeros((0, size // 8), np.uint64)
+        return words, *(block[c].to_numpy() for c in ("doc_id", "label", "n_shingles"))
+
+    (lw, ld, ll, ln), (rw, rd, rl, rn) = read(left), read(right)
+    found = []
+    for k in range(len(ld)):
+        some = np.flatnonzero((rl != ll[k]) & (4 * rn <= 5 * ln[k]) & (4 * ln[k] <= 5 * rn) & (rd != ld[k]))
+        apart = np.bitwise_count(rw[some] ^ lw[k]).sum(axis=1, dtype=np.int64)
+        good = rd[some[9 * apart <= ln[k] + rn[some]]]
+        found.append(np.stack([np.full(len(good), ld[k]), good]))
+    pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
 
 
 def jaccard_join(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -299,11 +361,11 @@ def jaccard_join(docs: DataFrame, text: str = "text") -> DataFrame:
         .filter(F.col("doc_id").isNotNull())
         .join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
     )
-    met = share(packed_keys(texts, buckets).groupBy("bucket").applyInPandas(meet, MET), "met")
-    members = share(heavy_members(met, texts), "heavy")
-    led = ordered(with_leaders(members, 1).unionByName(with_leaders(members, 2)))
-    candidates = ordered(met.filter(F.col("b").isNotNull()).select("a", "b")).unionByName(led).distinct()
-    near = share(close(candidates, chosen), "near")
+    met = share(packed_keys(texts, buckets).groupBy("bucket").applyInPandas(meet(HOT), MET), "met")
+    members = share(heavy_members(met, chosen), "heavy")
+    led = share(with_leaders(members, 1), "leaders")
+    candidates = ordered(met.filter(F.col("b").isNotNull()).select("a", "b")).unionByName(led)
+    near = share(close(candidates.unionByName(with_leaders(members, 2)).distinct(), chosen), "near")
 
     # A pair per document first, its closest; whatever that leaves apart is verified in full.
     both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
@@ -311,7 +373,8 @@ def jaccard_join(docs: DataFrame, text: str = "text") -> DataFrame:
     first = ordered(
         best.select("a", F.col("m.b").alias("b")).unionByName(best.select("a", F.col("least").alias("b")))
     )
-    links = share(verified(first, texts), "links")
+    picked = texts_of(texts, near, "near")
+    links = share(verified(first, picked), "links")
     labels = components(links)
 
     def named(side: str) -> DataFrame:
@@ -319,8 +382,11 @@ def jaccard_join(docs: DataFrame, text: str = "text") -> DataFrame:
 
     apart = F.coalesce("ac", "a") != F.coalesce("bc", "b")
     rest = near.select("a", "b").join(named("a"), "a", "left").join(named("b"), "b", "left").filter(apart).select("a", "b")
-    late = close(across(members, labels), chosen).select("a", "b")
-    more = share(verified(rest.unionByName(late).distinct().join(first, ["a", "b"], "left_anti"), texts), "links")
+    late = share(block_pairs(members, led, chosen, labels), "late")
+    more = verified(rest.join(first, ["a", "b"], "left_anti"), picked).unionByName(
+        verified(late.join(near, ["a", "b"], "left_anti"), texts_of(texts, late, "late"))
+    )
+    more = share(more, "links")
     same = copies.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     found = components(links.unionByName(more).unionByName(same))
     return (

@@ -261,28 +261,32 @@ def mixed_documents(docs: DataFrame, seed: int = 7, text: str = "text", chars: s
         .groupBy(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), F.col("size").alias("_size"))
         .agg(F.collect_list(F.struct("shard", "place", "begin", "from_word", "n_words")).alias("_runs"))
     )
-    keyed = docs.withColumns({"_body": F.xxhash64(docs[text])}).dropDuplicates(["doc_id", "_body"])
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("b") == F.col("_body"))
-    joined = keyed.withColumnRenamed("_body", "b").join(runs, same).select(*docs.columns, "_size", "_runs")
-    spots = [docs.columns.index(c) for c in (text, chars)]
+    keyed = docs.select(
+        F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64(docs[text]).alias("_hash")
+    ).dropDuplicates(["_id", "_hash"])
+    same = F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_body"))
+    own = [F.col("_row").getField(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
+    joined = keyed.join(runs, same).select(*own, "_size", "_runs")
+    width = len(docs.columns)
+    text_at, chars_at = docs.columns.index(text), docs.columns.index(chars)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, runs = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+            sizes, runs = batch.column(width).to_pylist(), batch.column(width + 1).to_pylist()
             take, texts, order = [], [], []
-            for k, (size, own) in enumerate(zip(sizes, runs)):
-                whole = batch.column(spots[0])[k].as_py()
-                for run in own:
+            for k, (size, drawn) in enumerate(zip(sizes, runs)):
+                whole = batch.column(text_at)[k].as_py()
+                for run in drawn:
                     take.append(k)
                     texts.append(whole if run["n_words"] == size else word_slice(whole, run["from_word"], run["n_words"]))
                     order.append((run["shard"], run["place"], run["begin"]))
-            out = batch.select(list(range(batch.num_columns - 2))).take(pa.array(take, pa.int64()))
-            columns = list(out.columns)
-            columns[spots[0]] = pa.array(texts, pa.string())
-            columns[spots[1]] = pa.array([len(t) for t in texts], columns[spots[1]].type)
+            columns = batch.select(list(range(width))).take(pa.array(take, pa.int64())).columns
+            columns[text_at] = pa.array(texts, pa.string())
+            columns[chars_at] = pa.array([len(t) for t in texts], columns[chars_at].type)
             columns += [pa.array(c, pa.int64()) for c in (list(zip(*order)) or [(), (), ()])]
-            yield pa.RecordBatch.from_arrays(columns, names=[*out.schema.names, "_shard", "_place", "_begin"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*[f"c{k}" for k in range(width)], "shard", "place", "begin"])
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    laid = joined.mapInArrow(cut, f"{fields}, _shard long, _place long, _begin long")
-    return laid.repartition("_shard").sortWithinPartitions("_shard", "_place", "_begin").select(*docs.columns)
+    fields = ", ".join(f"c{k} {kind}" for k, (_, kind) in enumerate(docs.dtypes))
+    laid = joined.mapInArrow(cut, f"{fields}, shard long, place long, begin long")
+    laid = laid.repartition("shard").sortWithinPartitions("shard", "place", "begin")
+    return laid.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)])

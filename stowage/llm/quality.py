@@ -115,7 +115,7 @@ def thresholds(measured: DataFrame, min_docs: int) -> DataFrame:
 
     def merged(by: list[str], prefix: str) -> DataFrame:
         sums = groups.groupBy(*by).agg(F.sum("n").alias(f"{prefix}n"), *[F.kll_merge_agg_double(r).alias(r) for r in names])
-        return sums.select(*by, f"{prefix}n", *fences(names, prefix)).withColumnRenamed("lang", f"{prefix}lang")
+        return sums.filter(F.col(f"{prefix}n") > 0).select(*by, f"{prefix}n", *fences(names, prefix)).withColumnRenamed("lang", f"{prefix}lang")
 
     own = groups.select("lang", "source", "n", *fences(names, ""))
     levels = own.join(merged(["lang"], "l_"), F.col("lang").eqNullSafe(F.col("l_lang")), "left").join(

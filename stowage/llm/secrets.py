@@ -46,6 +46,7 @@ DATE = re.compile(
 )
 LEET = str.maketrans("@43015$7", "aaeoisst")
 WORD_MOST = 24  # longest dictionary word
+WALK, STEP = math.log10(47 * 4), 0.1  # logarithms: where a walk starts and turns, and each of its keys
 
 
 def _neighbours() -> dict[str, str]:
@@ -95,7 +96,7 @@ def guess_cost(value: str, words: dict[str, float]) -> float:
             walk += 1
         else:
             if walk >= 4:
-                starts.setdefault(k - walk, []).append((k, math.log10(47 * 4) + 0.3 * walk))
+                starts.setdefault(k - walk, []).append((k, WALK + STEP * walk))
             walk = 1
     best = [0.0] + [math.inf] * n
     for k in range(n):

@@ -30,6 +30,7 @@ MEMO = 300_000  # token scores remembered by a worker
 PRIOR = 10.0  # documents that the prior is worth
 SURE = 1.0  # standard errors below the estimate
 LEAST = 0.5  # smallest log-odds that count
+CHANCE = 5.0  # traits that may stand out by chance
 FEWEST = 4  # documents below which no trait can stand out
 MOST = 8.0
 DRIFT = 0.5  # what any other token costs
@@ -87,7 +88,7 @@ def weights(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     """Lower bounds of the log-odds of traits that speak for toxicity; as many as the bounded sample can hold.
 
     A trait on n documents, k of them toxic, stands out when the bound exp(-n KL(k / n, base rate)) of the chance
-    to see that many, times the number of traits, is below one.
+    to see that many, times the number of traits, is below ``CHANCE``.
     """
     traits_seen = max(1, counts.count())
     base = (toxic + 0.5) / (toxic + clean + 1)
@@ -97,7 +98,7 @@ def weights(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     a, b = F.col("toxic") + n * PRIOR / (toxic + clean), F.col("clean") + n * PRIOR / (toxic + clean)
     odds = F.log(a / (toxic + PRIOR - a + 0.5)) - F.log(b / (clean + PRIOR - b + 0.5))
     bound = odds - SURE * F.sqrt(1 / a + 1 / (b + 0.5))
-    standing = counts.filter(F.col("toxic") > 0).filter((p > base) & (surprise >= math.log(traits_seen)))
+    standing = counts.filter(F.col("toxic") > 0).filter((p > base) & (surprise >= math.log(max(1.0, traits_seen / CHANCE))))
     rows = standing.select("trait", bound.alias("w")).filter(F.col("w") >= LEAST).collect()
     return {r["trait"]: min(MOST, r["w"]) for r in rows}
 
