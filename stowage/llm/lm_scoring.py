@@ -153,20 +153,38 @@ def summed(group: pd.DataFrame) -> pd.DataFrame:
 
 
 class Model:
-    """The broadcast form of the shards: sorted words, their counts, and one filter behind the other."""
-
-    def __init__(self, rows: list, bits: int):
-        rows = sorted(rows, key=lambda r: r["shard"])
-        join = lambda name, kind: np.frombuffer(b"".join(r[name] for r in rows), dtype=kind)
-        self.bits, self.words = bits, join("words", "u8")
-        self.counts, self.left = join("counts", "u8").astype(np.float64), join("left", "u8").astype(np.float32)
-        self.filter = join("filter", "u1")
-        sizes, begins, at = np.ones(1 << bits, np.uint64), np.zeros(1 << bits, np.uint64), 0
+    """The broadcast form of the shards: sorted words, their counts, and one filter behind the other.
+
+    It travels as the shards' own pieces, so that the driver holds one copy; a worker joins them when it first looks.
+    """
+
+    def __init__(self, rows, bits: int):
+        self.bits, self.pieces, self.n, self.v, self.open = bits, [], 0.0, 0, False
         for r in rows:
-            sizes[r["shard"]], begins[r["shard"]] = r["size"], at
-            at += r["size"]
-        self.sizes, self.begins = sizes, begins
-        self.n, self.v = float(self.counts.sum()), len(self.words)
+            counts, left = np.frombuffer(r["counts"], "u8"), np.frombuffer(r["left"], "u8")
+            narrow = "u4" if not len(counts) or counts.max() < 1 << 32 else "u8"
+            self.pieces.append((r["shard"], r["size"], bytes(r["words"]), counts.astype(narrow), left.astype("u4"), bytes(r["filter"])))
+            self.n += float(counts.sum())
+            self.v += len(counts)
+        self.pieces.sort(key=lambda x: x[0], reverse=True)
+
+    def ready(self) -> Model:
+        if self.open:
+            return self
+        wide = max((x[3].dtype for x in self.pieces), default=np.dtype("u4"))
+        self.words, self.counts = np.empty(self.v, "u8"), np.empty(self.v, wide)
+        self.left, self.filter = np.empty(self.v, "u4"), np.empty(sum(len(x[5]) for x in self.pieces), "u1")
+        self.sizes, self.begins = np.ones(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.uint64)
+        at = bit = 0
+        while self.pieces:  # each piece goes as soon as it is copied
+            shard, size, words, counts, left, bits = self.pieces.pop()
+            stop = at + len(counts)
+            self.words[at:stop], self.counts[at:stop], self.left[at:stop] = np.frombuffer(words, "u8"), counts, left
+            self.filter[bit // 8 : (bit + size) // 8] = np.frombuffer(bits, "u1")
+            self.sizes[shard], self.begins[shard] = size, bit
+            at, bit = stop, bit + size
+        self.open = True
+        return self
 
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count and number of preceding words of each word."""
@@ -174,7 +192,7 @@ class Model:
             return np.zeros(len(words)), np.zeros(len(words))
         at = np.minimum(np.searchsorted(self.words, words), self.v - 1)
         known = self.words[at] == words
-        return np.where(known, self.counts[at], 0.0), np.where(known, self.left[at], 0.0)
+        return np.where(known, self.counts[at], 0).astype(float), np.where(known, self.left[at], 0).astype(float)
 
     def level(self, before: np.ndarray, words: np.ndarray) -> np.ndarray:
         """The quantised count of each pair, by probing level after level until one is missing."""
@@ -242,11 +260,11 @@ def score_texts(
     need = model.agg(*[F.coalesce(F.sum(F.octet_length(p)), F.lit(0)).alias(p) for p in parts], F.coalesce(F.sum("entries"), F.lit(0)).alias("n")).first()
     if sum(need[p] for p in parts) > max_broadcast_mb << 20:
         return _scored_by_join(thin, model, need["n"])
-    shared = spark.sparkContext.broadcast(Model(model.collect(), bits))
+    shared = spark.sparkContext.broadcast(Model(model.toLocalIterator(), bits))
     entries = int(need["n"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm = shared.value
+        lm = shared.value.ready()
         for batch in batches:
             for part in chunks(batch, "_text"):
                 n, known, base, total = lm.score(part.column(2))
@@ -306,7 +324,7 @@ def _scored_by_join(thin: DataFrame, model: DataFrame, entries: int) -> DataFram
     def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         level = np.zeros(len(left), np.int64)
         if len(right) and len(left):
-            lm = Model([right.iloc[0].to_dict()], bits)
+            lm = Model([right.iloc[0].to_dict()], bits).ready()
             some = np.flatnonzero((left["cw"].to_numpy() > 0) & (left["ch"].to_numpy() > 0))
             w, h = (left[c].to_numpy().view(np.uint64)[some] for c in ("w", "h"))
             level[some] = lm.level(h, w)

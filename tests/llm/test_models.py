@@ -88,7 +88,7 @@ def test_filter_keeps_levels_and_grows():
     group = pd.DataFrame([(0, words[order].tobytes(), times[order].astype("u8").tobytes(), one.tobytes(), before[order].tobytes(), times[order].tobytes())],
                          columns=["shard", "words", "counts", "pairs", "before", "times"])
     row = lm_scoring.summed(group).iloc[0]
-    lm = lm_scoring.Model([row.to_dict() | {"shard": 0}], 2)
+    lm = lm_scoring.Model([row.to_dict() | {"shard": 0}], 2).ready()
     lm.sizes[:], lm.begins[:] = row["size"], 0
     levels = lm.level(before, words)
     want = lm_scoring.level_of(times)
