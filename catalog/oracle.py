@@ -127,13 +127,13 @@ CTES |= {
       then idpedido end as ddma from c_all""",
     "r_items": f"""select * from (select r.idingreso, a.itemno, r.fecha, r.descrip, r.idcontacto, r.retnum, r.bodega as bodega_x,
         a.idmodelo, a.inicial, a.pesokgs, a.ddma,
-        row_number() over (partition by r.idingreso || a.itemno
+        row_number() over (partition by r.idingreso, a.itemno
           order by {desc('r.fecha', 'r.idingreso', 'r.bodega', 'r.idubica', 'a.fecha')}, {TIE_A}) as k
       from s_receipts r left join r_all a on r.idingreso = a.idingreso) where k = 1""",
     "r_fact": f"""select * exclude (bodega_x, bodega_y, place_y, k, j) replace ({padded('idcontacto', '(select w from r_width)')} as idcontacto),
         {resolved('bodega_x', 'bodega_y', 'place_y')} as bodega, date_trunc('month', fecha) as month
       from (select m.*, l.bodega as bodega_y, l.idubica as place_y,
-          row_number() over (partition by m.idingreso || m.itemno order by l.numero, l.itemline, l.idubica) as j
+          row_number() over (partition by m.idingreso, m.itemno order by l.numero, l.itemline, l.idubica) as j
         from r_items m left join s_lines l on m.idingreso = l.idingreso) where j = 1""",
     "r_clients": f"select {padded('trim(idcontacto)', '(select w from r_width)')} as idcontacto, descrip from c_clients",
     "r_month": """select month, idcontacto, bodega, max(fecha) as fecha, count(retnum) as pallets,

@@ -467,7 +467,8 @@ def billing_stock(spark, sf):
 @lru_cache(maxsize=16)
 def outflow_lines(spark, sf):
     t = cleaned(spark, sf)
-    clients = flows.padded(t.clients, "idcontacto", 8)
+    width = flows.widest((t.dispatches, "idcontacto"), (t.clients, "idcontacto"))
+    clients = flows.padded(t.clients, "idcontacto", width)
     return billing.billing_outflow(shipped(spark, sf).fact, fills(spark, sf), t.receipts, clients, START, END)
 
 

@@ -15,11 +15,16 @@ from stowage.tables import Tables
 BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
+def padded_key(key: str, width: int) -> str:
+    """Zeros in front up to ``width``; a longer key is never cut."""
+    return f"lpad(cast({key} as string), cast(greatest({width}, length(cast({key} as string))) as int), '0')"
+
+
 def client_id(key: str) -> str:
-    return f"lpad(cast({key} as string), 6, '0') || case {key} % 3 when 1 then '_c' when 2 then '_e' else '' end"
+    return f"{padded_key(key, 6)} || case {key} % 3 when 1 then '_c' when 2 then '_e' else '' end"
 
 
-RECEIPT = "lpad(cast(l_orderkey as string), 10, '0')"
+RECEIPT = padded_key("l_orderkey", 10)
 ITEM = "lpad(cast(l_linenumber as string), 3, '0')"
 VOLUME = "cast(cast(l_quantity as int) * p_size as decimal(18,4))"
 QUANTITY = "cast(l_quantity as decimal(18,4))"
@@ -49,7 +54,7 @@ VIEWS = {
     "clients": f"""
 select {client_id('c_custkey')} as idcontacto, case when c_acctbal < 0 then null else c_name end as descrip
 from {{customer}}""",
-    "centers": "select lpad(cast(s_suppkey as string), 3, '0') as idcentro, s_name as descrip from {supplier}",
+    "centers": f"select {padded_key('s_suppkey', 3)} as idcentro, s_name as descrip from {{supplier}}",
     "products": "select cast(p_partkey as string) as idmodelo, p_name as descrip from {part}",
     "receipts": f"""
 select lpad(cast(o_orderkey as string), 10, '0') as idingreso, o_orderdate as fecha,

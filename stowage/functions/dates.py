@@ -31,6 +31,11 @@ def parse_day_first(c: Column) -> Column:
     return F.coalesce(*[one(p) for p in DAY_FIRST])
 
 
+def parse_day(c: Column) -> Column:
+    """Date from day-first text, or from ISO text with or without a time of day."""
+    return F.coalesce(parse_day_first(c), F.try_to_timestamp(c).cast("date"))
+
+
 def coerce_dates(df: DataFrame, *names: str, formats: Iterable[str] = ()) -> DataFrame:
     """Make the named columns timestamps: text is parsed, typed columns are only cast."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -83,9 +88,9 @@ def hours_between(start: Column, end: Column) -> Column:
 
 
 def at_time(day: Column, time_of_day: Column) -> Column:
-    """Timestamp from a day and a ``HH:mm:ss`` text; null where either is unusable."""
+    """Timestamp from a day and a ``H:m:s`` text; null where either is unusable."""
     text = F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), time_of_day)
-    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
+    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd H:m:s"))
 
 
 def in_range(c: Column, start=None, end=None) -> Column:

@@ -23,11 +23,19 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest: str, tie: Sequenc
     return hashed.withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "_hash")
 
 
-def latest_per_item(df: DataFrame, receipt: str, item: str, newest: str, tie: Sequence[str] | None = None) -> DataFrame:
-    """``latest_per_key`` on (receipt, item), where all rows lacking either part share one key."""
+def latest_per_item(
+    df: DataFrame, receipt: str, item: str, newest: str, tie: Sequence[str] | None = None, collapse_unmatched: bool = False
+) -> DataFrame:
+    """``latest_per_key`` on (receipt, item). Rows lacking either part have no key and all stay.
+
+    With ``collapse_unmatched`` they share one key, as empty keys do in the source systems, and only the newest
+    of them is left.
+    """
     known = F.col(receipt).isNotNull() & F.col(item).isNotNull()
     if tie is None:
         tie = [c for c in df.columns if c != newest]
+    if not collapse_unmatched:
+        return latest_per_key(df.filter(known), [receipt, item], newest, tie).unionByName(df.filter(~known))
     keyed = df.withColumns({"_k1": F.when(known, F.col(receipt)), "_k2": F.when(known, F.col(item))})
     return latest_per_key(keyed, ["_k1", "_k2"], newest, tie).drop("_k1", "_k2")
 

@@ -27,12 +27,15 @@ def fill_from_unique(
     ``source`` may name a smaller table with the same (key, value) pairs, such as a pre-aggregate.
     """
     only = unique_values(df if source is None else source, key, value, unknown)
-    # Only unknown rows look anything up; a null key matches nothing.
-    probe = F.when(F.col(value) == unknown, F.col(key))
+    # Only unknown rows look anything up. The others get a key of their own that no table has, so
+    # that they spread over the tasks, where nulls would all meet in one.
+    nowhere = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
+    probe = F.when((F.col(value) == unknown) & F.col(key).isNotNull(), F.col(key).cast("string")).otherwise(nowhere)
+    only = only.select(F.col(key).cast("string").alias("_probe"), "only")
     filled = F.coalesce(F.col("only"), F.col(value))
     return (
         df.withColumn("_probe", probe)
-        .join(only.withColumnRenamed(key, "_probe"), "_probe", "left")
+        .join(only, "_probe", "left")
         .withColumn(value, filled)
         .select(*df.columns)
     )
@@ -58,28 +61,37 @@ def attach_totals(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> D
     A grouped aggregate joined back, not a window: the aggregate is combined before the shuffle
     and AQE splits a hot key in the join, where a window would hold the key's rows in one task.
     """
-    totals = df.dropna(subset=list(keys)).groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
-    return df.join(totals, list(keys), "left")
+    made = [c.alias(n) for n, c in aggregates.items()]
+    return df.join(grouped_apart(df.dropna(subset=list(keys)), keys, *made), list(keys), "left")
+
+
+def grouped_apart(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """Aggregates per key, grouped on a hash of the keys as well.
+
+    A join on the keys then has to shuffle both its sides, and only such a join can AQE split; the
+    shuffle of an aggregate on the join's own keys would be reused and a hot key stay whole.
+    """
+    return df.groupBy(F.xxhash64(*keys).alias("_apart"), *keys).agg(*aggregates).drop("_apart")
 
 
 def expand(heads: DataFrame, items: DataFrame, key: str) -> DataFrame:
     """Left join of one row per key with any number of items per key.
 
     A left join cannot be split on its right side, where a hot key would sit here; an inner join
-    can. Keys without items are added from an anti join against the distinct item keys.
+    can. Keys without items are added from an anti join.
     """
-    bare = heads.join(items.select(key).distinct(), key, "left_anti")
+    bare = heads.join(items.select(key), key, "left_anti")
     return heads.join(items, key).unionByName(bare, allowMissingColumns=True)
 
 
 def missing_keys(df: DataFrame, register: DataFrame, key: str) -> DataFrame:
     """Rows whose key the register does not hold."""
-    return df.join(register.select(key).distinct(), key, "left_anti")
+    return df.join(register.select(key), key, "left_anti")
 
 
 def present_keys(df: DataFrame, register: DataFrame, key: str) -> DataFrame:
     """Rows whose key the register holds."""
-    return df.join(register.select(key).distinct(), key, "left_semi")
+    return df.join(register.select(key), key, "left_semi")
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:

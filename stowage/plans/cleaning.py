@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,24 +55,26 @@ def named_places(lines: DataFrame) -> DataFrame:
     return lines.fillna("", [c for c in LINE_TEXT if c in lines.columns]).withColumns(places)
 
 
-def clean(tables: Tables) -> Tables:
+def clean(tables: Tables, formats: Iterable[str] = ()) -> Tables:
     """Typed and filtered copies of the loaded tables.
 
+    Dates are ISO text, or written in one of ``formats`` where those are given.
+
     Every filter is on a stored column, so it reaches the scan. Nothing is sorted: "newest first"
     is an order key of the operators that need it.
     """
     t = tables.with_(**{n: df.select(*COLUMNS[n]) for n, df in tables.items()})
     stock_text = [c for c in COLUMNS["stock"] if c != "fecha"]
     return t.with_(
-        asn_headers=coerce_dates(t.asn_headers, "fecha"),
-        orders_out=coerce_dates(open_orders(t.orders_out), "fecha"),
+        asn_headers=coerce_dates(t.asn_headers, "fecha", formats=formats),
+        orders_out=coerce_dates(open_orders(t.orders_out), "fecha", formats=formats),
         order_lines_out=named_places(t.order_lines_out),
-        receipts=coerce_dates(t.receipts, "fecha"),
-        dispatches=coerce_dates(dispatch_class(t.dispatches), "fecha"),
-        dispatch_headers=coerce_dates(dispatch_class(t.dispatch_headers), "fecha"),
-        stock=coerce_dates(on_hand(t.stock), "fecha").fillna("", stock_text),
-        dispatched_stock=coerce_dates(dispatched(t.dispatched_stock), "fecha"),
-        stock_all=coerce_dates(without_retired(t.stock_all), "fecha").fillna("", stock_text),
+        receipts=coerce_dates(t.receipts, "fecha", formats=formats),
+        dispatches=coerce_dates(dispatch_class(t.dispatches), "fecha", formats=formats),
+        dispatch_headers=coerce_dates(dispatch_class(t.dispatch_headers), "fecha", formats=formats),
+        stock=coerce_dates(on_hand(t.stock), "fecha", formats=formats).fillna("", stock_text),
+        dispatched_stock=coerce_dates(dispatched(t.dispatched_stock), "fecha", formats=formats),
+        stock_all=coerce_dates(without_retired(t.stock_all), "fecha", formats=formats).fillna("", stock_text),
         clients=exclude(t.clients, "idcontacto", TEST_CLIENTS),
         centers=exclude(t.centers, "idcentro", TEST_CENTERS),
     )

@@ -49,12 +49,12 @@ def totals_by_client(per_id: DataFrame, clients: DataFrame) -> DataFrame:
     )
 
 
-def receipt_items(receipts: DataFrame, stock_all: DataFrame, collapse_unmatched: bool = True) -> DataFrame:
+def receipt_items(receipts: DataFrame, stock_all: DataFrame, collapse_unmatched: bool = False) -> DataFrame:
     """Receipts with their stock items, one row per (receipt, item).
 
     Both sides are reduced to one row per key before they meet, so the join never fans out.
-    Receipts without any stock item have no item key; like equal keys they become one row (the
-    newest), unless ``collapse_unmatched`` is off.
+    Receipts without any stock item have no item key; each stays, unless ``collapse_unmatched`` makes
+    them one row (the newest), as rows with empty keys are in the source systems.
     """
     columns = ["idingreso", "fecha", "descrip", "idcontacto", "retnum", "bodega", "idubica"]
     receipts = receipts.select(*columns)
@@ -75,7 +75,7 @@ def monthly_receipts(
     stock_all: DataFrame,
     order_lines_out: DataFrame,
     width: Column | int | None = None,
-    collapse_unmatched: bool = True,
+    collapse_unmatched: bool = False,
 ) -> Monthly:
     """Receipts by month, client and warehouse.
 

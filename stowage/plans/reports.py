@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,9 @@ def focus(tables: Tables, client: str | None = None, warehouse: str | None = Non
     return tables.with_(**facts)
 
 
-def prepare(tables: Tables, analysis: str | None = None, entity: str | None = None) -> Tables:
+def prepare(
+    tables: Tables, analysis: str | None = None, entity: str | None = None, formats: Iterable[str] = ()
+) -> Tables:
     """Focus on a client ('C') or warehouse ('W') and clean."""
     if analysis not in (None, CLIENT, WAREHOUSE):
         raise ValueError(f"analysis must be 'C' or 'W', not {analysis!r}")
@@ -42,7 +45,7 @@ def prepare(tables: Tables, analysis: str | None = None, entity: str | None = No
     tables = tables.with_(clients=trimmed)
     client = entity if analysis == CLIENT else None
     warehouse = entity if analysis == WAREHOUSE else None
-    return cleaning.clean(focus(tables, client, warehouse))
+    return cleaning.clean(focus(tables, client, warehouse), formats)
 
 
 def shared(tables: Tables) -> Tables:
@@ -99,6 +102,7 @@ def client_report(
     warehouse: str | None = None,
     opening: DataFrame | None = None,
     keep_shared: bool = True,
+    formats: Iterable[str] = (),
 ) -> ClientReport:
     """The whole report for a date range typed day first, for one client or for all.
 
@@ -106,7 +110,7 @@ def client_report(
     billing steps; with ``keep_shared`` each is written once.
     """
     lo, hi = date_range(start, end)
-    cleaned = cleaning.clean(focus(tables, client))
+    cleaned = cleaning.clean(focus(tables, client), formats)
     screened = screening.screen(cleaned)
     if warehouse is not None:
         screened = focus(screened, warehouse=warehouse)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stowage.functions.dates import in_range, parse_day_first
+from stowage.functions.dates import in_range, parse_day
 from stowage.functions.text import norm
 from stowage.tables import (
     LABOR_DELIVERY,
@@ -56,8 +56,8 @@ def read_overtime_tariffs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def prepare_labor(df: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """Labour sheet with its date parsed (day first), warehouse normalised and range applied."""
-    df = df.withColumn("Fecha", parse_day_first(F.col("Fecha")))
+    """Labour sheet with its date parsed (day first, or ISO), warehouse normalised and range applied."""
+    df = df.withColumn("Fecha", parse_day(F.col("Fecha").cast("string")))
     if "Bodega" in df.columns:
         df = df.withColumn("Bodega", norm(F.col("Bodega")))
     return df.filter(in_range(F.col("Fecha"), start, end))

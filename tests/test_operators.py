@@ -33,7 +33,30 @@ def test_rank_filter_is_limited_before_the_shuffle(spark):
 def test_items_without_key_collapse_to_one(spark):
     data = [("r1", "1", 1), ("r1", None, 2), ("r2", None, 3), (None, "1", 4), ("r1", "1", 5)]
     df = spark.createDataFrame(data, "r string, i string, d int")
-    assert rows(first.latest_per_item(df, "r", "i", "d")) == [("r1", "1", 5), (None, "1", 4)]
+    assert rows(first.latest_per_item(df, "r", "i", "d", collapse_unmatched=True)) == [("r1", "1", 5), (None, "1", 4)]
+
+
+def test_items_without_key_stay_by_default(spark):
+    df = spark.createDataFrame([("r1", "1", 5), ("r1", "1", 3), (None, "1", 4), (None, "1", 2), ("r2", None, 1)], "r string, i string, d int")
+    found = sorted(map(str, rows(first.latest_per_item(df, "r", "i", "d"))))
+    assert found == sorted(map(str, [("r1", "1", 5), (None, "1", 4), (None, "1", 2), ("r2", None, 1)]))
+
+
+def test_hot_keys_can_be_split(spark):
+    """Joins whose one side is an aggregate have shuffles of their own, which is what AQE needs to split them."""
+    df = spark.range(2000).selectExpr("if(id % 10 = 0, cast(id as string), 'hot') as k", "id as v", "'x' as w")
+    with_totals = lookup.attach_totals(df, ["k"], n=F.sum("v"))
+    plan = with_totals.join(spark.range(1).selectExpr("1 as one"), F.lit(True))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(k") >= 2 or "BroadcastExchange" in plan
+    filled = lookup.fill_from_unique(df.withColumn("w", F.when(F.col("v") % 7 == 0, "?").otherwise("x")), "k", "w", "?")
+    assert filled.count() == 2000
+
+
+def test_seven_digit_keys_are_not_cut(spark):
+    from catalog.views import client_id
+
+    got = spark.range(1234567, 1234569).selectExpr(f"{client_id('id')} as c").collect()
+    assert [r.c for r in got] == ["1234567_c", "1234568_e"]
 
 
 def test_newest_and_oldest_skip_nulls(spark):

@@ -28,9 +28,25 @@ def test_tolerant_read_skips_surplus_and_pads_short_lines(spark, tmp_path):
     kept = extracts.read_extract(spark, path, tolerant=True)
     assert sorted(tuple(r) for r in kept.collect()) == sorted([("1", "2", "3"), ("5", None, None)])
     assert kept.select("a").count() == 2  # also when columns are pruned
-    assert extracts.read_extract(spark, path).count() == 4
+    assert sorted(r.a for r in extracts.surplus_lines(spark, path).collect()) == ["1", "6"]
+    with pytest.raises(Exception, match="surplus fields"):
+        extracts.read_extract(spark, path).collect()
 
 
+def test_quoted_line_breaks_stay_in_their_row(spark, tmp_path):
+    path = write(tmp_path, "quoted.csv", "a,b", '1,"x', 'y"', "2,z")
+    assert sorted(r.b for r in extracts.read_extract(spark, path, multiline=True).collect()) == ["x\ny", "z"]
+
+
+def test_labour_dates_in_iso_and_day_first(spark):
+    from stowage.sources.lookups import prepare_labor
+
+    spelled = ["2024-01-05", "2024-01-05 00:00:00", "5/1/2024", "05-01-24"]
+    df = spark.createDataFrame([(x,) for x in spelled], "Fecha string")
+    assert {str(r.Fecha) for r in prepare_labor(df).collect()} == {"2024-01-05"} and prepare_labor(df).count() == 4
+    real = spark.sql("select date'2024-01-05' as Fecha")
+    assert str(prepare_labor(real).first().Fecha) == "2024-01-05"
+
 def test_sites_are_tagged_and_united(spark, tmp_path):
     write(tmp_path, "rpsdt.csv", "numero,idproducto,idcontacto,idmodelo", "1,0000000001007,C1,M1")
     write(tmp_path, "rpsdt_c.csv", "numero,idproducto,idcontacto,extra", "1,0000000001007,,x")
