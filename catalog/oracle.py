@@ -389,6 +389,8 @@ oracle("screened_stock", "select bodega, idcontacto, count(*) as rows, cast(sum(
 CLIENT_COLUMNS = f"{d('month')}, bodega, client, {ts('fecha')}, idcontacto, {i('pallets')}, {n('units', 'cbm')}"
 oracle("monthly_receipts", f"select {CLIENT_COLUMNS} from r_client")
 oracle("monthly_dispatches", f"select {CLIENT_COLUMNS} from o_client")
+for direction, cte in [("receipts", "r_client"), ("dispatches", "o_client")]:
+    oracle(f"report_warehouse_{direction}", f"select {CLIENT_COLUMNS} from {cte} where bodega = '{WAREHOUSE}'")
 oracle("monthly_dispatches_by_item", f"select {CLIENT_COLUMNS} from o_client_own")
 oracle("receipt_items", f"select idingreso, itemno, {ts('fecha')}, idcontacto, idmodelo, {n('inicial', 'ddma')}, bodega from r_fact")
 oracle("dispatch_items", f"""select trannum, idingreso, itemno, {ts('fecha')}, {ts('arrived')}, {n('cantidad', 'pesokgs')}, idubica1, bodega
@@ -416,6 +418,8 @@ DAYS = f"date_diff('day', date, date '{AS_OF}') as days"
 oracle("complete_volume", "select bodega, idmodelo, cast(sum(inicial) as double) as cbm, count(*) as rows from k_full group by all")
 oracle("stock_by_warehouse", """select bodega, idcontacto, cast(sum(inicial) as double) as cbm, count(idmodelo) as pallets,
   cast(sum(pesokgs) as double) as units from k_once group by all""")
+oracle("report_warehouse_stock", f"""select bodega, idcontacto, cast(sum(inicial) as double) as cbm, count(idmodelo) as pallets,
+  cast(sum(pesokgs) as double) as units from k_once where bodega = '{WAREHOUSE}' group by all""")
 oracle("stock_proportions", by_product("idmodelo", "idmodelo, model", SHARES))
 oracle("stock_ageing", by_product("date, idmodelo", f"{d('date')}, idmodelo, model", f"{SHARES}, {DAYS}"))
 oracle("stock_ageing_by_date", by_product("date", d("date"), f"{share('cbm')}, {DAYS}"))
@@ -428,6 +432,8 @@ oracle("pallet_mode", f"select idmodelo, {i('mode_count')} from b_mode")
 oracle("pallet_fills", "select idmodelo, mode_count from b_fills")
 oracle("billing_inflow", f"""select idingreso, idmodelo, {ts('received')}, description, {n('cbm')}, {i('pallets')}, {n('units')}, warehouse
   from b_inflow""")
+oracle("report_warehouse_billing", f"""select idingreso, idmodelo, {ts('received')}, description, {n('cbm')}, {i('pallets')}, {n('units')},
+  warehouse from b_inflow where warehouse = '{WAREHOUSE}'""")
 oracle("billing_stock", f"""select idingreso, itemno, label, {d('date')}, idcontacto, location, {n('cbm')}, {i('pallets')}, {n('units')},
   warehouse, {i('days')} from b_stock""")
 oracle("billing_outflow", f"""select trannum, idmodelo, {ts('arrival_date')}, {ts('shipping_date')}, days, description, idcontacto, client,

@@ -503,6 +503,34 @@ def report_kpis(spark, sf):
     return report.kpis
 
 
+@lru_cache(maxsize=16)
+def warehouse_report(spark, sf):
+    return reports.client_report(
+        tables(spark, sf), view(spark, sf, "product_volume"), view(spark, sf, "pallet_override"), "01-01-1997",
+        "31/12/98", AS_OF, warehouse=WAREHOUSE, keep_shared=False,
+    )
+
+
+@query
+def report_warehouse_receipts(spark, sf):
+    return warehouse_report(spark, sf).monthly_receipts
+
+
+@query
+def report_warehouse_dispatches(spark, sf):
+    return warehouse_report(spark, sf).monthly_dispatches
+
+
+@query
+def report_warehouse_stock(spark, sf):
+    return warehouse_report(spark, sf).stock_by_warehouse
+
+
+@query
+def report_warehouse_billing(spark, sf):
+    return warehouse_report(spark, sf).billing_inflow
+
+
 # ---- quality -------------------------------------------------------------------------------------
 
 

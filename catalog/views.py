@@ -57,12 +57,12 @@ from {{customer}}""",
     "centers": f"select {padded_key('s_suppkey', 3)} as idcentro, s_name as descrip from {{supplier}}",
     "products": "select cast(p_partkey as string) as idmodelo, p_name as descrip from {part}",
     "receipts": f"""
-select lpad(cast(o_orderkey as string), 10, '0') as idingreso, o_orderdate as fecha,
+select {padded_key('o_orderkey', 10)} as idingreso, o_orderdate as fecha,
   cast(o_orderkey % 9 as string) as items, o_orderstatus as transtatus,
   case when o_orderkey % 50 = 0 then null else o_orderpriority end as descrip,
   cast(o_orderkey % 2 as string) as available, 'EQ' || cast(o_orderkey % 5 as string) as equipo,
   {client_id('o_custkey')} as idcontacto,
-  case when o_orderkey % 7 = 0 then null else 'RET' || lpad(cast(o_orderkey as string), 10, '0') end as retnum
+  case when o_orderkey % 7 = 0 then null else 'RET' || {padded_key('o_orderkey', 10)} end as retnum
 from {{orders}}""",
     "stock": STOCK,
     "dispatches": f"""
@@ -107,7 +107,7 @@ from {{orders}}""",
 select o_orderstatus as idcoclase, cast(o_orderkey as string) as numero, cast(o_orderkey % 9 as string) as itemcount,
   cast(o_orderkey % 90 as string) as itemqty, o_orderdate as fecha, {client_id('o_custkey')} as idcontacto,
   o_orderpriority as descrip, o_orderstatus as idcostatus,
-  'RET' || lpad(cast(o_orderkey as string), 10, '0') as retnum, 'EQ' || cast(o_orderkey % 5 as string) as equipo
+  'RET' || {padded_key('o_orderkey', 10)} as retnum, 'EQ' || cast(o_orderkey % 5 as string) as equipo
 from {{orders}}""",
     "product_volume": """
 select cast(p_partkey as string) || ' ' as idmodelo, p_name as descrip, p_type as clasificacion,

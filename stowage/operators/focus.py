@@ -38,6 +38,15 @@ def focus_warehouse(tables: Sequence[DataFrame], warehouse: str | None, pattern:
     return [filter_any_column(t, pattern, warehouse) for t in tables]
 
 
+def in_warehouse(df: DataFrame, warehouse: str | None, column: str = "bodega") -> DataFrame:
+    """Rows whose assigned warehouse, in ``column``, is the one named; everything when none is named."""
+    if warehouse in (None, ALL_WAREHOUSES):
+        return df
+    if warehouse not in WAREHOUSES:
+        raise ValueError(f"unknown warehouse: {warehouse!r}")
+    return df.filter(F.col(column) == warehouse)
+
+
 def filter_exact(tables: Sequence[DataFrame], column: str, value: str) -> list[DataFrame]:
     """Rows whose ``column`` is exactly ``value``."""
     return [t.filter(F.col(column) == value) for t in tables]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stowage.functions.dates import date_range
-from stowage.operators.focus import filter_any_column
+from stowage.operators.focus import filter_any_column, in_warehouse
 from stowage.operators.totals import widest
 from stowage.plans import billing, cleaning, flows, inventory, labor, screening, stock
 from stowage.session import share
@@ -106,14 +106,16 @@ def client_report(
 ) -> ClientReport:
     """The whole report for a date range typed day first, for one client or for all.
 
+    ``warehouse`` narrows every table of the report to rows assigned to it. A row's warehouse is only
+    known at the end, from its stock, its outbound lines and its client, so inputs stay whole and
+    results are filtered: the reports of all warehouses add up to the report without one.
+
     The screened tables are shared by ten analyses, and the receipt, dispatch and stock rows by the
     billing steps; with ``keep_shared`` each is written once.
     """
     lo, hi = date_range(start, end)
     cleaned = cleaning.clean(focus(tables, client), formats)
     screened = screening.screen(cleaned)
-    if warehouse is not None:
-        screened = focus(screened, warehouse=warehouse)
     if keep_shared:
         screened = shared(screened)
     t = screened
@@ -135,22 +137,25 @@ def client_report(
 
     mode = billing.pallet_mode(by_warehouse.fact)
     fills = billing.mode_with_override(mode, pallet_override)
-    lines_in = billing.billing_inflow(received.fact, mode, lo, hi)
+    lines_in = in_warehouse(billing.billing_inflow(received.fact, mode, lo, hi), warehouse, "warehouse")
     lines_out = billing.billing_outflow(shipped.fact, fills, t.receipts, clients, lo, hi)
-    on_hand = billing.billing_stock(by_warehouse.fact, as_of)
+    lines_out = in_warehouse(lines_out, warehouse, "warehouse")
+    on_hand = in_warehouse(billing.billing_stock(by_warehouse.fact, as_of), warehouse, "warehouse")
 
+    monthly_in, monthly_out = (in_warehouse(m.by_client, warehouse) for m in (received, shipped))
     moved = inventory.flow_rows(
-        billing.billing_inflow_detail(received.fact, mode), billing.billing_outflow_detail(shipped.fact, fills)
+        in_warehouse(billing.billing_inflow_detail(received.fact, mode), warehouse),
+        in_warehouse(billing.billing_outflow_detail(shipped.fact, fills), warehouse),
     )
     daily = inventory.daily_levels(moved, opening=opening)
     return ClientReport(
-        received.by_client,
-        shipped.by_client,
-        flows.period_by_warehouse(received.by_client, lo, hi),
-        flows.period_by_warehouse(shipped.by_client, lo, hi),
-        by_warehouse.summary,
-        stock.stock_proportions(completed, product_volume, t.clients, width),
-        stock.stock_ageing(completed, product_volume, t.clients, as_of, width=width),
+        monthly_in,
+        monthly_out,
+        flows.period_by_warehouse(monthly_in, lo, hi),
+        flows.period_by_warehouse(monthly_out, lo, hi),
+        in_warehouse(by_warehouse.summary, warehouse),
+        stock.stock_proportions(completed, product_volume, t.clients, width, warehouse),
+        stock.stock_ageing(completed, product_volume, t.clients, as_of, width=width, warehouse=warehouse),
         lines_in,
         lines_out,
         on_hand,

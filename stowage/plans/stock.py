@@ -12,6 +12,7 @@ from stowage.functions.dates import age_days, coerce_dates
 from stowage.functions.numbers import DEFAULT_VOLUME, MEASURE, coerce_measures, measure, total
 from stowage.functions.text import zero_pad
 from stowage.operators.first import latest_per_item, newest
+from stowage.operators.focus import in_warehouse
 from stowage.operators.totals import shares, widest
 from stowage.plans.cleaning import on_hand
 from stowage.plans.flows import STOCK_MEASURES, STOCK_TIE
@@ -97,10 +98,17 @@ def _by_product(items: DataFrame, *keys: str) -> DataFrame:
 
 
 def stock_proportions(
-    stock: DataFrame, product_volume: DataFrame, clients: DataFrame, width: Column | int | None = None
+    stock: DataFrame,
+    product_volume: DataFrame,
+    clients: DataFrame,
+    width: Column | int | None = None,
+    warehouse: str | None = None,
 ) -> DataFrame:
-    """Stock by product with each product's share, largest volume share first."""
-    items = once_per_item(stock_items(stock, product_volume, clients, width))
+    """Stock by product with each product's share, largest volume share first.
+
+    With ``warehouse`` only items whose newest row lies there count, and shares are of that warehouse.
+    """
+    items = in_warehouse(once_per_item(stock_items(stock, product_volume, clients, width)), warehouse)
     return _by_product(items, "idmodelo").orderBy(F.desc("cbm_pct"), "idmodelo")
 
 
@@ -111,9 +119,13 @@ def stock_ageing(
     as_of: dt.date | str,
     by_product: bool = True,
     width: Column | int | None = None,
+    warehouse: str | None = None,
 ) -> DataFrame:
-    """Stock by receipt date (and product) with shares and days in stock, oldest first."""
-    items = once_per_item(stock_items(stock, product_volume, clients, width))
+    """Stock by receipt date (and product) with shares and days in stock, oldest first.
+
+    With ``warehouse`` only items whose newest row lies there count, and shares are of that warehouse.
+    """
+    items = in_warehouse(once_per_item(stock_items(stock, product_volume, clients, width)), warehouse)
     items = items.withColumn("date", F.to_date("fecha"))
     keys = ["date", "idmodelo"] if by_product else ["date"]
     aged = _by_product(items, *keys).withColumn("days", age_days(as_of, F.col("date")))

@@ -164,6 +164,26 @@ def test_one_client_only(spark, base, lookups):
     assert got.stock_by_warehouse.count() == 1
 
 
+def test_reports_of_all_warehouses_add_up(spark, base, lookups, report):
+    tables = load_tables(spark, base)
+    frames = ["monthly_receipts", "monthly_dispatches", "stock_by_warehouse", "billing_inflow", "billing_outflow", "billing_stock"]
+    whole = {name: getattr(report, name).collect() for name in frames}
+    places = {r[c] for rows in whole.values() for r in rows for c in ("bodega", "warehouse") if c in r}
+    assert {"BODA", "BODC", "BODE"} <= places
+    found = {name: [] for name in frames}
+    for place in sorted(places):
+        part = reports.client_report(tables, *lookups, "01-01-2024", "31/12/24", "2024-03-01", warehouse=place, keep_shared=False)
+        for name in frames:
+            found[name] += getattr(part, name).collect()
+    for name in frames:
+        assert sorted(map(repr, found[name])) == sorted(map(repr, whole[name])), name
+
+
+def test_a_report_needs_a_known_warehouse(spark, base, lookups):
+    with pytest.raises(ValueError, match="unknown warehouse"):
+        reports.client_report(load_tables(spark, base), *lookups, "01-01-2024", "31/12/24", "2024-03-01", warehouse="X", keep_shared=False)
+
+
 def test_prepare_and_summaries(spark, base, lookups):
     tables = load_tables(spark, base)
     prepared = reports.prepare(tables, "C", "C1")
