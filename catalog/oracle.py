@@ -319,9 +319,9 @@ oracle("calendar_days", """select strftime(unnest(generate_series((select min(o_
 SUFFIX = "case when right(idcontacto, 2) in ('_c', '_e') then right(idcontacto, 2) else '' end"
 oracle("csv_site_extracts", f"""select idingreso || {SUFFIX} as idingreso, {ts('fecha')}, idcontacto, retnum || {SUFFIX} as retnum,
   descrip from v_receipts""")
-oracle("site_tag_union", """select case estatus when '1' then numero when '5' then numero || '_c' else numero || '_e' end as numero,
-  case estatus when '1' then trannum when '5' then trannum || '_c' end as trannum,
-  case estatus when '1' then idcentro end as idcentro from v_orders_out where estatus is not null""")
+oracle("site_tag_union", """select case s when '1' then numero when '5' then numero || '_c' else numero || '_e' end as numero,
+  case s when '1' then trannum when '5' then trannum || '_c' end as trannum, case s when '1' then idcentro end as idcentro
+  from (select *, coalesce(estatus, '1') as s from v_orders_out)""")
 oracle("focus_client", f"select idingreso, {ts('fecha')}, idcontacto, retnum from v_receipts where idcontacto = '{CLIENT}'")
 oracle("focus_warehouse", f"""select {place('idubica')} as bodega, idubica, idstatus, count(*) as rows, cast(sum(inicial) as double) as cbm
   from v_stock where {place('idubica')} = '{WAREHOUSE}' group by all""")

@@ -132,7 +132,7 @@ def monthly_resample(spark, sf):
 
 @query
 def monthly_resample_with_gaps(spark, sf):
-    """Only the busiest dates, so that whole months stay empty."""
+    """Three months of the year with goods on hand, so that the months between stay empty."""
     daily = inventory.daily_levels(simple_flows(spark, sf)).filter("level_cbm > 0 and month(date) in (1, 4, 12)")
     return series.resample_months(daily, "date", ["inflow_cbm"], ["level_cbm"])
 
@@ -179,10 +179,11 @@ def csv_site_extracts(spark, sf):
 @query
 def site_tag_union(spark, sf):
     orders = view(spark, sf, "orders_out")
+    status = F.coalesce("estatus", F.lit("1"))
     slices = [("1", "", ["numero", "trannum", "idcentro"]), ("5", "_c", ["numero", "trannum"]), ("9", "_e", ["numero"])]
     parts = [
-        mark_site(orders.filter(F.col("estatus") == status).select(*names), SITE_KEYS["orders_out"], site)
-        for status, site, names in slices
+        mark_site(orders.filter(status == value).select(*names), SITE_KEYS["orders_out"], site)
+        for value, site, names in slices
     ]
     return union_all(parts)
 

@@ -116,11 +116,12 @@ from {part}""",
     "pallet_override": """
 select cast(p_partkey as string) as idmodelo, case when p_size <= 10 then cast(p_size as string) end as mode_count
 from {part}""",
-    # Goods received and shipped, one row per item, for the analyses that start from flows.
+    # Goods received and shipped, one row per item, for the analyses that start from flows. Some are
+    # booked in only after they left, so that levels would fall below zero.
     "received_rows": f"""
-select o_orderdate as fecha, {client_id('o_custkey')} as idcontacto, {VOLUME} as inicial, {QUANTITY} as pesokgs,
+select case l_returnflag when 'N' then o_orderdate else l_shipdate + interval 90 days end as fecha, {client_id('o_custkey')} as idcontacto, {VOLUME} as inicial, {QUANTITY} as pesokgs,
   cast(1 as decimal(18,4)) as pallets_final
-from {LINES} where l_returnflag = 'N'""",
+from {LINES}""",
     "shipped_rows": f"""
 select l_shipdate as fecha, {client_id('o_custkey')} as idcontacto, {VOLUME} as cantidad, {QUANTITY} as pesokgs,
   cast(1 as decimal(18,4)) as calculated_pallets
