@@ -445,9 +445,9 @@ oracle("billing_totals", " union all ".join(
 # ---- quality -------------------------------------------------------------------------------------
 
 oracle("missing_receipts", """select distinct idingreso from v_dispatches
-  where idingreso not in (select idingreso from v_receipts where descrip <> '5-LOW')""")
+  where idingreso not in (select idingreso from v_register)""")
 oracle("registered_dispatches", """select idclase, count(*) as rows, cast(sum(cantidad) as double) as cbm from v_dispatches
-  where idingreso in (select idingreso from v_receipts where retnum is not null) group by idclase""")
+  where idingreso in (select idingreso from v_register) group by idclase""")
 oracle("duplicate_receipts", "select idingreso, count(*) as rows from v_receipt_versions group by idingreso having count(*) > 1")
 oracle("undescribed_receipts", "select idingreso, idcontacto from v_receipts where descrip is null")
 

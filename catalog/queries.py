@@ -537,15 +537,13 @@ def report_warehouse_billing(spark, sf):
 
 @query
 def missing_receipts(spark, sf):
-    """Receipts dispatched but not in the register (here: those registered with a description)."""
-    register = view(spark, sf, "receipts").filter(F.col("descrip") != "5-LOW")
-    return quality.missing_receipts(view(spark, sf, "dispatches"), register)
+    """Receipts dispatched but not in the register, where some stand under another id."""
+    return quality.missing_receipts(view(spark, sf, "dispatches"), view(spark, sf, "register"))
 
 
 @query
 def registered_dispatches(spark, sf):
-    register = view(spark, sf, "receipts").filter(F.col("retnum").isNotNull())
-    kept = lookup.present_keys(view(spark, sf, "dispatches"), register, "idingreso")
+    kept = lookup.present_keys(view(spark, sf, "dispatches"), view(spark, sf, "register"), "idingreso")
     return kept.groupBy("idclase").agg(F.count("*").alias("rows"), F.sum("cantidad").alias("cbm"))
 
 

@@ -64,6 +64,9 @@ select {padded_key('o_orderkey', 10)} as idingreso, o_orderdate as fecha,
   {client_id('o_custkey')} as idcontacto,
   case when o_orderkey % 7 = 0 then null else 'RET' || {padded_key('o_orderkey', 10)} end as retnum
 from {{orders}}""",
+    # Receipts under the ids they are registered with; some are still provisional.
+    "register": f"""
+select case when o_orderpriority = '5-LOW' then 'N' else '' end || {padded_key('o_orderkey', 10)} as idingreso from {{orders}}""",
     "stock": STOCK,
     "dispatches": f"""
 select cast(l_orderkey * 10 + l_suppkey % 3 as string) as trannum, cast(l_linenumber as string) as lineano,
