@@ -71,6 +71,10 @@ def resolved(x: str, y: str, y_place: str) -> str:
       when {x} is null then {y} when {y} is null then {x} when {x} = {y} then {x} else {bad} end, {bad})"""
 
 
+def number(c: str) -> str:
+    return f"try_cast(regexp_extract({c}, '^[0-9]+') as hugeint) nulls last, {c}"
+
+
 def unknown(c: str) -> str:
     return f"case when {c} is null or trim({c}) = '' then 'DESCONOCIDO' else {c} end"
 
@@ -114,7 +118,7 @@ CTES |= {
     "p_dispatches": f"""select x.*, {unknown('f.idubica')} as idubica, {unknown('f.bodega')} as bodega
       from c_dispatches x left join (select * from (
         select idingreso, idubica, bodega,
-          row_number() over (partition by idingreso order by numero, itemline, idubica) as k from l_lines)
+          row_number() over (partition by idingreso order by {number('numero')}, {number('itemline')}, idubica) as k from l_lines)
         where k = 1) f on x.idingreso = f.idingreso""",
     "s_dispatches": f"select * replace ({forced('bodega')} as bodega) from p_dispatches",
     "s_headers": f"""select h.*, f.idubica, f.bodega from c_headers h join (select * from (
@@ -133,7 +137,7 @@ CTES |= {
     "r_fact": f"""select * exclude (bodega_x, bodega_y, place_y, k, j) replace ({padded('idcontacto', '(select w from r_width)')} as idcontacto),
         {resolved('bodega_x', 'bodega_y', 'place_y')} as bodega, date_trunc('month', fecha) as month
       from (select m.*, l.bodega as bodega_y, l.idubica as place_y,
-          row_number() over (partition by m.idingreso, m.itemno order by l.numero, l.itemline, l.idubica) as j
+          row_number() over (partition by m.idingreso, m.itemno order by {number('l.numero')}, {number('l.itemline')}, l.idubica) as j
         from r_items m left join s_lines l on m.idingreso = l.idingreso) where j = 1""",
     "r_clients": f"select {padded('trim(idcontacto)', '(select w from r_width)')} as idcontacto, descrip from c_clients",
     "r_month": """select month, idcontacto, bodega, max(fecha) as fecha, count(retnum) as pallets,

@@ -34,6 +34,12 @@ def zero_pad(c: Column, width: Column | int) -> Column:
     return F.lpad(c, F.greatest(width, F.length(c)), F.lit("0"))
 
 
+def number_order(c: Column) -> Column:
+    """Sort key of ids and line numbers: their leading digits as a number, those without any last, then text."""
+    number = F.regexp_extract(c, "^[0-9]+", 0).try_cast("decimal(38,0)")
+    return F.struct(number.isNull().alias("wordy"), number.alias("number"), c.alias("text"))
+
+
 def ten_digit_receipt(c: Column) -> Column:
     """Numeric receipt ids as ten digits; anything else is trimmed and padded to ten."""
     digits = F.regexp_replace(c, "^0+", "")

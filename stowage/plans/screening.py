@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stowage.functions.text import blank_to
+from stowage.functions.text import blank_to, number_order
 from stowage.functions.warehouse import UNKNOWN, assign_warehouse, force_site_warehouse
 from stowage.operators.first import newest
 from stowage.operators.lookup import expand
@@ -39,12 +39,14 @@ def one_per_receipt(receipts: DataFrame) -> DataFrame:
 def first_line_place(lines: DataFrame) -> DataFrame:
     """Warehouse and location of the first outbound line of each receipt.
 
-    ``lines`` are cleaned and located, so places are never null and one struct carries both.
+    ``lines`` are cleaned and located, so places are never null and one struct carries both. Order and
+    line numbers count as numbers: line 2 comes before line 10.
     """
+    order = [number_order(F.col(c)).alias(c) for c in ("numero", "itemline")]
     return (
         lines.filter(F.col("idingreso").isNotNull())
         .groupBy("idingreso")
-        .agg(F.min(F.struct("numero", "itemline", "idubica", "bodega")).alias("line"))
+        .agg(F.min(F.struct(*order, "idubica", "bodega")).alias("line"))
         .select("idingreso", "line.bodega", "line.idubica")
     )
 

@@ -27,6 +27,12 @@ def test_zero_pad_never_cuts(spark):
     assert texts(spark, ["7", "123456", None], text.zero_pad(F.col("c"), 4)) == ["0007", "123456", None]
 
 
+def test_number_order(spark):
+    values = ["10", "2", "B1", None, "2_c", "007", "A9", "9" * 45]
+    rows = spark.createDataFrame([(v,) for v in values], "c string").orderBy(text.number_order(F.col("c"))).collect()
+    assert [r.c for r in rows] == ["2", "2_c", "007", "10", None, "9" * 45, "A9", "B1"]
+
+
 def test_ten_digit_receipt(spark):
     values = ["12", "000000000000012", "AB1 ", "12_c", None]
     assert texts(spark, values, text.ten_digit_receipt(F.col("c"))) == [

@@ -97,6 +97,12 @@ def test_cleaning_and_screening(spark, base):
     assert first["0000000001"].descrip == "OC uno" and first["0000000002"].bodega == "DESCONOCIDO"
 
 
+def test_first_line_is_the_smallest_number(spark):
+    rows = [("R", "N10", "1", "A1", "BODA"), ("R", "5", "10", "C1", "BODC"), ("R", "5", "2", "G1", "BODG"), (None, "1", "1", "E1", "BODE")]
+    lines = spark.createDataFrame(rows, "idingreso string, numero string, itemline string, idubica string, bodega string")
+    assert [tuple(r) for r in screening.first_line_place(lines).collect()] == [("R", "BODG", "G1")]
+
+
 def test_monthly_receipts(report):
     rows = by(report.monthly_receipts, "client", "bodega")
     jan = dt.date(2024, 1, 1)
