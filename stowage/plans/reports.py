@@ -103,6 +103,9 @@ def client_report(
     opening: DataFrame | None = None,
     keep_shared: bool = True,
     formats: Iterable[str] = (),
+    collapse_unmatched: bool = False,
+    match_item: bool = False,
+    pallets: str = "per_row",
 ) -> ClientReport:
     """The whole report for a date range typed day first, for one client or for all.
 
@@ -110,6 +113,9 @@ def client_report(
     known at the end, from its stock, its outbound lines and its client, so inputs stay whole and
     results are filtered: the reports of all warehouses add up to the report without one.
 
+    ``collapse_unmatched`` is that of ``flows.monthly_receipts``, ``match_item`` that of
+    ``flows.monthly_dispatches`` and ``pallets`` that of the billing details behind the levels.
+
     The screened tables are shared by ten analyses, and the receipt, dispatch and stock rows by the
     billing steps; with ``keep_shared`` each is written once.
     """
@@ -125,8 +131,8 @@ def client_report(
     width = widest((stored.receipts, "idcontacto"), (stored.dispatches, "idcontacto"), (t.clients, "idcontacto"))
     receipt_width = widest((stored.dispatches, "idingreso"), (stored.dispatched_stock, "idingreso"))
     clients = flows.padded(t.clients, "idcontacto", width)
-    received = flows.monthly_receipts(t.receipts, t.clients, t.stock_all, t.order_lines_out, width)
-    shipped = flows.monthly_dispatches(t.dispatches, t.dispatched_stock, t.clients, client_width=width, receipt_width=receipt_width)
+    received = flows.monthly_receipts(t.receipts, t.clients, t.stock_all, t.order_lines_out, width, collapse_unmatched)
+    shipped = flows.monthly_dispatches(t.dispatches, t.dispatched_stock, t.clients, match_item, width, receipt_width)
 
     completed = stock.complete_volume(t.stock, product_volume)
     by_warehouse = stock.stock_by_warehouse(completed, product_volume, t.clients, width)
@@ -144,8 +150,8 @@ def client_report(
 
     monthly_in, monthly_out = (in_warehouse(m.by_client, warehouse) for m in (received, shipped))
     moved = inventory.flow_rows(
-        in_warehouse(billing.billing_inflow_detail(received.fact, mode), warehouse),
-        in_warehouse(billing.billing_outflow_detail(shipped.fact, fills), warehouse),
+        in_warehouse(billing.billing_inflow_detail(received.fact, mode, pallets), warehouse),
+        in_warehouse(billing.billing_outflow_detail(shipped.fact, fills, pallets), warehouse),
     )
     daily = inventory.daily_levels(moved, opening=opening)
     return ClientReport(

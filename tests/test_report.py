@@ -190,6 +190,16 @@ def test_a_report_needs_a_known_warehouse(spark, base, lookups):
         reports.client_report(load_tables(spark, base), *lookups, "01-01-2024", "31/12/24", "2024-03-01", warehouse="X", keep_shared=False)
 
 
+def test_switches_reach_the_report(spark, base, lookups, report):
+    got = reports.client_report(
+        load_tables(spark, base), *lookups, "01-01-2024", "31/12/24", "2024-03-01", keep_shared=False,
+        collapse_unmatched=True, match_item=True, pallets="per_group",
+    )
+    rows, groups = (sum(r.pallets_in for r in x.daily.select("pallets_in").collect()) for x in (report, got))
+    billed = sum(r.pallets for r in got.billing_inflow.collect())
+    assert groups < rows and round(groups, 3) == billed
+
+
 def test_prepare_and_summaries(spark, base, lookups):
     tables = load_tables(spark, base)
     prepared = reports.prepare(tables, "C", "C1")
