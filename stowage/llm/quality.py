@@ -2,8 +2,9 @@
 
 Every document gets its counts in one pass over the text. KLL sketches of its ratios are built per language and
 source; as they can be merged, those of a language and of the whole corpus are made from them without reading a
-document again. A document is kept when each ratio lies inside the fences of its own group, or of its language
-or the corpus where the group has too few documents to tell.
+document again. A fence is an upper quantile of a group and a multiple of the group's own spread beyond it, so it
+is never a constant. A document is kept when each ratio lies inside the fences of its group, which are drawn towards
+those of its language, and these towards the corpus, the fewer documents there are to tell.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from stowage.session import share
 
 SYMBOLS = "[#*$%&|<>]"  # fixed value
 SKETCH_K = 800
-# Per ratio: how many interquartile ranges a fence stands off, and the least distance from the quartile.
-FENCES = {"symbol_share": (6.0, 0.03), "dup_line_share": (6.0, 0.25), "repeat_share": (6.0, 0.3), "word_length": (6.0, 2.0)}
+# Per ratio: the quantile a fence starts from. Text full of signs can be a twelfth of a corpus, so those start lower.
+FENCES = {"symbol_share": 0.9, "dup_line_share": 0.99, "repeat_share": 0.99, "word_length": 0.9}
+SPREADS = 3.0  # how many times the way from the median to the 0.9 quantile a fence stands beyond it
 TWO_SIDED = ["word_length"]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SALTS = 32
+WORD_LINE = r"[^\x20\x09-\x0D][^\n]*"  # matches once in each line that holds a word
 
 
 def repeat_words(hashes: Column) -> Column:
@@ -72,7 +75,7 @@ def features(text: Column) -> Column:
                 F.regexp_count(filled, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
                 dup_lines(filled).alias("n_dup_lines"),
                 let(F.transform(words, lambda w: F.xxhash64(w)), repeat_words).alias("n_repeat_words"),
-                F.regexp_count(filled, F.lit("\n")).cast("long").alias("n_breaks"),
+                F.regexp_count(filled, F.lit(WORD_LINE)).cast("long").alias("n_lines"),
             ),
         )
 
@@ -83,8 +86,7 @@ def ratios() -> dict[str, Column]:
     words, chars = F.greatest("n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
     return {
         "symbol_share": F.col("n_symbols") / chars,
-        # four lines more, so that one repeat in a text of three lines is no third of it
-        "dup_line_share": F.col("n_dup_lines") / (F.col("n_breaks") + 5),
+        "dup_line_share": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)),
         "repeat_share": F.col("n_repeat_words") / words,
         "word_length": F.col("word_chars") / words,
     }
@@ -94,17 +96,20 @@ def fences(sketches: list[str], prefix: str) -> list[Column]:
     """The outer bounds of each ratio from its sketch."""
     out = []
     for name in sketches:
-        spread, least = FENCES[name]
-        q = F.kll_sketch_get_quantile_double(F.col(name), F.array(F.lit(0.25), F.lit(0.75)))
-        off = F.greatest(F.lit(least), (q[1] - q[0]) * spread)
-        out.append((q[1] + off).alias(f"{prefix}{name}_high"))
+        p = FENCES[name]
+        q = F.kll_sketch_get_quantile_double(F.col(name), F.array(*map(F.lit, (1 - p, 0.1, 0.5, 0.9, p))))
+        out.append((q[4] + (q[3] - q[2]) * SPREADS).alias(f"{prefix}{name}_high"))
         if name in TWO_SIDED:
-            out.append((q[0] - off).alias(f"{prefix}{name}_low"))
+            out.append((q[0] - (q[2] - q[1]) * SPREADS).alias(f"{prefix}{name}_low"))
     return out
 
 
 def thresholds(measured: DataFrame, min_docs: int) -> DataFrame:
-    """(lang, source, a ``_high`` and perhaps ``_low`` per ratio), from the merged sketches."""
+    """(lang, source, a ``_high`` and perhaps ``_low`` per ratio), from the merged sketches.
+
+    A group of ``min_docs`` documents or more has its own fences; a smaller one counts as n / ``min_docs`` beside its
+    language, and so does the language beside the corpus.
+    """
     names = list(FENCES)
     groups = share(
         measured.groupBy("lang", "source").agg(
@@ -122,14 +127,14 @@ def thresholds(measured: DataFrame, min_docs: int) -> DataFrame:
         merged([], "c_"), F.lit(True), "left"
     )
     bounds = [f"{r}_high" for r in names] + [f"{r}_low" for r in TWO_SIDED]
+
+    def shrunk(n: str, own: Column, wider: Column) -> Column:
+        w = F.least(F.lit(1.0), F.col(n) / max(1, min_docs))
+        return F.when(w >= 1, own).otherwise(own * w + wider * (1 - w))
+
     return levels.select(
         F.col("lang").alias("_lang"), F.col("source").alias("_source"),
-        *[
-            F.when(F.col("n") >= min_docs, F.col(b))
-            .when(F.col("l_n") >= min_docs, F.col(f"l_{b}"))
-            .otherwise(F.col(f"c_{b}")).alias(b)
-            for b in bounds
-        ],
+        *[shrunk("n", F.col(b), shrunk("l_n", F.col(f"l_{b}"), F.col(f"c_{b}"))).alias(b) for b in bounds],
     )
 
 

@@ -109,3 +109,20 @@ def test_salted_join_gives_the_same(make):
     docs = make([(k, prose(k), None if k % 2 else "s") for k in range(60)])
     one, two = (sorted(map(str, quality(docs, min_docs=5, broadcast_rows=n).collect())) for n in (100_000, 0))
     assert one == two
+
+
+def test_fences_follow_the_sketches_and_not_a_constant(make):
+    """One line of three is a repeat, which is below any fixed quarter once blank lines count."""
+    lines = [f"{prose(k, 40)}\n\n\n{prose(k + 1, 40)}\n\n\n{prose(k + 2, 40)}" for k in range(200)]
+    docs = [(k, t, "s") for k, t in enumerate(lines)] + [(900, f"{prose(3, 80)}\n\n\nsee below\n\n\nsee below", "s")]
+    found = {r.doc_id: r for r in quality(make(docs), min_docs=20).collect()}
+    assert found[900].dup_line_share == 1 / 3 and not found[900].kept
+    assert all(found[k].kept for k in range(200))
+
+
+def test_small_groups_are_drawn_towards_the_wider_one(make):
+    signs = lambda k, step: " ".join(w + "#" * (j % step == 0) for j, w in enumerate(prose(k).split()))
+    docs = [(k, prose(k), "s") for k in range(300)] + [(1000 + k, signs(k, 4), "m") for k in range(30)]
+    few, own = ({r.doc_id: r.kept for r in quality(make(docs), min_docs=n).collect()} for n in (3000, 30))
+    assert all(own.values())
+    assert all(few[k] for k in range(300)) and not any(few[1000 + k] for k in range(30))
