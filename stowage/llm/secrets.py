@@ -192,8 +192,8 @@ def find_secrets(docs: DataFrame, text: str = "text", least_cost: float = 9.0, d
     """Per row: ``doc_id``, how many spans of each kind, and ``found``: (kind, start, stop) in code points.
 
     Whole texts are scanned in one pass. A null text counts as empty and has no spans; repeated rows stay; an
-    empty table gives none; other columns are not read. A guessed value that overlaps a base span adds nothing and
-    is left out.
+    empty table gives none; other columns are not read. A guessed value that lies wholly inside one base span adds
+    nothing and is left out; one that reaches beyond it is told beside it.
     """
     costs = docs.sparkSession.sparkContext.broadcast(word_costs(frequent_words(docs, text, dictionary)))
 
@@ -205,7 +205,7 @@ def find_secrets(docs: DataFrame, text: str = "text", least_cost: float = 9.0, d
                 t = t.as_py() or ""
                 spans = base_spans(t)
                 for g in guess_spans(t, words, least_cost):
-                    if all(g[2] <= s[0] or s[2] <= g[0] for s in spans if s[1] < 3):
+                    if not any(s[0] <= g[0] and g[2] <= s[2] for s in spans if s[1] < 3):
                         spans.append(g)
                 spans.sort()
                 n = Counter(s[1] for s in spans)

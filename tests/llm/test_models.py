@@ -197,6 +197,18 @@ def test_base_spans_by_the_letter(make, odd_rows):
     assert find_secrets(make([])).count() == 0
 
 
+def test_guessed_values_that_reach_beyond_a_base_span(make):
+    texts = [
+        "password: summer#Xk9vQ2!mZ7p", "pwd: zQ#0123456789abcdef01234567#Xk9v", "api_key=Zt7bQw!8#rLp2", "token: Xk9vQ2wmZ7pLr4",
+    ]
+    found = {r.doc_id: r for r in find_secrets(make([(k, t, "s") for k, t in enumerate(texts)])).collect()}
+    told = lambda k: [(s.kind, texts[k][s.start : s.stop]) for s in found[k].found]
+    assert told(0) == [("assign", "password: summer"), ("guess", "summer#Xk9vQ2!mZ7p")]
+    assert told(1) == [("guess", "zQ#0123456789abcdef01234567#Xk9v"), ("hex", "0123456789abcdef01234567")]
+    assert told(2) == [("assign", "api_key=Zt7bQw"), ("guess", "Zt7bQw!8#rLp2")]
+    assert told(3) == [("assign", texts[3])]
+
+
 def brute_cost(value, words):
     """Cheapest segmentation by trying all, with the same segment costs."""
     n, low = len(value), value.lower()
