@@ -3,13 +3,17 @@
 A table of the index projects every vector on a number of random directions. All but one are cut into cells; in
 each combination of cells, rows are sorted by the last projection, and a pair collides when one lies in the window
 centred on the other. Vectors at the threshold collide in a known share of the tables, unrelated ones hardly ever.
-Collisions are counted per pair over all tables; pairs that reach a count are verified on the vectors. The count is
-calibrated: a bounded sample of vectors is compared with all others by brute force, and half of the largest count
-that still finds all of its links is taken.
+Collisions are counted per pair over all tables; pairs that reach a count are verified on the vectors. Cells per
+table grow with the number of vectors, which makes a collision rarer, so the number of tables follows from them: a
+pair right at the threshold reaches two collisions with chance 1 - ``MISS``, at any size. The count is calibrated: a
+bounded sample of vectors is compared with all others by brute force, and half of the largest count that still finds
+all of its links is taken, as far as a pair at the threshold still reaches it with that chance. Tables are added
+until the sample's own loss at that count is no more than ``MISS``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +31,30 @@ WINDOW = 3.0  # half width of the window, alike
 APART = 0.40  # chance that unrelated vectors share a cell; fixes how many cells a table needs
 MOST_ROWS = 4000  # rows of a cell that one task pairs at once
 SAMPLE = 400  # vectors compared with all others to calibrate the count
+MISS = 0.001  # share of links at the threshold that may be lost
+
+
+def chance(cells: int) -> float:
+    """That a pair right at the threshold collides in a table: its projected difference is normal."""
+    within = lambda x: math.erf(x / math.sqrt(2))
+    same = within(CELL) - math.sqrt(2 / math.pi) * (1 - math.exp(-CELL * CELL / 2)) / CELL
+    return same**cells * within(WINDOW)
+
+
+def recall(tables: int, cells: int, count: int) -> float:
+    """That such a pair collides in ``count`` tables at least."""
+    q = chance(cells)
+    return 1 - sum(math.comb(tables, k) * q**k * (1 - q) ** (tables - k) for k in range(count))
+
+
+def tables_for(cells: int, least: int) -> tuple[int, int]:
+    """Tables, ``least`` or more, in which a pair at the threshold reaches two collisions, and the count it reaches."""
+    tables, count = least, 2
+    while recall(tables, cells, count) < 1 - MISS:
+        tables += max(1, tables // 50)
+    while recall(tables, cells, count + 1) >= 1 - MISS:
+        count += 1
+    return tables, count
 
 
 def directions(dim: int, tables: int, cells: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +201,8 @@ def near_vectors(
 
     Equal vectors are one from the start, with their number kept as weight, so a crowd of copies costs as much as
     one vector; all of them link with each other. Links are verified in double precision, none lies below
-    ``cosine``. Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do
+    ``cosine``, and one at ``cosine`` is lost with chance ``MISS``, nearer ones more seldom; ``tables`` is the least number
+    of tables, and grows with the rows. Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do
     those of different lengths with each other; rows with a null id link with nothing and have null
     ``component_id`` and ``kept``. Rows that share an id count as one vector. An empty table gives none. Other
     columns are not read.
@@ -214,11 +243,25 @@ def near_vectors(
 def _links_of(nodes: DataFrame, dim: int, cosine: float, tables: int, seed: int) -> DataFrame:
     n = nodes.count()
     cells = min(24, max(2, round(np.log(max(n, 2)) / -np.log(APART))))
-    rows = share(project(nodes, dim, tables, cells, cosine, seed), "projections")
-    counted = share(collisions(rows, WINDOW * float(np.sqrt(2 - 2 * cosine)), n * tables), "collisions")
-    truth = sample_links(nodes, SAMPLE, cosine)
-    seen = truth.join(counted, ["a", "b"], "left").groupBy(F.coalesce("n", F.lit(0)).alias("n")).agg(F.count("*").alias("k")).collect()
-    total, least = sum(r["k"] for r in seen), 1
-    while least < tables and total and sum(r["k"] for r in seen if r["n"] > least) == total:
-        least += 1
-    return cosines(counted.filter(F.col("n") >= max(1, least // 2)).select("a", "b"), nodes, cosine)
+    more, sure = tables_for(cells, tables)
+    window = WINDOW * float(np.sqrt(2 - 2 * cosine))
+
+    def counts(tables: int, seed: int) -> DataFrame:
+        rows = share(project(nodes, dim, tables, cells, cosine, seed), "projections")
+        return share(collisions(rows, window, n * tables), "collisions")
+
+    counted = counts(more, seed)
+    truth = share(sample_links(nodes, SAMPLE, cosine), "sample-links")
+
+    def found(counted: DataFrame) -> dict[int, int]:
+        seen = truth.join(counted, ["a", "b"], "left").groupBy(F.coalesce("n", F.lit(0)).alias("n")).agg(F.count("*").alias("k"))
+        return {r["n"]: r["k"] for r in seen.collect()}
+
+    seen = found(counted)
+    count = max(1, min(sure, min(seen, default=0) // 2)) if seen else sure
+    while sum(k for m, k in seen.items() if m < count) > MISS * sum(seen.values()):
+        seed += 1
+        both = counted.unionByName(counts(tables, seed))
+        counted = share(both.groupBy("a", "b").agg(F.sum("n").alias("n")), "collisions")
+        seen = found(counted)
+    return cosines(counted.filter(F.col("n") >= count).select("a", "b"), nodes, cosine)

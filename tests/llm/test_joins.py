@@ -203,3 +203,25 @@ def test_vectors_sql(spark):
     con.execute(f"create view embeddings as select * from '{SF}/embeddings.parquet'")
     theirs = sorted(con.execute(VECTORS_SQL).fetchall())
     assert sorted(tuple(r) for r in near_vectors(table(spark, SF, "embeddings")).collect()) == theirs
+
+
+def test_recall_at_the_threshold_holds_at_any_size():
+    for n in (10**4, 10**5, 10**6, 5 * 10**6, 10**8):
+        cells = round(np.log(n) / -np.log(embedding_dedup.APART))
+        tables, count = embedding_dedup.tables_for(cells, 96)
+        assert tables >= 96 and count >= 2 and embedding_dedup.recall(tables, cells, count) >= 0.999
+    rng = np.random.default_rng(0)
+    apart, shift = np.abs(rng.standard_normal((200_000, 3))), rng.random((200_000, 2))
+    met = (np.floor(apart[:, :2] / embedding_dedup.CELL + shift) == 0).all(axis=1) & (apart[:, 2] <= embedding_dedup.WINDOW)
+    assert abs(met.mean() - embedding_dedup.chance(2)) < 0.005
+
+
+def test_links_at_the_threshold_survive_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "APART", 0.7)  # as many cells as millions of vectors have
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(300):
+        x, y = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+        rows += [(2 * k, x.tolist()), (2 * k + 1, (0.9501 * x + np.sqrt(1 - 0.9501**2) * y).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sum(r.n_links for r in near_vectors(df).collect()) >= 598
