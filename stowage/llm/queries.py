@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stowage.llm.alignment import alignment
+from stowage.llm.conversation_trie import TRIE_SQL, conversation_trie
 from stowage.llm.embedding_dedup import near_vectors
 from stowage.llm.jaccard_join import jaccard_join
 from stowage.llm.line_dedup import LINE_DEDUP_SQL, line_dedup
@@ -15,6 +18,7 @@ from stowage.llm.quality import quality
 from stowage.llm.secrets import find_secrets, secrets_digest
 from stowage.llm.shipping import ship
 from stowage.llm.token_counts import token_counts
+from stowage.llm.top_k import TOP_K_SQL, top_k
 from stowage.llm.toxicity import toxicity
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -67,6 +71,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_digest(find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_token_counts": op1,
     "op2_packing": op2,
@@ -78,6 +94,9 @@ QUERIES = {
     "op8_toxicity": op8,
     "op9_embedding_dedup": op9,
     "op10_secrets": op10,
+    "op11_alignment": op11,
+    "op12_conversation_trie": op12,
+    "op13_top_k": op13,
 }
 
 JACCARD_SQL = r"""
@@ -127,4 +146,7 @@ from v join (select vec_id, min(other) as component_id from reach group by vec_i
 left join (select a, count(*) as n from links group by a) n on n.a = v.vec_id
 """
 
-ORACLE = {"op4_line_dedup": LINE_DEDUP_SQL, "op6_jaccard_join": JACCARD_SQL, "op9_embedding_dedup": VECTORS_SQL}
+ORACLE = {
+    "op4_line_dedup": LINE_DEDUP_SQL, "op6_jaccard_join": JACCARD_SQL, "op9_embedding_dedup": VECTORS_SQL,
+    "op12_conversation_trie": TRIE_SQL, "op13_top_k": TOP_K_SQL,
+}
