@@ -23,9 +23,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stowage.llm.shipping import let_go
 from stowage.llm.words import chunks
 from stowage.session import share
 
+PROBE = "It's 12 o'clock,\n\n  über 中文 \U0001f600x<|endoftext|>  end "
 MARK = "▁"  # fixed value: what the second library writes for a space
 A_SHIFT = 32  # a pair of ids as one number: the A id above, the B id below
 SPREAD = 4_000_000  # terms of a product made at once
@@ -86,15 +88,23 @@ def summed(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Tokens:
-    """The ids of a text under both tokenizers and the bytes of every id."""
+    """The ids of a text under both tokenizers and the bytes of every id.
 
-    def __init__(self, byte_file: str, piece_file: str):
+    ``ranks_file`` may hold the vocabulary of ``byte_file`` as ranks, for a library that splits and merges alike
+    several times as fast. It is used where a probe text comes out the same, and the tokenizer itself for texts that
+    it refuses.
+    """
+
+    def __init__(self, byte_file: str, piece_file: str, ranks_file: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(byte_file)
         self.a.encode_special_tokens = True  # their strings in a text are plain text
+        self.fast = _by_ranks(ranks_file) if ranks_file else None
+        if self.fast and self.fast.encode_ordinary(PROBE) != self.a.encode(PROBE, add_special_tokens=False).ids:
+            self.fast = None
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
         letters = _byte_letters()
         named = self.a.get_vocab(with_added_tokens=True)
@@ -114,7 +124,7 @@ class Tokens:
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids per text; none where a text is empty or either side's bytes are not those of space and text."""
-        a = [e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
+        a = [self.byte_ids(f" {t}") for t in texts]
         b = self.b.encode(texts, num_threads=1)
         out = []
         for text, x, y in zip(texts, a, b):
@@ -124,6 +134,26 @@ class Tokens:
         return out
 
 
+    def byte_ids(self, text: str) -> list[int]:
+        if self.fast:
+            try:
+                return self.fast.encode_ordinary(text)
+            except ValueError:  # runs that are too long for the faster library's pattern engine
+                pass
+        return self.a.encode(text, add_special_tokens=False).ids
+
+
+def _by_ranks(ranks_file: str):
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(ranks_file, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def _byte_letters() -> dict[str, int]:
     """The letter that stands for each byte: printable Latin-1 for itself, the others from code point 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -131,14 +161,13 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-_LOADED: dict[tuple[str, str], Tokens] = {}
+_LOADED: dict[tuple, Tokens] = {}
 
 
-def loaded(byte_file: str, piece_file: str) -> Tokens:
-    key = (byte_file, piece_file)
-    if key not in _LOADED:
-        _LOADED[key] = Tokens(byte_file, piece_file)
-    return _LOADED[key]
+def loaded(*files: str | None) -> Tokens:
+    if files not in _LOADED:
+        _LOADED[files] = Tokens(*files)
+    return _LOADED[files]
 
 
 class Aligned:
@@ -222,7 +251,7 @@ def overlap_links(docs: DataFrame, byte_file: str, piece_file: str, text: str =
     return thin.mapInArrow(link, "doc_id long, a_at long, b_at long, a_id long, b_id long, n_bytes long")
 
 
-def aligned(docs: DataFrame, byte_file: str, piece_file: str, text: str = "text") -> DataFrame:
+def aligned(docs: DataFrame, byte_file: str, piece_file: str, text: str = "text", ranks_file: str | None = None) -> DataFrame:
     """Per row the counts of tokens, groups and links, the hash of its groups, and its linked pairs of ids, packed:
     ``pairs`` are A id * 2**32 + B id and ``times`` the occurrences linked, eight bytes each, ascending by pair.
 
@@ -232,7 +261,7 @@ def aligned(docs: DataFrame, byte_file: str, piece_file: str, text: str = "text"
     """
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = loaded(byte_file, piece_file)
+        tokens = loaded(byte_file, piece_file, ranks_file)
         for batch in batches:
             for some in chunks(batch, "_text"):
                 both = Aligned(tokens, _texts(some, 2))
@@ -258,6 +287,7 @@ def aligned(docs: DataFrame, byte_file: str, piece_file: str, text: str = "text"
                     "n_pairs": pa.array([len(x) // 8 for x in pairs], pa.int64()),
                     "pairs": pa.array(pairs, pa.binary()), "times": pa.array([b"".join(x) for x in counts], pa.binary()),
                 })
+        let_go()
 
     thin = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), docs[text].alias("_text"))
     return thin.mapInArrow(align, ALIGNED)
@@ -299,7 +329,7 @@ def _recounted(pair: np.ndarray, n: np.ndarray, waiting: list[np.ndarray]) -> tu
 
 
 def alignment(
-    docs: DataFrame, byte_file: str, piece_file: str, text: str = "text", most: int = MOST
+    docs: DataFrame, byte_file: str, piece_file: str, text: str = "text", most: int = MOST, ranks_file: str | None = None
 ) -> DataFrame:
     """Per row ``doc_id``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum``, ``groups_sha256`` and
     ``n_overlaps`` (pairs of token occurrences that share bytes).
@@ -312,7 +342,7 @@ def alignment(
     Texts are tokenized once. Of the counted pairs, those linked in the most documents, ``most`` of them or fewer,
     are broadcast; what a row holds of the rarer ones is joined with them. Which way a pair takes changes no result.
     """
-    links = share(aligned(docs, byte_file, piece_file, text), "aligned")
+    links = share(aligned(docs, byte_file, piece_file, text, ranks_file), "aligned")
     counts = share(pair_counts(links), "pair-counts").withColumn("a", F.shiftright("pair", A_SHIFT))
     tops = counts.groupBy("a").agg(F.max("n").alias("top"))
     table = share(counts.join(tops, "a").select("pair", "n", (F.col("n") == F.col("top")).alias("best")), "pair-table")

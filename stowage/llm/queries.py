@@ -72,7 +72,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alignment(table(spark, sf_dir, "documents"), BYTES, PIECES)
+    return alignment(table(spark, sf_dir, "documents"), BYTES, PIECES, ranks_file=RANKS)
 
 
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stowage.llm import conversation_trie as trie
 from stowage.llm import top_k as search
 from stowage.llm.alignment import Csr, alignment, overlap_links
-from stowage.llm.queries import BYTES, PIECES
+from stowage.llm.queries import BYTES, PIECES, RANKS
 from stowage.llm.top_k import top_k
 
 # ---- alignment ----
@@ -85,16 +85,31 @@ SHARP = [
 ]
 
 
-@pytest.mark.parametrize("most", [4_000_000, 20])
-def test_alignment(spark, make, odd_rows, most):
+@pytest.mark.parametrize(("most", "ranks"), [(4_000_000, None), (20, RANKS)])
+def test_alignment(spark, make, odd_rows, most, ranks):
     rows = [r for r in odd_rows if r[0] not in (6, 7)] + [(d, t, "s") for d, t in SHARP]
     rows += [(40 + k, " ".join(random.Random(k).choices(["the", "tokenizer", "uncommonly", "12", "Straße", "é"], k=30)), "s") for k in range(6)]
-    got = alignment(make(rows), BYTES, PIECES, most=most).select(
+    got = alignment(make(rows), BYTES, PIECES, most=most, ranks_file=ranks).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps"
     )
     assert Counter(map(tuple, got.collect())) == brute_alignment([r[:2] for r in rows])
 
 
+def test_ranks_give_the_tokenizers_ids():
+    """Hostile texts: the faster library and the tokenizer itself must give the same ids."""
+    from stowage.llm.alignment import Tokens
+    from stowage.llm.packing import encoder
+
+    tokens, packs, rng = Tokens(BYTES, PIECES, RANKS), encoder(RANKS, BYTES), random.Random(12)
+    whole = tokens.a.__class__.from_file(BYTES)
+    alphabet = [" ", "  ", "\n", "\t", "\r\n", "\u00a0", "\u3000", "\u2028", "\x00", "\x85", "'s", "'LL", "it's", "A", "é", "e\u0301", "ß", "中", "文", "\U0001f600", "\u200d",
+                "٣", "Ⅷ", "½", "12", "999", "_", "-", "<|endoftext|>", "<s>", "▁", "the", "THE", "ing", "ـ", "नि", "ก็", "\ufeff", "\U000e0041"]
+    for _ in range(4000):
+        text = "".join(rng.choices(alphabet, k=rng.randint(1, 40)))
+        assert tokens.fast.encode_ordinary(text) == tokens.a.encode(text, add_special_tokens=False).ids, text
+        assert packs(text).tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
 def test_alignment_long_and_empty(spark, make, odd_rows):
     got = {r.doc_id: r for r in alignment(make([r for r in odd_rows if r[0] in (6, 7)]), BYTES, PIECES).collect()}
     assert got[6].n_a > 30_000 and got[6].n_links >= got[6].n_groups > 0 and got[7].n_a > 0
