@@ -3,7 +3,8 @@
 Each line hash carries a HyperLogLog sketch of the sites it stands on; sketches are built in the tasks and merged
 by the aggregate, so a line that half the corpus shares is a few bytes per task. Lines whose estimate is clear of
 the threshold are decided by it; those near it get an exact count of their sites. A boilerplate line stays in the
-document with the smallest id that has it and goes from all others.
+document with the smallest id that has it and goes from all others. Texts are split and hashed once, into a narrow
+stored table that all steps read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ def lines_of(docs: DataFrame, text: str, site: str, min_words: int) -> DataFrame
         F.col("doc_id"), F.xxhash64(docs[text]).alias("body"), F.xxhash64(docs[site]).alias("site"),
         F.posexplode(F.split(docs[text], "\n", -1)).alias("place", "_line"),
     )
-    counted = parts.filter(F.regexp_count("_line", F.lit(WORD)) >= min_words)
+    some = trimmed("_line") != "" if min_words <= 1 else F.regexp_count("_line", F.lit(WORD)) >= min_words
+    counted = parts.filter(some)
     return counted.select("doc_id", "body", "site", "place", F.xxhash64(trimmed("_line")).alias("line"))
 
 
@@ -63,16 +65,17 @@ def without(text: Column, places: Column) -> Column:
 
 
 def line_dedup(
-    docs: DataFrame, min_sites: int = 10, min_words: int = 3, text: str = "text", site: str = "source"
+    docs: DataFrame, min_sites: int = 10, min_words: int = 1, text: str = "text", site: str = "source"
 ) -> DataFrame:
     """``docs`` with the boilerplate lines cut from ``text``, and ``n_lines`` and ``n_removed`` (long) added.
 
-    Lines are compared without blanks at their ends; lines of fewer than ``min_words`` words never count. Every
+    Lines are compared without blanks at their ends; every line with ``min_words`` words counts, which is
+    every line with a word unless more are asked for. Every
     row stays: a text of boilerplate alone becomes empty, a null text stays null with 0 lines, and rows with a
     null ``doc_id`` never keep a line. A null site counts as one site of its own. Repeated rows are treated alike.
     Columns named like the added ones are replaced; other columns pass through whatever their names.
     """
-    lines = lines_of(docs, text, site, min_words)
+    lines = share(lines_of(docs, text, site, min_words), "line-hashes")
     spread = share(spread_lines(lines, min_sites), "boilerplate")
     cuts = (
         lines.join(spread, "line")
@@ -101,7 +104,7 @@ with lines as (
 ), counted as (
     select *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body
     from lines
-    where len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 3
+    where len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 1
 ), spread as (
     select body, min(doc_id) as keeper
     from counted
