@@ -10,7 +10,9 @@ Candidates are then compared by a parity sketch of one bit per shingle hash: a s
 distance is a lower bound of the symmetric difference, and a pair above D is out. What is left is verified on the
 shingles themselves.
 
-A key shared by more than ``HOT`` different sets is not expanded into pairs. A document with fewer such keys than
+Documents that share a key are a group; equal groups are kept once. Each member is compared with two leaders of its
+group first, and only members that are still in different components then meet one another. A key shared by more
+than ``HOT`` different sets makes no group. A document with fewer such keys than
 the K - D it is sure to share has another one, and is found through it. Only pairs of documents that have many hot
 keys, large groups of near copies, depend on them. These are compared with leaders of each key first. What then is
 still in different components of a group is compared by the parity sketches alone, inside tasks, in blocks of
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stowage.llm.components import components
+from stowage.llm.shipping import let_go
 from stowage.llm.words import chunks, mix, mix_int, windows, word_hashes
 from stowage.session import share
 
@@ -134,13 +137,30 @@ def signatures(docs: DataFrame, text: str) -> DataFrame:
     return thin.mapInArrow(sign, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary, bears long")
 
 
-def packed_keys(docs: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, keys, docs): the keys of many documents, sorted by bucket, as packed arrays."""
+def runs_of(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (key, document) pairs in order, how many documents each one's key has, and its place among them."""
+    order = np.lexsort((docs, keys))
+    keys, docs = keys[order], docs[order]
+    fresh = np.ones(len(keys), dtype=bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
+    keys, docs = keys[fresh], docs[fresh]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(keys)))
+    return keys, docs, np.repeat(size, size), np.arange(len(keys)) - np.repeat(first, size)
 
-    def emit(keys: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
+
+def packed_keys(docs: DataFrame, buckets: int, most: int) -> DataFrame:
+    """(bucket, keys, docs): the keys of many documents, sorted by bucket, as packed arrays.
+
+    Of a key with more than ``most`` documents, a task sends ``most`` + 1 to the key's bucket, which shows there that
+    the key is hot; the others get buckets of their own, below zero, so that no group holds a hot key's documents.
+    """
+
+    def emit(keys: list[np.ndarray], ids: list[int], number: int) -> pa.RecordBatch:
         k = np.concatenate(keys)
         d = np.repeat(np.array(ids, dtype=np.int64), [len(x) for x in keys])
-        bucket = (k % np.uint64(buckets)).astype(np.int64)
+        k, d, _, place = runs_of(k, d)
+        bucket = np.where(place <= most, (k % np.uint64(buckets)).astype(np.int64), -1 - number)
         order = np.argsort(bucket, kind="stable")
         k, d, bucket = k[order], d[order], bucket[order]
         found, first = np.unique(bucket, return_index=True)
@@ -152,7 +172,9 @@ def packed_keys(docs: DataFrame, buckets: int) -> DataFrame:
         })
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids, held = [], [], 0
+        from pyspark import TaskContext
+
+        keys, ids, held, number = [], [], 0, TaskContext.get().partitionId() << 24
         for batch in batches:
             for part in chunks(batch, "_text"):
                 for doc_id, s in zip(part.column(0).to_pylist(), sets_of(part.column(1))):
@@ -162,54 +184,68 @@ def packed_keys(docs: DataFrame, buckets: int) -> DataFrame:
                         ids.append(doc_id)
                         held += len(own)
                 if held >= ENTRIES:
-                    yield emit(keys, ids)
-                    keys, ids, held = [], [], 0
+                    yield emit(keys, ids, number)
+                    keys, ids, held, number = [], [], 0, number + 1
         if held:
-            yield emit(keys, ids)
+            yield emit(keys, ids, number)
+        let_go()
 
     return docs.mapInArrow(make, "bucket long, keys binary, docs binary")
 
 
-MET = "a long, b long, key long"
+MET = "key long, doc_id long, members array<long>"
 
 
 def meet(most: int):
-    """Of one bucket: pairs of documents with a common key (``key`` null), and, of keys with more than ``most``
-    documents, the members (``b`` null)."""
+    """Of one bucket: the sets of documents that share a key, each once (``members``), and, of keys with more than
+    ``most`` documents, a row per document (``key``, ``doc_id``). Both have fewer rows than the bucket has keys."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         keys = np.frombuffer(b"".join(group["keys"]), dtype=np.uint64)
         docs = np.frombuffer(b"".join(group["docs"]), dtype=np.int64)
-        order = np.lexsort((docs, keys))
-        keys, docs = keys[order], docs[order]
-        fresh = np.ones(len(keys), dtype=bool)
-        fresh[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
-        keys, docs = keys[fresh], docs[fresh]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-        size = np.diff(np.append(first, len(keys)))
-        of = np.repeat(size, size)
-        place = np.arange(len(keys)) - np.repeat(first, size)
-        pairs = []
-        some = np.flatnonzero((of >= 2) & (of <= most))
-        for step in range(1, most):
-            left = some[place[some] + step < of[some]]
-            if not len(left):
-                break
-            pairs.append(np.stack([docs[left], docs[left + step]]))
-        met = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.zeros((2, 0), np.int64)
-        hot = of > most
-        out = pd.DataFrame({
-            "a": np.concatenate([met[0], docs[hot]]),
-            "b": pd.array(np.concatenate([met[1], np.zeros(hot.sum(), np.int64)]), dtype="Int64"),
-            "key": pd.array(np.concatenate([np.zeros(met.shape[1], np.int64), keys[hot].view(np.int64)]), dtype="Int64"),
+        keys, docs, of, place = runs_of(keys, docs)
+        hot = of > most if group["bucket"].iloc[0] >= 0 else np.ones(len(keys), dtype=bool)
+        members: list[np.ndarray] = []
+        for size in range(2, most + 1):
+            first = np.flatnonzero((of == size) & (place == 0) & ~hot)
+            if len(first):
+                members.extend(np.unique(docs[first[:, None] + np.arange(size)], axis=0))
+        n, m = int(hot.sum()), len(members)
+        blank = lambda x, rest: pd.array([*x.tolist(), *[None] * rest], dtype="Int64")
+        return pd.DataFrame({
+            "key": blank(keys[hot].view(np.int64), m), "doc_id": blank(docs[hot], m),
+            "members": pd.Series([*[None] * n, *members], dtype=object),
         })
-        out.loc[met.shape[1] :, "b"] = pd.NA
-        out.loc[: met.shape[1] - 1, "key"] = pd.NA
-        return out
 
     return run
 
 
+def stars(groups: DataFrame) -> DataFrame:
+    """(a, b): each member of a group with the group's first and last; a number of rows in proportion to members."""
+    m = F.col("members")
+    ends = [F.transform(m, lambda x, e=e: F.struct(F.least(x, e).alias("a"), F.greatest(x, e).alias("b"))) for e in (m[0], F.element_at(m, -1))]
+    return groups.select(F.explode(F.array_distinct(F.concat(*ends))).alias("p")).select("p.a", "p.b").filter("a < b").distinct()
+
+
+def across(groups: DataFrame, chosen: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b): members of a group that are in different components so far and whose sizes let them link."""
+    told = chosen.select("doc_id", "n_shingles").join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    told = told.select("doc_id", F.struct("doc_id", F.coalesce("component", "doc_id").alias("label"), F.col("n_shingles").alias("n")).alias("x"))
+    told = share(told, "labelled-sets")
+    # a hash that two groups have in common would make them one, which only adds pairs to look at
+    named = groups.select(F.xxhash64("members").alias("group"), F.explode("members").alias("doc_id")).join(told, "doc_id")
+    kept = named.groupBy("group").agg(F.collect_list("x").alias("x"), F.min("x.label").alias("low"), F.max("x.label").alias("high"))
+
+    def partners(x):
+        def fits(y):
+            return (y["doc_id"] > x["doc_id"]) & (y["label"] != x["label"]) & (x["n"] * 4 <= y["n"] * 5) & (y["n"] * 4 <= x["n"] * 5)
+
+        return F.transform(F.filter("x", fits), lambda y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b")))
+
+    pairs = kept.filter("low < high").select(F.explode(F.flatten(F.transform("x", partners))).alias("p"))
+    return pairs.select("p.a", "p.b").distinct()
+
+
 def close(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """Of distinct pairs (a, b), those that sizes and parity sketches allow, with their Hamming distance."""
     def side(name: str) -> DataFrame:
@@ -267,7 +303,7 @@ def heavy_members(met: DataFrame, chosen: DataFrame) -> DataFrame:
 
     Hot keys are counted over all levels, so a document may be found too heavy, never too light.
     """
-    hot = met.filter(F.col("key").isNotNull()).select("key", F.col("a").alias("doc_id"))
+    hot = met.filter(F.col("key").isNotNull()).select("key", "doc_id")
     counts = hot.groupBy("doc_id").agg(F.count("*").alias("n"))
     heavy = counts.join(chosen.select("doc_id", "bears"), "doc_id").filter(F.col("n") >= F.col("bears")).select("doc_id")
     return hot.join(heavy, "doc_id", "left_semi")
@@ -361,10 +397,11 @@ def jaccard_join(docs: DataFrame, text: str = "text") -> DataFrame:
         .filter(F.col("doc_id").isNotNull())
         .join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
     )
-    met = share(packed_keys(texts, buckets).groupBy("bucket").applyInPandas(meet(HOT), MET), "met")
+    met = share(packed_keys(texts, buckets, HOT).groupBy("bucket").applyInPandas(meet(HOT), MET), "met")
+    groups = share(met.filter(F.col("members").isNotNull()).select("members").distinct(), "groups")
     members = share(heavy_members(met, chosen), "heavy")
     led = share(with_leaders(members, 1), "leaders")
-    candidates = ordered(met.filter(F.col("b").isNotNull()).select("a", "b")).unionByName(led)
+    candidates = stars(groups).unionByName(led)
     near = share(close(candidates.unionByName(with_leaders(members, 2)).distinct(), chosen), "near")
 
     # A pair per document first, its closest; whatever that leaves apart is verified in full.
@@ -382,10 +419,9 @@ def jaccard_join(docs: DataFrame, text: str = "text") -> DataFrame:
 
     apart = F.coalesce("ac", "a") != F.coalesce("bc", "b")
     rest = near.select("a", "b").join(named("a"), "a", "left").join(named("b"), "b", "left").filter(apart).select("a", "b")
-    late = share(block_pairs(members, led, chosen, labels), "late")
-    more = verified(rest.join(first, ["a", "b"], "left_anti"), picked).unionByName(
-        verified(late.join(near, ["a", "b"], "left_anti"), texts_of(texts, late, "late"))
-    )
+    late = block_pairs(members, led, chosen, labels).unionByName(close(across(groups, chosen, labels), chosen).select("a", "b"))
+    late = share(late.distinct().join(near, ["a", "b"], "left_anti"), "late")
+    more = verified(rest.join(first, ["a", "b"], "left_anti"), picked).unionByName(verified(late, texts_of(texts, late, "late")))
     more = share(more, "links")
     same = copies.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     found = components(links.unionByName(more).unionByName(same))
@@ -397,7 +433,12 @@ def jaccard_join(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of linked documents, that of the smallest id; null ids all stay."""
+    """``docs`` with one row of each group of linked documents, that of the smallest id; null ids all stay.
+
+    Rows that share an id are one document, and one of them stays, whatever its other columns hold. Documents without
+    words (null, empty or blank texts) link with nothing and stay. An empty table stays empty; long texts are compared
+    whole, and columns may have any names.
+    """
     found = share(jaccard_join(docs, text).select("doc_id", "component_id"), "classes")
     gone = share(found.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
     again = share(found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "again")

@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stowage.llm.native import word_count
-from stowage.llm.words import WORD, mix
+from stowage.llm.shipping import let_go
+from stowage.llm.words import WORD, chunks, mix
 from stowage.session import share
 
 BLOCK = 4096  # most words of a block
@@ -253,40 +254,40 @@ def mixed_documents(docs: DataFrame, seed: int = 7, text: str = "text", chars: s
     """The mix itself, with the columns of ``docs``: a row for each run of words the mix takes, laid out by shard.
 
     Texts that are taken whole are unchanged, cut ones keep the blanks between their words; ``chars`` is the length
-    of the new text. A document drawn twice gives two rows with its id.
+    of the new text. A document drawn twice gives two rows with its id. Of rows that repeat an id and a text, each is
+    drawn on its own, with the other columns of one of them; rows without words (null, empty or blank texts) are never
+    drawn; an empty table gives none. Columns may have any names. Each run of words is a row of its own from the
+    join on, so a document that is drawn very often is no group of a task.
     """
     rows, mixture = mix_sources(docs, seed, text)
-    runs = (
-        mixture.join(rows.select("row", "doc_id", "body", "size"), "row")
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), F.col("size").alias("_size"))
-        .agg(F.collect_list(F.struct("shard", "place", "begin", "from_word", "n_words")).alias("_runs"))
-    )
-    keyed = docs.select(
-        F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64(docs[text]).alias("_hash")
-    ).dropDuplicates(["_id", "_hash"])
+    runs = mixture.join(rows.select("row", F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), F.col("size").alias("_size")), "row").drop("row")
+    runs = share(runs, "mix-runs")
+    again = share(rows.groupBy("doc_id", "body").agg(F.count("*").alias("_n")).filter("_n > 1").select("doc_id", "body"), "mix-repeats")
+    keyed = docs.select(F.struct("*").alias("_row"), docs["doc_id"].alias("_id"), F.xxhash64(docs[text]).alias("_hash"))
+    repeated = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("body"))
+    once = keyed.join(again, repeated, "left_semi").dropDuplicates(["_id", "_hash"])
+    keyed = keyed.join(again, repeated, "left_anti").unionByName(once)
     same = F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_body"))
     own = [F.col("_row").getField(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
-    joined = keyed.join(runs, same).select(*own, "_size", "_runs")
+    places = ["shard", "place", "begin"]
+    joined = runs.join(keyed, same).select(*own, "_size", "from_word", "n_words", *places)
     width = len(docs.columns)
     text_at, chars_at = docs.columns.index(text), docs.columns.index(chars)
+    names = [*[f"c{k}" for k in range(width)], *places]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, runs = batch.column(width).to_pylist(), batch.column(width + 1).to_pylist()
-            take, texts, order = [], [], []
-            for k, (size, drawn) in enumerate(zip(sizes, runs)):
-                whole = batch.column(text_at)[k].as_py()
-                for run in drawn:
-                    take.append(k)
-                    texts.append(whole if run["n_words"] == size else word_slice(whole, run["from_word"], run["n_words"]))
-                    order.append((run["shard"], run["place"], run["begin"]))
-            columns = batch.select(list(range(width))).take(pa.array(take, pa.int64())).columns
-            columns[text_at] = pa.array(texts, pa.string())
-            columns[chars_at] = pa.array([len(t) for t in texts], columns[chars_at].type)
-            columns += [pa.array(c, pa.int64()) for c in (list(zip(*order)) or [(), (), ()])]
-            yield pa.RecordBatch.from_arrays(columns, names=[*[f"c{k}" for k in range(width)], "shard", "place", "begin"])
+            for some in chunks(batch, f"c{text_at}"):
+                size, first, n = (some.column(width + k).to_pylist() for k in range(3))
+                texts = some.column(text_at).to_pylist()
+                texts = [t if n[k] == size[k] else word_slice(t, first[k], n[k]) for k, t in enumerate(texts)]
+                columns = some.columns[:width]
+                columns[text_at] = pa.array(texts, pa.string())
+                columns[chars_at] = pa.array([len(t) for t in texts], columns[chars_at].type)
+                yield pa.RecordBatch.from_arrays([*columns, *some.columns[width + 3 :]], names=names)
+        let_go()
 
     fields = ", ".join(f"c{k} {kind}" for k, (_, kind) in enumerate(docs.dtypes))
     laid = joined.mapInArrow(cut, f"{fields}, shard long, place long, begin long")
-    laid = laid.repartition("shard").sortWithinPartitions("shard", "place", "begin")
+    laid = laid.repartition("shard").sortWithinPartitions(*places)
     return laid.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)])

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stowage.llm.shipping import let_go
 from stowage.llm.words import mix
 from stowage.session import share
 
@@ -34,7 +35,9 @@ def encoder(ranks_file: str, tokenizer_file: str):
     """Text to ids as the tokenizer of ``tokenizer_file`` gives them, special strings as its default.
 
     ``ranks_file`` holds the same vocabulary as ranks; its library splits and merges alike on every code point
-    (checked once for all of them, and on each load for a probe text), in a quarter of the time.
+    (checked once for all of them, and on each load for a probe text; a test compares both on random hostile texts),
+    in a quarter of the time. The tokenizer itself is kept only where the probe differs, and is otherwise loaded
+    again for a text that the faster library refuses.
     """
     key = (ranks_file, tokenizer_file)
     if key in _LOADED:
@@ -46,12 +49,16 @@ def encoder(ranks_file: str, tokenizer_file: str):
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(tokenizer_file)
+    kept: list[Tokenizer] = []
     special = {str(a.content): k for k, a in slow.get_added_tokens_decoder().items()}
     with open(ranks_file, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
     probe = "It's 12 o'clock,\n\n  über 中文 \U0001f600x" + "".join(special) + "  end "
     same = slow.encode(probe, add_special_tokens=False).ids == fast.encode(probe, allowed_special="all")
+    if not same:
+        kept.append(slow)
+    del slow
 
     def ids(text: str) -> np.ndarray:
         if same:
@@ -59,7 +66,9 @@ def encoder(ranks_file: str, tokenizer_file: str):
                 return fast.encode_to_numpy(text, allowed_special="all")
             except ValueError:  # runs that are too long for the faster library's pattern engine
                 pass
-        return np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        if not kept:
+            kept.append(Tokenizer.from_file(tokenizer_file))
+        return np.array(kept[0].encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     _LOADED[key] = ids
     return ids
@@ -88,6 +97,7 @@ def token_pieces(
             columns = list(zip(*rows)) or [()] * 6
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ticket"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+        let_go()
 
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), docs[text].alias("_text"))
     return thin.mapInArrow(cut, PIECES)
@@ -118,7 +128,7 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
 
 
 def pack_pieces(pieces: DataFrame, length: int = 2048, group_size: int = 20_000) -> DataFrame:
-    """``pieces`` (a stored table) with the sequence and the offset of each piece.
+    """``pieces`` (a stored table) with the sequence and the offset of each piece; an empty table gives none.
 
     A piece's group follows from its random ticket, so groups have about ``group_size`` short pieces whatever
     the documents, also where rows repeat. Equal lengths are taken by ticket, so reruns on the same table agree.

@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stowage.llm.lm_scoring import fold_of
+from stowage.llm.shipping import let_go
 from stowage.session import share
 
 TOKEN = re.compile(r"[^\W\d_]+")
 HEADS = (4, 5, 6)  # letters of the word beginnings that bear evidence
-MEMO = 300_000  # token scores remembered by a worker
+MEMO = 100_000  # token scores remembered by a task
 PRIOR = 10.0  # documents that the prior is worth
 SURE = 1.0  # standard errors below the estimate
 LEAST = 0.5  # smallest log-odds that count
@@ -251,6 +252,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int, folds: int, held_
         F.sum(F.col("n") * F.col("toxic")).alias("t"), F.sum(F.col("n") * (1 - F.col("toxic"))).alias("c")
     )
     curve = logistic([(r["x"], r["t"], r["c"]) for r in told.collect()])
+    shared.destroy()
+    plain.destroy()
     return Detector(table, rate, positive, curve)
 
 
@@ -288,6 +291,8 @@ def toxicity(
             predicted = pa.array([int(s >= threshold) for s in scores], pa.int32())
             columns = [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), predicted, pa.array(passages, kind)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score", "predicted", "passages"])
+        detector.memo.clear()
+        let_go()
 
     return thin.mapInArrow(score, SCORED)
 
@@ -296,7 +301,12 @@ def drop_toxic(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.7, max_labelled: int = 200_000, folds: int = 3,
     held_fold: int = 1, text: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` that ``toxicity`` does not predict to be toxic, with all their columns, in one pass."""
+    """The rows of ``docs`` that ``toxicity`` does not predict to be toxic, with all their columns, in one pass.
+
+    Rows with a null or empty text stay, unless texts without evidence are toxic by their score; repeated rows are
+    judged alike, one by one, and rows with a null id as any other; an empty table stays empty. Long texts are read
+    whole. Columns may have any names.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, max_labelled, folds, held_fold, text))
     at = docs.columns.index(text)
 
@@ -305,5 +315,7 @@ def drop_toxic(
         for batch in batches:
             clean = [detector.probability(detector.evidence_of(t.as_py() or "")[0]) < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(clean, pa.bool_()))
+        detector.memo.clear()
+        let_go()
 
     return docs.mapInArrow(keep, docs.schema)
