@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from stowage.functions.dates import in_range, parse_day
 from stowage.functions.text import norm
+from stowage.sources.lines import cut_lines, positions
 from stowage.tables import (
     LABOR_DELIVERY,
     LABOR_WAREHOUSE,
@@ -20,12 +21,19 @@ from stowage.tables import (
 )
 
 
-def read_lookup(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def is_parquet(path: str, fmt: str | None) -> bool:
+    """Whether a sheet is Parquet: by ``fmt`` ("parquet" or "csv"), or else by the path's ending."""
+    if fmt not in (None, "parquet", "csv"):
+        raise ValueError(f"fmt must be 'parquet' or 'csv', not {fmt!r}")
+    return fmt == "parquet" or fmt is None and path.rstrip("/").endswith(".parquet")
+
+
+def read_lookup(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str | None = None) -> DataFrame:
     """A reference sheet saved as Parquet or CSV; without a schema all CSV columns are text.
 
     No broadcast is asked for: the size of the file, or what AQE measures, decides.
     """
-    if path.endswith(".parquet"):
+    if is_parquet(path, fmt):
         df = spark.read.parquet(path)
         return df if schema is None else df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema])
     if schema is None:
@@ -38,9 +46,19 @@ def read_product_volume(spark: SparkSession, path: str) -> DataFrame:
     return read_lookup(spark, path, PRODUCT_VOLUME)
 
 
-def read_pallet_override(spark: SparkSession, path: str) -> DataFrame:
-    """Override sheet with each line's position, because of repeated products the first line counts."""
-    return read_lookup(spark, path, PALLET_OVERRIDE).withColumn("position", F.monotonically_increasing_id())
+def read_pallet_override(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    """Override sheet with each line's position, because of repeated products the first line counts.
+
+    Positions follow files by path and lines or rows within them, whatever the splits they are read in.
+    """
+    casts = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in PALLET_OVERRIDE]
+    if is_parquet(path, fmt):
+        place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_line")]
+        rows = spark.read.parquet(path).select(*casts, *place)
+    else:
+        _, cut = cut_lines(spark, path, "UTF-8")
+        rows = cut.filter(F.col("_reason").isNull()).select(*casts, "_file", "_line")
+    return positions(rows, "_file", "_line").select(*[f.name for f in PALLET_OVERRIDE], "position")
 
 
 def read_client_tariffs(spark: SparkSession, path: str) -> DataFrame:

@@ -117,3 +117,111 @@ def test_other_lookups(spark, tmp_path):
     assert lookups.read_overtime_tariffs(spark, str(tmp_path / "p.parquet")).first()["Precio H. Extra"] == 6.0
     with pytest.raises(Exception):
         lookups.read_wages(spark, tariffs).collect()
+
+
+def test_fields_keep_quotes_empty_ends_and_commas(spark):
+    import csv
+    import io
+
+    from stowage.sources.lines import fields_of, is_open, unquoted
+
+    lines = ["a,b", "3,4,", ",", "", ",,x", '"a,b",c', '"a""b",""', '5" pipe,"6"" pipe"', 'x,"y', '" a ",b ', '"q"tail,z', '"",,""', "ñ,\u20ac", '""""']
+    lines += [f'"{"x,y" * 3000}",2', ",".join("abcdefghij" * 300)]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "k int, v string")
+    found = df.select("k", F.transform(fields_of(F.col("v")), unquoted).alias("f"), F.exists(fields_of(F.col("v")), is_open).alias("o"))
+    for r in found.collect():
+        line = lines[r.k]
+        assert r.o == (line == 'x,"y')
+        if not r.o:
+            assert r.f == (next(csv.reader(io.StringIO(line))) if line else [""]), line
+
+
+def test_rejected_lines_carry_file_and_line_whatever_the_split(spark, tmp_path):
+    folder = tmp_path / "x.csv"
+    folder.mkdir()
+    want = []
+    for name, header, flip in (("1.csv", "a,b", False), ("2.csv", "b,a", True)):
+        lines = [header]
+        for k in range(2, 2500):
+            if k % 97 == 0:
+                lines.append(f"{k},4,")
+                want.append((name, k, "surplus fields", 3))
+            elif k % 89 == 0:
+                lines.append(f'{k},"open')
+                want.append((name, k, "open quote", 2))
+            elif k % 83 == 0:
+                lines.append("  ")
+            else:
+                lines.append(f"y{k},x{k}" if flip else f"x{k},y{k}")
+        write(folder, name, *lines)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("1500b", old):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            read = extracts.read_lines(spark, str(folder))
+            if size != old:
+                assert spark.read.text(str(folder)).rdd.getNumPartitions() > 10
+            assert sorted((r.file.split("/")[-1], r.line, r.reason, r.fields) for r in read.rejects.collect()) == sorted(want)
+            rows = read.rows.collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert all(r.a == f"x{r.a[1:]}" and r.b == f"y{r.a[1:]}" for r in rows) and len(rows) == 2 * (2498 - 2498 // 83) - len(want)
+
+
+def test_headers_per_file(spark, tmp_path):
+    folder = tmp_path / "h.csv"
+    folder.mkdir()
+    write(folder, "1.csv", "a,b", "1,2")
+    write(folder, "2.csv", "b,a", "2,1", "2,1,")
+    write(folder, "3.csv", "b", "2", "2,9")
+    rows = extracts.read_extract(spark, str(folder), tolerant=True).collect()
+    assert sorted((r.a or "", r.b) for r in rows) == [("", "2"), ("1", "2"), ("1", "2")]
+    assert extracts.rejected_lines(spark, str(folder)).count() == 2
+    many = extracts.read_extract(spark, str(folder), tolerant=True, multiline=True)
+    assert many.columns == ["a", "b"] and many.filter("b = '2'").count() >= 3
+    write(folder, "4.csv", "a,c", "1,2")
+    for multiline in (False, True):
+        with pytest.raises(ValueError, match="unknown columns"):
+            extracts.read_extract(spark, str(folder), multiline=multiline)
+    write(tmp_path, "empty.csv")
+    assert extracts.read_extract(spark, str(tmp_path / "empty.csv")).count() == 0
+
+
+def test_account_equals_a_recount(spark, tmp_path):
+    from stowage.sources.account import Account
+
+    counts = {}
+    for stem in extracts.STEMS.values():
+        for n, site in enumerate(extracts.SITES):
+            tolerant = next(t for t, s in extracts.STEMS.items() if s == stem) in extracts.TOLERANT
+            bad = ["1,2,3,"] * (n + 1) if tolerant else []
+            write(tmp_path, f"{stem}{site}.csv", "idcontacto,descrip,idproducto", *["a,b,c"] * (5 + n), *bad)
+            counts[f"{stem}{site}"] = {"kept": 5 + n, "rejected": len(bad)}
+    account = Account()
+    loaded = extracts.load_tables(spark, str(tmp_path), account=account)
+    for name in extracts.STEMS:
+        getattr(loaded, name).write.format("noop").mode("overwrite").save()
+    assert account.counts() == counts
+    told = {(r.extract, r.reason): r.lines for r in account.rejected().collect()}
+    assert told == {(k, "surplus fields"): v["rejected"] for k, v in counts.items() if v["rejected"]}
+
+    typed = spark.createDataFrame([("1.5", "2024-01-02"), ("x", "never"), (None, None), ("nan", "2024-02-30")], "n string, d string")
+    cast = account.dates(account.measures(typed, "numbers", "n", "absent"), "dates", "d")
+    assert cast.columns == ["n", "d"]
+    got = cast.collect()
+    assert account.counts("numbers", "dates") == {"numbers": {"n": sum(r.n is None for r in got) - 1}, "dates": {"d": sum(r.d is None for r in got) - 1}}
+
+
+def test_override_positions_follow_lines(spark, tmp_path):
+    lines = [f"p{k % 700},{k}" for k in range(3000)]
+    write(tmp_path, "o.csv", "idmodelo,mode_count", *lines)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000b")
+    try:
+        sheet = lookups.read_pallet_override(spark, str(tmp_path / "o.csv"))
+        order = [r.mode_count for r in sheet.orderBy("position").collect()]
+        sheet.orderBy("position").drop("position").coalesce(1).write.parquet(str(tmp_path / "sheet"))
+        again = [r.mode_count for r in lookups.read_pallet_override(spark, str(tmp_path / "sheet"), fmt="parquet").orderBy("position").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [int(x) for x in order] == list(range(3000)) and again == order
