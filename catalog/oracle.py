@@ -529,3 +529,77 @@ oracle("labor_margin_by_month", margin("bodega"))
 oracle("labor_margin_by_client", margin("client"))
 oracle("labor_margin_by_operation", f"""select {d('fecha')}, idcontacto, bodega, people, {n('billable_hours')}, {PAID}, gross, net,
   round_even(case when gross = 0 then 0 else net / gross * 100 end, 2) as margin_pct from t_priced""")
+
+oracle("labor_margin_rollups", f"""select month, client, null as bodega, billable_hours, worked_hours, paid, gross, net, margin_pct, 'client' as rolled_by
+  from ({margin("client")}) union all
+  select month, null, bodega, billable_hours, worked_hours, paid, gross, net, margin_pct, 'warehouse' from ({margin("bodega")})""")
+
+# ---- sweep: every pair of stretch and task is compared here, which the Spark side never does --------
+
+
+def stretches(keys: str) -> dict[str, str]:
+    """Stretches between neighbouring instants of a key, with the number of tasks that cover each."""
+    first = keys.split(",")[0].strip()
+    on = " and ".join(f"s.{k.strip()} = t.{k.strip()}" for k in keys.split(","))
+    return {
+        f"z_at_{first}": f"""select distinct {keys}, unnest([t0, t1]) as a from z_tasks""",
+        f"z_gap_{first}": f"select {keys}, a, lead(a) over (partition by {keys} order by a) as b from z_at_{first}",
+        f"z_run_{first}": f"""select {', '.join('s.' + k.strip() for k in keys.split(','))}, s.a, s.b, count(*) as running
+          from z_gap_{first} s join z_tasks t on {on} and t.t0 <= s.a and t.t1 >= s.b group by all""",
+    }
+
+
+CTES |= {
+    "z_tasks": """select *, epoch_us("start") as t0, epoch_us("end") as t1 from v_labor_tasks where "start" < "end" """,
+    **stretches("codigo, fecha"), **stretches("fecha, idcontacto, bodega"),
+}
+INSTANT = "strftime(make_timestamp({0}), '%Y-%m-%d %H:%M:%S') as {1}"
+oracle("task_concurrency", f"""select codigo, {d('fecha')}, {INSTANT.format('a', 'from_time')}, {INSTANT.format('b', 'to_time')}, {i('running')}
+  from z_run_codigo""")
+oracle("operation_peaks", f"""select {d('fecha')}, idcontacto, bodega, {i('peak')}, {INSTANT.format('peak_from', 'peak_from')},
+  cast(peak_micros as double) / 3.6e9 as peak_hours, cast(busy as double) / 3.6e9 as busy_hours, cast(lengths as double) / 3.6e9 as task_hours from (
+    select fecha, idcontacto, bodega, max(running) as peak, min(a) filter (running = top) as peak_from,
+      sum(b - a) filter (running = top) as peak_micros, sum(b - a) as busy, sum((b - a) * running) as lengths
+    from (select *, max(running) over (partition by fecha, idcontacto, bodega) as top from z_run_fecha) group by all)""")
+oracle("task_overlaps", f"""select t.codigo, strftime(t.fecha, '%Y-%m-%d') as fecha, strftime(t."start", '%Y-%m-%d %H:%M:%S') as start,
+  strftime(t."end", '%Y-%m-%d %H:%M:%S') as "end", coalesce((select cast(sum(r.b - r.a) as double) / 1e6 from z_run_codigo r
+    where r.codigo = t.codigo and r.fecha = t.fecha and r.running > 1 and r.a >= t.t0 and r.b <= t.t1), 0) as overlapped_seconds
+  from (select *, epoch_us("start") as t0, epoch_us("end") as t1 from v_labor_tasks) t""")
+
+# ---- levels by month, and at a date --------------------------------------------------------------
+
+CTES |= {
+    "y_level": """select idcontacto, date, date_trunc('month', date) as month, inflow_cbm - outflow_cbm as net,
+        s - least(0, min(s) over (partition by idcontacto order by date)) as level_cbm from y_run""",
+    "y_prefix": "select *, sum(net) over (partition by idcontacto, month order by date) as p from y_level",
+    "y_month": """select idcontacto, month, sum(net) as shift, sum(net) - min(p) as floor, arg_max(level_cbm, date) as closing
+      from y_prefix group by all""",
+    "y_state": """select m.idcontacto, month, shift, floor, closing,
+        coalesce(lag(closing) over (partition by m.idcontacto order by month), o.initial_inventory, 0) as opening
+      from y_month m left join v_opening_levels o on o.idcontacto = m.idcontacto""",
+}
+for name in ("level_months", "level_rebooked"):
+    oracle(name, f"select idcontacto, {d('month')}, {n('shift', 'floor', 'opening', 'closing')} from y_state")
+oracle("level_from_months", f"select idcontacto, {d('date')}, {n('net', 'level_cbm')} from y_level")
+oracle("level_at_date", """select r.idingreso, r.idcontacto, strftime(r.day, '%Y-%m-%d') as day,
+  cast(coalesce(y.level_cbm, o.initial_inventory, 0) as double) as level_cbm
+  from (select *, cast(fecha as date) + 10 as day from v_receipts) r
+  asof left join y_level y on r.idcontacto = y.idcontacto and r.day >= y.date
+  left join v_opening_levels o on o.idcontacto = r.idcontacto""")
+
+# ---- files read back -----------------------------------------------------------------------------
+
+CTES["x_lines"] = """select *, o_orderkey % 4 as part, o_orderkey % 10 as kind,
+  1 + row_number() over (partition by o_orderkey % 4 order by o_orderkey) as line from orders"""
+oracle("csv_mixed_headers", """select cast(o_orderkey as varchar) as clave, case when kind <> 5 or part < 2 then o_orderstatus end as estado,
+  case when kind = 7 then 'a,"b"' when kind <> 5 or part >= 2 then 'x' end as nota from x_lines where kind not in (3, 9)""")
+oracle("csv_rejected_lines", f"""select cast(part as varchar) as part, {i('line')}, case kind when 3 then 'surplus fields' else 'open quote' end as reason,
+  cast(case kind when 3 then 4 else 3 end as bigint) as fields, cast(3 as bigint) as expected from x_lines where kind in (3, 9)""")
+oracle("override_from_file", """select cast(p_partkey % 97 as varchar) as idmodelo, greatest(1.0, cast(arg_min(p_size, p_partkey) as double)) as mode_count
+  from part group by 1""")
+for copy, name in (
+    ("volume_from_file", "complete_volume"), ("loaded_and_prepared", "clean_status_filters"), ("delivery_from_files", "delivery_by_worker"),
+    ("stored_report_receipts", "monthly_receipts"), ("stored_report_dispatches", "monthly_dispatches"), ("stored_report_stock", "stock_by_warehouse"),
+    ("stored_report_inflow", "billing_inflow"), ("stored_report_outflow", "billing_outflow"), ("stored_report_totals", "billing_totals"),
+):
+    ORACLE[copy] = ORACLE[name]  # the same question, asked of files or of stored tables

@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 from catalog.views import table, tables, view
 from stowage.functions import dates, numbers, text
 from stowage.functions import warehouse as wh
-from stowage.operators import first, focus, intervals, lookup, series
+from stowage.operators import first, focus, intervals, levels, lookup, series, sweep
 from stowage.operators.totals import widest
 from stowage.plans import billing, cleaning, flows, inventory, labor, quality, reports, screening, stock
-from stowage.session import shared_dir
-from stowage.sources.extracts import mark_site, read_site, union_all
-from stowage.tables import SITE_KEYS
+from stowage.session import share, shared_dir
+from stowage.sources.extracts import load_tables, mark_site, read_extract, read_site, rejected_lines, union_all
+from stowage.sources.lookups import read_pallet_override, read_product_volume
+from stowage.tables import SITE_KEYS, STEMS
 
 START, END = "1997-01-01", "1998-12-31"
 AS_OF = "2002-01-01"
@@ -220,19 +221,23 @@ def exclude_ids(spark, sf):
     )
 
 
-@query
-def clean_status_filters(spark, sf):
-    """Rows left in every table after cleaning, and how many different dates they have."""
+def cleaned_counts(t):
     counts = [
         df.agg(F.count("*").alias("rows"), F.count_distinct("fecha").alias("dates")).select(
             F.lit(n).alias("name"), "rows", "dates"
         )
-        for n, df in cleaned(spark, sf).items()
+        for n, df in t.items()
         if "fecha" in df.columns
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def clean_status_filters(spark, sf):
+    """Rows left in every table after cleaning, and how many different dates they have."""
+    return cleaned_counts(cleaned(spark, sf))
+
+
 @query
 def blank_to_default(spark, sf):
     lines = cleaned(spark, sf).order_lines_out
@@ -658,3 +663,200 @@ def labor_margin_by_operation(spark, sf):
     return margin(spark, sf).by_operation.select(
         "fecha", "idcontacto", "bodega", "people", "billable_hours", "paid", "gross", "net", "margin_pct"
     )
+
+
+@query
+def labor_margin_rollups(spark, sf):
+    """Both monthly margins from one pass by grouping sets."""
+    return margin(spark, sf).rollups
+
+
+@query
+def task_concurrency(spark, sf):
+    return sweep.concurrency(tasks(spark, sf), ["codigo", "fecha"], "start", "end")
+
+
+@query
+def operation_peaks(spark, sf):
+    return sweep.peaks(tasks(spark, sf), ["fecha", "idcontacto", "bodega"], "start", "end")
+
+
+@query
+def task_overlaps(spark, sf):
+    found = sweep.time_overlapped(tasks(spark, sf), ["codigo", "fecha"], "start", "end")
+    return found.select("codigo", "fecha", "start", "end", "overlapped_seconds")
+
+
+# ---- levels by month, and at a date ------------------------------------------------------------
+
+
+@lru_cache(maxsize=16)
+def client_days(spark, sf):
+    """What each client received less what was shipped, per day."""
+    flows_ = simple_flows(spark, sf).filter("idcontacto is not null")
+    return flows_.groupBy("idcontacto", "date").agg((F.sum("inflow_cbm") - F.sum("outflow_cbm")).alias("net"))
+
+
+@lru_cache(maxsize=16)
+def client_openings(spark, sf):
+    return view(spark, sf, "opening_levels").withColumnRenamed("initial_inventory", "opening")
+
+
+@query
+def level_months(spark, sf):
+    functions = levels.month_functions(client_days(spark, sf), "date", "net", ["idcontacto"])
+    return levels.month_states(functions, ["idcontacto"], client_openings(spark, sf))
+
+
+@query
+def level_from_months(spark, sf):
+    """The level of every client and day, from the months' states."""
+    days = client_days(spark, sf)
+    states = levels.month_states(levels.month_functions(days, "date", "net", ["idcontacto"]), ["idcontacto"], client_openings(spark, sf))
+    return levels.levels_in_months(days, states, "date", "net", ["idcontacto"], "level_cbm")
+
+
+@query
+def level_rebooked(spark, sf):
+    """States stored before the goods booked late were known, then mended from the month of the first of them."""
+    known = inventory.flow_rows(
+        view(spark, sf, "received_rows").filter(~((F.col("fecha") >= START) & F.col("idcontacto").endswith("_c"))), view(spark, sf, "shipped_rows")
+    )
+    days = known.filter("idcontacto is not null").groupBy("idcontacto", "date").agg((F.sum("inflow_cbm") - F.sum("outflow_cbm")).alias("net"))
+    opening = client_openings(spark, sf)
+    stored = levels.month_states(levels.month_functions(days, "date", "net", ["idcontacto"]), ["idcontacto"], opening)
+    late = client_days(spark, sf).filter(F.col("date") >= F.trunc(F.lit(START).cast("date"), "MM"))
+    return levels.rebooked(share(stored, "level-states"), late, START, "date", "net", ["idcontacto"], opening)
+
+
+@query
+def level_at_date(spark, sf):
+    """Each client's level ten days after every order of it."""
+    asked = view(spark, sf, "receipts").select("idingreso", "idcontacto", F.date_add("fecha", 10).alias("day"))
+    held = inventory.level_by_client(simple_flows(spark, sf), view(spark, sf, "opening_levels"))
+    return levels.level_at(held, asked, "idcontacto", "day", opening=client_openings(spark, sf))
+
+
+# ---- files read back ---------------------------------------------------------------------------
+
+
+def order_files(spark, sf) -> str:
+    """Orders as four files of two column orders, with every kind of line that a tolerant read must tell apart."""
+    base = f"{shared_dir(spark)}/order-files-{uuid.uuid4().hex}"
+    key, kind, part = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 10, (F.col("o_orderkey") % 4).cast("int")
+    note = F.when(kind == 3, "x,").when(kind == 7, '"a,""b"""').otherwise("x")
+    first = F.when(kind == 5, F.concat_ws(",", key, "o_orderstatus")).when(kind == 9, F.concat_ws(",", key, "o_orderstatus", F.lit('"x'))).otherwise(
+        F.concat_ws(",", key, "o_orderstatus", note)
+    )
+    second = F.when(kind == 5, F.concat_ws(",", F.lit("x"), key)).when(kind == 9, F.concat_ws(",", F.lit("x"), key, F.lit('"F'))).otherwise(
+        F.concat_ws(",", note, key, F.col("o_orderstatus"))
+    )
+    lines = table(spark, sf, "orders").select(part.alias("part"), F.col("o_orderkey").alias("ord"), F.when(part < 2, first).otherwise(second).alias("value"))
+    heads = spark.range(4).select(
+        F.col("id").cast("int").alias("part"), F.lit(-1).cast("long").alias("ord"),
+        F.when(F.col("id") < 2, "clave,estado,nota").otherwise("nota,clave,estado").alias("value"),
+    )
+    whole = lines.unionByName(heads).repartition("part").sortWithinPartitions("part", "ord")
+    whole.select("part", "value").write.partitionBy("part").text(base)
+    return f"{base}/*"
+
+
+@query
+def csv_mixed_headers(spark, sf):
+    return read_extract(spark, order_files(spark, sf), tolerant=True)
+
+
+@query
+def csv_rejected_lines(spark, sf):
+    rejects = rejected_lines(spark, order_files(spark, sf))
+    return rejects.select(F.regexp_extract("file", "part=([0-9]+)", 1).alias("part"), "line", "reason", "fields", "expected")
+
+
+@query
+def override_from_file(spark, sf):
+    """An override sheet with repeated products: of each, the line that comes first in the file counts."""
+    base = f"{shared_dir(spark)}/override-{uuid.uuid4().hex}"
+    sheet = table(spark, sf, "part").orderBy("p_partkey").select((F.col("p_partkey") % 97).cast("string").alias("idmodelo"), F.col("p_size").alias("mode_count"))
+    sheet.coalesce(1).write.option("header", True).csv(base)
+    given = read_pallet_override(spark, base)
+    none = given.select("idmodelo", F.lit(None).cast("long").alias("mode_count")).limit(0)
+    return billing.mode_with_override(none, given)
+
+
+@query
+def volume_from_file(spark, sf):
+    """The volume sheet written and read back, and the stock volumes it leads to."""
+    path = f"{shared_dir(spark)}/volume-{uuid.uuid4().hex}"
+    view(spark, sf, "product_volume").write.option("header", True).option("quoteAll", True).csv(path)
+    full = stock.complete_volume(screened(spark, sf).stock, read_product_volume(spark, path))
+    return full.groupBy("bodega", "idmodelo").agg(F.sum("inicial").alias("cbm"), F.count("*").alias("rows"))
+
+
+@query
+def loaded_and_prepared(spark, sf):
+    """All ten extracts written as CSV, loaded, focused on nobody and cleaned."""
+    base = f"{shared_dir(spark)}/ten-extracts-{uuid.uuid4().hex}"
+    for name, stem in STEMS.items():
+        rows = view(spark, sf, name)
+        times = {f.name: F.date_format(f.name, "yyyy-MM-dd HH:mm:ss") for f in rows.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))}
+        rows.withColumns(times).write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{base}/{stem}.csv")
+    ready = reports.prepare(load_tables(spark, base, sites=("",)))
+    return cleaned_counts(ready)
+
+
+@query
+def delivery_from_files(spark, sf):
+    """Labour sheets, wages and tariffs written under their sheet headers and run through the file report."""
+    base = f"{shared_dir(spark)}/labour-{uuid.uuid4().hex}"
+    t = tasks(spark, sf)
+    hours = [F.col(c).alias(h) for c, h in (("day_hours", "Horas diurnas"), ("night_hours", "Horas nocturnas"), ("total_hours", "Total"))]
+    clock = [F.date_format(c, "HH:mm:ss").alias(h) for c, h in (("start", "Hora de inicio"), ("end", "Hora de finalizacion"))]
+    common = [F.date_format("fecha", "yyyy-MM-dd").alias("Fecha"), F.col("client").alias("Cliente"), F.col("worker").alias("Nombre"), F.col("codigo").alias("Codigo"), *clock, *hours]
+    blank = lambda *names: [F.lit("").alias(n) for n in names]
+    warehouse = t.select(*common, F.col("idcontacto").alias("Idcontacto"), F.col("bodega").alias("Bodega"), *blank("Descripcion", "Observaciones"))
+    delivery = t.select(*common, F.col("route").alias("Ruta"), *blank("Tipo", "Puntos de entrega", "Puntos adicionales", "Aprobacion"))
+    wages = view(spark, sf, "wages").toDF("Codigo", "Cargo", "Hora diurna", "Hora nocturna", "Hora domingo")
+    tariffs = view(spark, sf, "overtime_tariffs").toDF("Idcontacto", "Precio H. Extra")
+    sheets = {"warehouse": warehouse, "delivery": delivery, "wages": wages, "tariffs": tariffs}
+    for name, sheet in sheets.items():
+        sheet.write.option("header", True).csv(f"{base}/{name}")
+    report = reports.overtime_report_from_files(spark, *[f"{base}/{n}" for n in sheets], "01-01-2000", "31-12-2050")
+    return report.delivery.by_worker
+
+
+@lru_cache(maxsize=16)
+def whole_report(spark, sf):
+    """The report of all clients with its tables stored once."""
+    return reports.client_report(
+        tables(spark, sf), view(spark, sf, "product_volume"), view(spark, sf, "pallet_override"), "01-01-1997", "31/12/98", AS_OF,
+    )
+
+
+@query
+def stored_report_receipts(spark, sf):
+    return whole_report(spark, sf).monthly_receipts
+
+
+@query
+def stored_report_dispatches(spark, sf):
+    return whole_report(spark, sf).monthly_dispatches
+
+
+@query
+def stored_report_stock(spark, sf):
+    return whole_report(spark, sf).stock_by_warehouse
+
+
+@query
+def stored_report_inflow(spark, sf):
+    return whole_report(spark, sf).billing_inflow
+
+
+@query
+def stored_report_outflow(spark, sf):
+    return whole_report(spark, sf).billing_outflow
+
+
+@query
+def stored_report_totals(spark, sf):
+    return whole_report(spark, sf).billing_totals

@@ -11,12 +11,9 @@ from pyspark.sql import functions as F
 def unique_values(df: DataFrame, key: str, value: str, unknown: str) -> DataFrame:
     """(key, value) for keys that show exactly one value other than ``unknown``; a null counts."""
     seen = df.filter(F.col(key).isNotNull() & ~F.col(value).eqNullSafe(F.lit(unknown)))
-    return (
-        seen.groupBy(key)
-        .agg(F.min(value).alias("only"), F.max(value).alias("_max"), F.count_if(F.col(value).isNull()).alias("_nulls"))
-        .filter((F.col("only") == F.col("_max")) & (F.col("_nulls") == 0))
-        .select(key, "only")
-    )
+    nulls = F.count_if(F.col(value).isNull()).alias("_nulls")
+    found = grouped_apart(seen, [key], F.min(value).alias("only"), F.max(value).alias("_max"), nulls)
+    return found.filter((F.col("only") == F.col("_max")) & (F.col("_nulls") == 0)).select(key, "only")
 
 
 def fill_from_unique(

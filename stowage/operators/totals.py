@@ -30,3 +30,21 @@ def widest(*columns: tuple[DataFrame, str]) -> Column:
     """Longest text in any of the given columns, as one scalar subquery."""
     lengths = [df.select(F.length(name).alias("n")) for df, name in columns]
     return reduce(DataFrame.union, lengths).agg(F.max("n")).scalar()
+
+
+def roll_ups(df: DataFrame, sets: dict[str, Sequence[str]], *aggregates: Column, name: str = "rolled_by") -> DataFrame:
+    """All roll-ups of a table from one pass: ``name`` says by which of ``sets`` a row is grouped.
+
+    ``sets`` names lists of key columns. A row has nulls in keys that its set does not group by; rows with a null in
+    one of the set's own keys are left out, as in a plain roll-up of rows without it.
+    """
+    keys = list(dict.fromkeys(k for own in sets.values() for k in own))
+    groups = df.groupingSets([[F.col(k) for k in own] for own in sets.values()], *keys).agg(
+        *aggregates, *[F.grouping(k).alias(f"_{k}") for k in keys]
+    )
+    which, present = F.lit(None), F.lit(False)
+    for label, own in sets.items():
+        mine = reduce(Column.__and__, [F.col(f"_{k}") == F.lit(0 if k in own else 1) for k in keys])
+        which = F.when(mine, F.lit(label)).otherwise(which)
+        present = present | (mine & reduce(Column.__and__, [F.col(k).isNotNull() for k in own], F.lit(True)))
+    return groups.filter(present).withColumn(name, which).drop(*[f"_{k}" for k in keys])

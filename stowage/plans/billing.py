@@ -11,7 +11,7 @@ from stowage.functions.dates import age_days, dwell_days, in_range
 from stowage.functions.numbers import measure, pallets_for, positive_part, round2, tally, total
 from stowage.functions.text import item_key, pallet_tag, ten_digit_receipt
 from stowage.operators.first import latest_per_key, newest, oldest
-from stowage.operators.lookup import attach_totals
+from stowage.operators.lookup import attach_totals, grouped_apart
 
 UNKNOWN_TEXT = "Unknown"
 
@@ -29,7 +29,7 @@ def pallet_mode(stock_fact: DataFrame) -> DataFrame:
         F.sum(F.when(loose, F.col("items")).otherwise(1)).alias("pallets")
     )
     best = F.max_by("fill", F.struct("pallets", -F.col("fill")))
-    return fills.groupBy("idmodelo").agg(best.alias("mode_count"))
+    return grouped_apart(fills, ["idmodelo"], best.alias("mode_count"))
 
 
 def mode_with_override(mode: DataFrame, override: DataFrame) -> DataFrame:
@@ -42,10 +42,11 @@ def mode_with_override(mode: DataFrame, override: DataFrame) -> DataFrame:
     order = -F.col("position") if "position" in override.columns else given
     lines = override.select(F.trim("idmodelo").alias("idmodelo"), given.alias("given"), order.alias("_order"))
     given = lines.groupBy("idmodelo").agg(F.max_by("given", "_order").alias("given"))
+    # both sides have one row per product at most; grouped, not joined, so that what joins the result is shuffled for it
+    both = mode.select("idmodelo", "mode_count").unionByName(given, allowMissingColumns=True)
+    merged = grouped_apart(both, ["idmodelo"], F.max("mode_count").alias("mode_count"), F.max("given").alias("given"))
     counted = F.coalesce(F.col("mode_count"), F.lit(1))
-    return mode.join(given, "idmodelo", "full").select(
-        "idmodelo", F.greatest(counted, F.col("given")).cast("double").alias("mode_count")
-    )
+    return merged.select("idmodelo", F.greatest(counted, F.col("given")).cast("double").alias("mode_count"))
 
 
 def _splits() -> Column:
@@ -151,12 +152,8 @@ def billing_stock(stock_fact: DataFrame, as_of: dt.date | str) -> DataFrame:
 
 def receipt_descriptions(receipts: DataFrame) -> DataFrame:
     """One description per receipt, under its ten-digit id."""
-    return (
-        receipts.select(ten_digit_receipt(F.col("idingreso")).alias("receipt"), "descrip", "fecha")
-        .filter(F.col("receipt").isNotNull())
-        .groupBy("receipt")
-        .agg(newest("descrip", "fecha").alias("description"))
-    )
+    named = receipts.select(ten_digit_receipt(F.col("idingreso")).alias("receipt"), "descrip", "fecha")
+    return grouped_apart(named.filter(F.col("receipt").isNotNull()), ["receipt"], newest("descrip", "fecha").alias("description"))
 
 
 def _outflow_rows(dispatches_fact: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from stowage.functions.numbers import MEASURE, measure, percent, round2, total
 from stowage.functions.text import blank_to
 from stowage.operators.intervals import islands
 from stowage.operators.series import change_within_key
+from stowage.operators.totals import roll_ups
 
 # Sheet headers and the names used from here on.
 HEADERS = {
@@ -217,9 +218,12 @@ def labor_operations_delivery(tasks: DataFrame, start=None, end=None) -> Deliver
 
 
 class Margin(NamedTuple):
+    """``rollups`` has the rows of ``by_client`` and ``by_warehouse`` from one pass, told apart by ``rolled_by``."""
+
     by_client: DataFrame
     by_warehouse: DataFrame
     by_operation: DataFrame
+    rollups: DataFrame
 
 
 def _margin(net: Column, gross: Column) -> Column:
@@ -239,13 +243,13 @@ def labor_margin(operations: DataFrame, tariffs: DataFrame, year: int | None = N
     if year is not None:
         priced = priced.filter(F.year("fecha") == year)
 
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("billable_hours", "worked_hours", "paid", "gross", "net")]
+    monthly_margin = _margin(F.col("net"), F.col("gross"))
+
     def monthly(key: str) -> DataFrame:
-        sums = ["billable_hours", "worked_hours", "paid", "gross", "net"]
-        grouped = (
-            priced.dropna(subset=["month", key])
-            .groupBy("month", key)
-            .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
-        )
-        return grouped.withColumn("margin_pct", _margin(F.col("net"), F.col("gross"))).orderBy("month", key)
+        grouped = priced.dropna(subset=["month", key]).groupBy("month", key).agg(*sums)
+        return grouped.withColumn("margin_pct", monthly_margin).orderBy("month", key)
 
-    return Margin(monthly("client"), monthly("bodega"), priced.drop("month"))
+    sets = {"client": ["month", "client"], "warehouse": ["month", "bodega"]}
+    rolled = roll_ups(priced, sets, *sums).withColumn("margin_pct", monthly_margin)
+    return Margin(monthly("client"), monthly("bodega"), priced.drop("month"), rolled)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stowage.functions.text import blank_to, number_order
 from stowage.functions.warehouse import UNKNOWN, assign_warehouse, force_site_warehouse
 from stowage.operators.first import newest
-from stowage.operators.lookup import expand
+from stowage.operators.lookup import expand, grouped_apart
 from stowage.tables import Tables
 
 RECEIPT_FIELDS = ["fecha", "items", "transtatus", "descrip", "idcontacto", "retnum"]
@@ -29,10 +29,9 @@ def site_forced(df: DataFrame) -> DataFrame:
 
 def one_per_receipt(receipts: DataFrame) -> DataFrame:
     """One row per receipt: of each column the newest value that is not null."""
-    return (
-        receipts.filter(F.col("idingreso").isNotNull())
-        .groupBy("idingreso")
-        .agg(F.max("fecha").alias("fecha"), *[newest(c, "fecha").alias(c) for c in RECEIPT_FIELDS if c != "fecha"])
+    return grouped_apart(
+        receipts.filter(F.col("idingreso").isNotNull()), ["idingreso"],
+        F.max("fecha").alias("fecha"), *[newest(c, "fecha").alias(c) for c in RECEIPT_FIELDS if c != "fecha"],
     )
 
 
@@ -43,12 +42,9 @@ def first_line_place(lines: DataFrame) -> DataFrame:
     line numbers count as numbers: line 2 comes before line 10.
     """
     order = [number_order(F.col(c)).alias(c) for c in ("numero", "itemline")]
-    return (
-        lines.filter(F.col("idingreso").isNotNull())
-        .groupBy("idingreso")
-        .agg(F.min(F.struct(*order, "idubica", "bodega")).alias("line"))
-        .select("idingreso", "line.bodega", "line.idubica")
-    )
+    first = F.min(F.struct(*order, "idubica", "bodega")).alias("line")
+    found = grouped_apart(lines.filter(F.col("idingreso").isNotNull()), ["idingreso"], first)
+    return found.select("idingreso", "line.bodega", "line.idubica")
 
 
 def screened_receipts(receipts: DataFrame, located_stock: DataFrame) -> DataFrame:
@@ -64,12 +60,9 @@ def placed_dispatches(dispatches: DataFrame, located_lines: DataFrame) -> DataFr
 
 def placed_headers(headers: DataFrame, placed: DataFrame) -> DataFrame:
     """Dispatch headers with the place of their newest line; headers without lines are left out."""
-    places = (
-        placed.filter(F.col("trannum").isNotNull())
-        .groupBy("trannum")
-        .agg(F.max(F.struct("fecha", "idingreso", "itemno", "idubica", "bodega")).alias("line"))
-        .select("trannum", "line.bodega", "line.idubica")
-    )
+    newest_line = F.max(F.struct("fecha", "idingreso", "itemno", "idubica", "bodega")).alias("line")
+    places = grouped_apart(placed.filter(F.col("trannum").isNotNull()), ["trannum"], newest_line)
+    places = places.select("trannum", "line.bodega", "line.idubica")
     # A header without lines gets no warehouse and would be dropped next, hence the inner join.
     return headers.join(places, "trannum")
 
