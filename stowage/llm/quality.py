@@ -19,8 +19,16 @@ SYMBOLS = "[#*$%&|<>]"  # fixed value
 SKETCH_K = 800
 # Per ratio: the quantile a fence starts from. Text full of signs can be a twelfth of a corpus, so those start lower.
 FENCES = {"symbol_share": 0.9, "dup_line_share": 0.99, "repeat_share": 0.99, "word_length": 0.9}
-SPREADS = 3.0  # how many times the way from the median to the 0.9 quantile a fence stands beyond it
+# How many times the way from the median to the 0.9 quantile a fence stands beyond it: in a normal distribution, where
+# that way is 1.28 standard deviations, 3.8 of them beyond the quantile.
+SPREADS = 3.0
 TWO_SIDED = ["word_length"]
+# Per share: its count, what it is a share of, and the words or lines that one occurrence counts for at least (a
+# repeated window of three words stands in two places).
+SHARES = {
+    "symbol_share": ("n_symbols", "word_chars", 1), "dup_line_share": ("n_dup_lines", "n_lines", 1),
+    "repeat_share": ("n_repeat_words", "n_words", 6),
+}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SALTS = 32
 WORD_LINE = r"[^\x20\x09-\x0D][^\n]*"  # matches once in each line that holds a word
@@ -92,13 +100,25 @@ def ratios() -> dict[str, Column]:
     }
 
 
+def evident(name: str) -> Column:
+    """A ratio as far as its count is evidence: a share less one standard error of the count; others as they are."""
+    if name not in SHARES:
+        return F.col(name)
+    count, whole, unit = SHARES[name]
+    return (F.col(count) - F.sqrt(F.col(count) * unit)) / F.greatest(whole, F.lit(1))
+
+
 def fences(sketches: list[str], prefix: str) -> list[Column]:
-    """The outer bounds of each ratio from its sketch."""
+    """The outer bounds of each ratio from its sketch, and from that of the sizes it is a share of."""
     out = []
     for name in sketches:
         p = FENCES[name]
         q = F.kll_sketch_get_quantile_double(F.col(name), F.array(*map(F.lit, (1 - p, 0.1, 0.5, 0.9, p))))
-        out.append((q[4] + (q[3] - q[2]) * SPREADS).alias(f"{prefix}{name}_high"))
+        high = q[4] + (q[3] - q[2]) * SPREADS
+        if name in SHARES:
+            _, whole, unit = SHARES[name]
+            high = high + unit / F.greatest(F.kll_sketch_get_quantile_double(F.col(f"of_{whole}"), F.lit(0.5)), F.lit(1.0))
+        out.append(high.alias(f"{prefix}{name}_high"))
         if name in TWO_SIDED:
             out.append((q[0] - (q[2] - q[1]) * SPREADS).alias(f"{prefix}{name}_low"))
     return out
@@ -111,15 +131,18 @@ def thresholds(measured: DataFrame, min_docs: int) -> DataFrame:
     language, and so does the language beside the corpus.
     """
     names = list(FENCES)
+    sizes = [whole for _, whole, _ in SHARES.values()]
+    sketched = [*names, *[f"of_{w}" for w in sizes]]
     groups = share(
         measured.groupBy("lang", "source").agg(
-            F.count("*").alias("n"), *[F.kll_sketch_agg_double(r, SKETCH_K).alias(r) for r in names]
+            F.count("*").alias("n"), *[F.kll_sketch_agg_double(r, SKETCH_K).alias(r) for r in names],
+            *[F.kll_sketch_agg_double(F.col(w).cast("double"), SKETCH_K).alias(f"of_{w}") for w in sizes],
         ),
         "quality-sketches",
     )
 
     def merged(by: list[str], prefix: str) -> DataFrame:
-        sums = groups.groupBy(*by).agg(F.sum("n").alias(f"{prefix}n"), *[F.kll_merge_agg_double(r).alias(r) for r in names])
+        sums = groups.groupBy(*by).agg(F.sum("n").alias(f"{prefix}n"), *[F.kll_merge_agg_double(r).alias(r) for r in sketched])
         return sums.filter(F.col(f"{prefix}n") > 0).select(*by, f"{prefix}n", *fences(names, prefix)).withColumnRenamed("lang", f"{prefix}lang")
 
     own = groups.select("lang", "source", "n", *fences(names, ""))
@@ -166,7 +189,7 @@ def quality(
         joined = spread.join(salted, same & (F.col("_part") == F.col("_salt")), "left")
     inside = F.lit(True)
     for name in FENCES:
-        inside = inside & (F.col(name) <= F.col(f"{name}_high"))
+        inside = inside & (evident(name) <= F.col(f"{name}_high"))
         if name in TWO_SIDED:
             inside = inside & (F.col(name) >= F.col(f"{name}_low"))
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))

@@ -127,3 +127,17 @@ def test_small_groups_are_drawn_towards_the_wider_one(make):
     few, own = ({r.doc_id: r.kept for r in quality(make(docs), min_docs=n).collect()} for n in (3000, 30))
     assert all(own.values())
     assert all(few[k] for k in range(300)) and not any(few[1000 + k] for k in range(30))
+
+
+def test_single_occurrences_are_no_evidence(make):
+    """Groups in which hardly a document has any of a trait: its quantiles and its spread are zero."""
+    import random
+
+    rng = random.Random(3)
+    text = lambda n: " ".join(f"w{rng.randrange(10**9)}x" for _ in range(n))
+    rows = [(k, text(200) + (" &" if k < 50 else ""), "s") for k in range(1000)]
+    rows += [(2000 + k, "\n".join([*(text(8) for _ in range(59)), "w1 w2 w3 w4"] if k >= 25 else [*["once more this line"] * 2, *(text(8) for _ in range(58))]), "t") for k in range(300)]
+    rows += [(9000, text(100) + " & | $ #" * 30, "s"), (9001, "\n".join([*["one line again and again"] * 20, *(text(8) for _ in range(40))]), "t")]
+    kept = {r.doc_id: r.kept for r in quality(make(rows)).collect()}
+    assert not kept.pop(9000) and not kept.pop(9001)
+    assert all(kept.values())
