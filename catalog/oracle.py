@@ -587,6 +587,11 @@ oracle("level_at_date", """select r.idingreso, r.idcontacto, strftime(r.day, '%Y
   asof left join y_level y on r.idcontacto = y.idcontacto and r.day >= y.date
   left join v_opening_levels o on o.idcontacto = r.idcontacto""")
 
+oracle("measures_by_need", """select substring(o_orderpriority, 1, 1) as priority,
+  cast(sum(cast('0.0000' || cast(o_orderkey % 90 + 10 as varchar) as decimal(18,6))) as varchar) as small,
+  cast(sum(cast(cast(o_orderkey % 900 + 100 as varchar) || '000000000000.5' as decimal(28,4))) as varchar) as large,
+  cast(sum(cast(o_totalprice as decimal(18,4))) as varchar) as price from orders group by 1""")
+
 # ---- files read back -----------------------------------------------------------------------------
 
 CTES["x_lines"] = """select *, o_orderkey % 4 as part, o_orderkey % 10 as kind,
@@ -600,6 +605,6 @@ oracle("override_from_file", """select cast(p_partkey % 97 as varchar) as idmode
 for copy, name in (
     ("volume_from_file", "complete_volume"), ("loaded_and_prepared", "clean_status_filters"), ("delivery_from_files", "delivery_by_worker"),
     ("stored_report_receipts", "monthly_receipts"), ("stored_report_dispatches", "monthly_dispatches"), ("stored_report_stock", "stock_by_warehouse"),
-    ("stored_report_inflow", "billing_inflow"), ("stored_report_outflow", "billing_outflow"), ("stored_report_totals", "billing_totals"),
+    ("stored_report_daily", "report_daily_level"), ("stored_report_inflow", "billing_inflow"), ("stored_report_outflow", "billing_outflow"), ("stored_report_totals", "billing_totals"),
 ):
     ORACLE[copy] = ORACLE[name]  # the same question, asked of files or of stored tables

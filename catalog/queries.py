@@ -23,7 +23,7 @@ from stowage.tables import SITE_KEYS, STEMS
 
 START, END = "1997-01-01", "1998-12-31"
 AS_OF = "2002-01-01"
-CLIENT, WAREHOUSE = "000100_c", "BODG"
+CLIENT, WAREHOUSE = "000100_c", "BODA"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -737,6 +737,20 @@ def level_at_date(spark, sf):
     return levels.level_at(held, asked, "idcontacto", "day", opening=client_openings(spark, sf))
 
 
+@query
+def measures_by_need(spark, sf):
+    """Amounts from millionths to hundreds of trillions, each kept and summed exactly."""
+    texts = table(spark, sf, "orders").select(
+        F.substring("o_orderpriority", 1, 1).alias("priority"),
+        F.concat(F.lit("0.0000"), (F.col("o_orderkey") % 90 + 10).cast("string")).alias("small"),
+        F.concat((F.col("o_orderkey") % 900 + 100).cast("string"), F.lit("000000000000.5")).alias("large"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("price"),
+    )
+    types = numbers.fitted_types(texts, "small", "large", "price")
+    exact = numbers.coerce_fitted(texts, types)
+    return exact.groupBy("priority").agg(*[F.sum(c).cast("string").alias(c) for c in types])
+
+
 # ---- files read back ---------------------------------------------------------------------------
 
 
@@ -832,6 +846,11 @@ def whole_report(spark, sf):
     )
 
 
+@query
+def stored_report_daily(spark, sf):
+    return whole_report(spark, sf).daily
+
+
 @query
 def stored_report_receipts(spark, sf):
     return whole_report(spark, sf).monthly_receipts

@@ -22,6 +22,57 @@ def coerce_measures(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: measure(F.col(n)) for n in names if n in df.columns})
 
 
+NUMBER = r"^\s*[+-]?([0-9]+)?(?:\.([0-9]*))?\s*$"  # plain decimals; other spellings are measured as the default
+SUM_DIGITS = 10  # digits that a sum of a decimal may have beyond its values
+
+
+def fitted_types(df: DataFrame, *names: str) -> dict[str, str]:
+    """The decimal type that each named column needs to keep all of its numbers, from one pass over the table.
+
+    ``MEASURE`` where that holds them; else as many digits before and behind the point as some number has. A column
+    that would need more digits than a decimal can sum raises.
+    """
+    names = [n for n in names if n in df.columns]
+    if not names:
+        return {}
+    digits = []
+    for n in names:
+        text = F.col(n).cast("string")
+        plain = text.rlike(NUMBER) & text.rlike("[0-9]")
+        whole = F.length(F.regexp_replace(F.regexp_extract(text, NUMBER, 1), "^0+", ""))
+        part = F.length(F.regexp_replace(F.regexp_extract(text, NUMBER, 2), "0+$", ""))
+        digits += [F.max(F.when(plain, whole)).alias(f"{n}_whole"), F.max(F.when(plain, part)).alias(f"{n}_part")]
+    found = df.agg(*digits).first()
+    out = {}
+    for n in names:
+        whole, part = found[f"{n}_whole"] or 0, found[f"{n}_part"] or 0
+        if whole <= 14 and part <= 4:
+            out[n] = MEASURE
+            continue
+        whole, part = max(whole, 1), max(part, 4)
+        if whole + part + SUM_DIGITS > 38:
+            raise OverflowError(f"{n}: numbers of {whole} digits before and {part} behind the point cannot be summed exactly")
+        out[n] = f"decimal({whole + part},{part})"
+    return out
+
+
+def coerce_fitted(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """The named columns as exact numbers of their types; text that is no number becomes null.
+
+    A number that its type cannot hold, because ``types`` came from other data, raises instead of being cut or nulled.
+    """
+    changes = {}
+    for n, kind in types.items():
+        text = F.col(n).cast("string")
+        value = F.col(n).try_cast(kind)
+        plain = text.rlike(NUMBER) & text.rlike("[0-9]")
+        scale = int(kind.split(",")[1].rstrip(")"))
+        lost = value.isNull() | (F.length(F.regexp_replace(F.regexp_extract(text, NUMBER, 2), "0+$", "")) > scale)
+        stop = F.raise_error(F.concat(F.lit(f"{n} does not fit {kind}: "), text)).cast(kind)
+        changes[n] = F.when(plain & lost, stop).otherwise(value)
+    return df.withColumns(changes)
+
+
 def as_double(c: Column) -> Column:
     """Coercing cast to double in which the text ``nan`` is null too."""
     number = c.try_cast("double")

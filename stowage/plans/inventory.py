@@ -14,6 +14,7 @@ from stowage.operators.totals import shares
 
 IN = ["inflow_cbm", "units_in", "pallets_in"]
 OUT = ["outflow_cbm", "units_out", "pallets_out"]
+WIDE = "decimal(28,4)"  # sums of measures, which are summed again
 
 
 def _side(df: DataFrame, columns: dict[str, str], all_names: list[str]) -> DataFrame:
@@ -34,6 +35,11 @@ def flow_rows(inflow: DataFrame, outflow: DataFrame) -> DataFrame:
     return received.unionByName(shipped)
 
 
+def summed_flows(flows: DataFrame) -> DataFrame:
+    """Flow rows summed per date and client: all that the levels, shares and indicators need of them."""
+    return flows.groupBy("date", "idcontacto").agg(*[c.cast(WIDE).alias(n) for n, c in zip((*IN, *OUT), _sums())])
+
+
 def _sums() -> list[Column]:
     return [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*IN, *OUT)]
 

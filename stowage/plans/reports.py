@@ -106,6 +106,7 @@ def client_report(
     collapse_unmatched: bool = False,
     match_item: bool = False,
     pallets: str = "per_row",
+    official: str | None = None,
 ) -> ClientReport:
     """The whole report for a date range typed day first, for one client or for all.
 
@@ -126,10 +127,13 @@ def client_report(
         screened = shared(screened)
     t = screened
 
-    # Widths are measured on stored tables, not on the result of screening.
+    # Widths are measured on stored tables, not on the result of screening, and then once for the whole report.
     stored = screened if keep_shared else cleaned
     width = widest((stored.receipts, "idcontacto"), (stored.dispatches, "idcontacto"), (t.clients, "idcontacto"))
     receipt_width = widest((stored.dispatches, "idingreso"), (stored.dispatched_stock, "idingreso"))
+    if keep_shared:
+        widths = t.clients.sparkSession.range(1).select(width.alias("c"), receipt_width.alias("r")).first()
+        width, receipt_width = widths["c"] or 0, widths["r"] or 0
     clients = flows.padded(t.clients, "idcontacto", width)
     received = flows.monthly_receipts(t.receipts, t.clients, t.stock_all, t.order_lines_out, width, collapse_unmatched)
     shipped = flows.monthly_dispatches(t.dispatches, t.dispatched_stock, t.clients, match_item, width, receipt_width)
@@ -149,10 +153,14 @@ def client_report(
     on_hand = in_warehouse(billing.billing_stock(by_warehouse.fact, as_of), warehouse, "warehouse")
 
     monthly_in, monthly_out = (in_warehouse(m.by_client, warehouse) for m in (received, shipped))
-    moved = inventory.flow_rows(
-        in_warehouse(billing.billing_inflow_detail(received.fact, mode, pallets), warehouse),
-        in_warehouse(billing.billing_outflow_detail(shipped.fact, fills, pallets), warehouse),
+    moved = inventory.summed_flows(
+        inventory.flow_rows(
+            in_warehouse(billing.billing_inflow_detail(received.fact, mode, pallets, official), warehouse),
+            in_warehouse(billing.billing_outflow_detail(shipped.fact, fills, pallets), warehouse),
+        )
     )
+    if keep_shared:
+        moved = share(moved, "flows")
     daily = inventory.daily_levels(moved, opening=opening)
     return ClientReport(
         monthly_in,
@@ -176,13 +184,14 @@ def client_report(
 
 def billing_report(
     spark: SparkSession, base: str, product_volume: DataFrame, pallet_override: DataFrame, tariffs_path: str,
-    start: str, end: str, as_of: dt.date | str, analysis: str | None = None, entity: str | None = None,
+    start: str, end: str, as_of: dt.date | str, analysis: str | None = None, entity: str | None = None, **options,
 ) -> tuple[ClientReport, DataFrame]:
-    """The client report from CSV extracts, together with the client tariffs."""
+    """The client report from CSV extracts, together with the client tariffs; ``options`` are those of
+    ``client_report`` (``formats``, ``pallets``, ``match_item``, ``collapse_unmatched``, ``official``, ``opening``...)."""
     report = client_report(
         load_tables(spark, base), product_volume, pallet_override, start, end, as_of,
         client=entity if analysis == CLIENT else None,
-        warehouse=entity if analysis == WAREHOUSE else None,
+        warehouse=entity if analysis == WAREHOUSE else None, **options,
     )
     return report, read_client_tariffs(spark, tariffs_path)
 

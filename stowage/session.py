@@ -45,13 +45,26 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_SHARED: dict[str, list[str]] = {}
+
+
 def share(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Used for tables that several reports read. The files outlive any executor, and their size is
-    known to the optimizer when it chooses join strategies.
+    known to the optimizer when it chooses join strategies. ``clear_shared`` removes them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _SHARED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_shared(spark: SparkSession) -> int:
+    """Remove the tables that ``share`` wrote in this application, once nothing reads them any more; their number."""
+    paths = _SHARED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)

@@ -225,3 +225,67 @@ def test_override_positions_follow_lines(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert [int(x) for x in order] == list(range(3000)) and again == order
+
+
+def test_monthly_snapshot(spark, tmp_path):
+    path = str(tmp_path / "levels")
+    kept = sinks.MonthlySnapshot(spark, path)
+    make = lambda *rows: spark.createDataFrame(rows, "month date, client string, v int")
+    jan, feb, mar = (dt.date(2024, m, 1) for m in (1, 2, 3))
+    read = lambda: sorted(tuple(r) for r in kept.read().collect())
+    with pytest.raises(ValueError, match="no months"):
+        kept.read()
+    assert kept.read("month date, client string, v int").count() == 0
+    kept.write(make((jan, "a", 1), (feb, "a", 2), (feb, "b", 3)))
+    first = kept.versions()
+    assert read() == [(jan, "a", 1), (feb, "a", 2), (feb, "b", 3)] and set(first) == {"2024-01-01", "2024-02-01"}
+
+    kept.write(make((feb, "a", 9), (mar, "c", 4)))  # a rerun of a month rewrites that month alone
+    assert read() == [(jan, "a", 1), (feb, "a", 9), (mar, "c", 4)]
+    assert kept.versions()["2024-01-01"] == first["2024-01-01"] and kept.versions()["2024-02-01"] != first["2024-02-01"]
+
+    before = read()
+    with pytest.raises(Exception, match="no month"):
+        kept.write(make((jan, "a", 7), (None, "a", 8)))
+    make((jan, "z", 0)).write.parquet(f"{path}/runs/killed")  # a run that never got to its manifest
+    (tmp_path / "levels" / "manifests" / "0000000099-killed").mkdir()
+    assert read() == before
+
+    kept.write(make(), months=["2024-03-01"])
+    assert read() == [(jan, "a", 1), (feb, "a", 9)]
+    gone = kept.clean()
+    assert "runs/killed" in gone and "manifests/0000000099-killed" in gone and read() == [(jan, "a", 1), (feb, "a", 9)]
+    assert {p.name for p in (tmp_path / "levels" / "runs").iterdir()} == set(kept.versions().values())
+    assert kept.clean() == []
+
+
+def test_measures_fit_their_numbers(spark):
+    from stowage.functions.numbers import MEASURE, coerce_fitted, fitted_types
+
+    df = spark.createDataFrame(
+        [("0.00004", "150000000000000", "1.5", "x"), ("-2.5", " 7 ", "nan", None), (None, "N/D", "12", "-")], "a string, b string, c string, d string"
+    )
+    types = fitted_types(df, "a", "b", "c", "d", "absent")
+    assert types == {"a": "decimal(6,5)", "b": "decimal(19,4)", "c": MEASURE, "d": MEASURE}
+    rows = coerce_fitted(df, types).collect()
+    assert [str(r.a) for r in rows] == ["0.00004", "-2.50000", "None"] and [r.b for r in rows][:2] == [150000000000000, 7]
+    assert rows[1].c is None and all(r.d is None for r in rows)
+    for bad in ("0.000001", "12345678901"):
+        with pytest.raises(Exception, match="does not fit"):
+            coerce_fitted(spark.createDataFrame([(bad,)], "a string"), {"a": "decimal(6,5)"}).collect()
+    with pytest.raises(OverflowError):
+        fitted_types(spark.createDataFrame([("1" * 30,)], "a string"), "a")
+
+
+def test_shared_tables_are_removed(spark, tmp_path):
+    import os
+
+    from stowage import session
+
+    held = session._SHARED.pop(spark.sparkContext.applicationId, [])
+    try:
+        df = share(spark.range(3), "short-lived")
+        files = [p.removeprefix("file:") for p in session._SHARED[spark.sparkContext.applicationId]]
+        assert df.count() == 3 and session.clear_shared(spark) == 1 and not any(os.path.exists(p) for p in files)
+    finally:
+        session._SHARED[spark.sparkContext.applicationId] = held
