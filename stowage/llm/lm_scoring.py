@@ -1,18 +1,19 @@
 """Log-probabilities of texts under a bigram model held in a log-frequency Bloom filter.
 
-Counts of words and word pairs are gathered from the training documents as packed arrays, one shard per range of
-word hashes. A pair's count is quantised to a level on a logarithmic scale, and the pair is put into the shard's
+Counts of words and of the words that follow each are gathered from the training documents as packed arrays, one shard
+per range of word hashes. A pair's count is quantised to a level on a logarithmic scale, and the pair is put into the shard's
 Bloom filter once for each level up to its own: a reader probes level 1, 2, ... until one is missing. The filter
 grows with the number of distinct pairs, at a fixed number of bits for each. With a table of word counts it is
 broadcast, after a check of its size; beyond the bound the same quantised counts are joined instead.
 
 Probabilities are smoothed as Witten and Bell do,
 
-    P(w | h) = (c(h, w) + t(h) P1(w)) / (c(h) + t(h)),    P1(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)),
+    P(w | h) = (q(h, w) + t(h) P1(w)) / (Q(h) + t(h)),    P1(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)),
 
-with one change: t(h) is how many different words precede h, not follow it. The two are alike in size, and the
-former is known in h's own shard, so no second shuffle of all pairs is needed; any positive t(h) gives a
-distribution. A document begins after an end token and closes with one.
+where q is a pair's quantised count, Q(h) the sum of q over the words that follow h, and t(h) how many different ones
+do. All pairs of h are in h's shard, so both are sums within it, and the probabilities after a word, with that of
+all unknown words as one, add up to 1 but for the filter's false finds. Single words keep exact counts, in a table
+beside the filter; the order is two. A document begins after an end token and closes with one.
 """
 
 from __future__ import annotations
@@ -25,15 +26,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stowage.llm.shipping import let_go
 from stowage.llm.words import chunks, mix, mix_int, word_hashes
 from stowage.session import share
 
 END = np.uint64(mix_int(0x0E4D))
 BASE = 1.5  # of the quantisation
-BITS = 10  # of the filter for each entry
-PROBES = 7
+BITS = 14  # of the filter for each entry
+PROBES = 10  # with these bits, one pair in 800 that was never put in is found
 LEVELS = 60  # 1.5 ** 59 is beyond any count
-HELD = 3_000_000  # tokens a task gathers before it sums them
+HELD = 1_000_000  # tokens a task gathers before it sums them
 SHARD_BYTES = 8 << 20  # text bytes for each shard
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 _LEVEL = np.uint64(0x165667B19E3779F9)
@@ -75,13 +77,13 @@ def places(keys: np.ndarray, level: np.ndarray, size: np.ndarray) -> Iterator[np
 
 
 def gathered(docs: DataFrame, bits: int) -> DataFrame:
-    """(shard, words, counts, pairs, before, times): sums over many training documents, packed.
+    """(shard, words, counts, pairs, after, times): sums over many training documents, packed.
 
-    ``words`` are sorted, ``pairs`` says how many preceding words each has, ``before`` and ``times`` list them.
+    ``words`` are sorted, ``pairs`` says how many following words each has, ``after`` and ``times`` list them.
     """
 
-    def flush(tokens: list[np.ndarray], befores: list[np.ndarray]) -> pa.RecordBatch:
-        w, h = np.concatenate(tokens), np.concatenate(befores)
+    def flush(heads: list[np.ndarray], nexts: list[np.ndarray]) -> pa.RecordBatch:
+        w, h = np.concatenate(heads), np.concatenate(nexts)
         order = np.lexsort((h, w))
         w, h = w[order], h[order]
         first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (h[1:] != h[:-1])]))
@@ -94,37 +96,40 @@ def gathered(docs: DataFrame, bits: int) -> DataFrame:
         found, at = np.unique(shard, return_index=True)
         stop = np.append(at[1:], len(words))
         ends = np.append(word_at, len(w))
-        rows = {"shard": found, "words": [], "counts": [], "pairs": [], "before": [], "times": []}
+        rows = {"shard": found, "words": [], "counts": [], "pairs": [], "after": [], "times": []}
         for i, j in zip(at, stop):
             rows["words"].append(words[i:j].tobytes())
             rows["counts"].append(counts[i:j].tobytes())
             rows["pairs"].append(pairs[i:j].tobytes())
-            rows["before"].append(h[ends[i] : ends[j]].tobytes())
+            rows["after"].append(h[ends[i] : ends[j]].tobytes())
             rows["times"].append(times[ends[i] : ends[j]].tobytes())
         return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64() if k == "shard" else pa.binary()) for k, v in rows.items()})
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, befores, held = [], [], 0
+        heads, nexts, held = [], [], 0
         for batch in batches:
             for part in chunks(batch, "_text"):
-                w, h, _ = sequences(part.column(0))
-                tokens.append(w)
-                befores.append(h)
-                held += len(w)
+                words, before, starts = sequences(part.column(0))
+                before[starts[:-1]] = END
+                heads.append(before)
+                nexts.append(words)
+                held += len(words)
                 if held >= HELD:
-                    yield flush(tokens, befores)
-                    tokens, befores, held = [], [], 0
+                    yield flush(heads, nexts)
+                    heads, nexts, held = [], [], 0
         if held:
-            yield flush(tokens, befores)
+            yield flush(heads, nexts)
+        let_go()
 
-    return docs.mapInArrow(gather, "shard long, words binary, counts binary, pairs binary, before binary, times binary")
+    return docs.mapInArrow(gather, "shard long, words binary, counts binary, pairs binary, after binary, times binary")
 
 
-MODEL = "shard long, words binary, counts binary, left binary, size long, filter binary, entries long"
+MODEL = "shard long, words binary, counts binary, left binary, mass binary, size long, filter binary, entries long"
 
 
 def summed(group: pd.DataFrame) -> pd.DataFrame:
-    """One shard of the model: its words with counts and preceding words, and the filter of its pairs."""
+    """One shard of the model: its words with their counts, how many words follow each (``left``) and the sum of the
+    quantised counts of these pairs (``mass``), and the filter of the pairs."""
     def read(name: str, kind: str) -> np.ndarray:
         return np.frombuffer(b"".join(group[name]), dtype=kind)
 
@@ -133,14 +138,15 @@ def summed(group: pd.DataFrame) -> pd.DataFrame:
     counts = np.zeros(len(words), dtype=np.uint64)
     np.add.at(counts, which, read("counts", "u8"))
     of = np.repeat(which, read("pairs", "u4"))
-    before, times = read("before", "u8"), read("times", "u4")
-    order = np.lexsort((before, of))
-    of, before, times = of[order], before[order], times[order]
-    first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (before[1:] != before[:-1])]))
+    after, times = read("after", "u8"), read("times", "u4")
+    order = np.lexsort((after, of))
+    of, after, times = of[order], after[order], times[order]
+    first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (after[1:] != after[:-1])]))
     times = np.add.reduceat(times.astype(np.uint64), first)
-    of, before = of[first], before[first]
+    of, after = of[first], after[first]
     left = np.bincount(of, minlength=len(words)).astype(np.uint64)
-    keys, level = pair_key(before, words[of]), level_of(times)
+    keys, level = pair_key(words[of], after), level_of(times)
+    mass = np.bincount(of, weights=COUNT[level], minlength=len(words)).astype(np.uint64)
     entries = int(level.sum())
     size = max(64, -(-entries * BITS // 8) * 8)
     bits = np.zeros(size, dtype=np.uint8)
@@ -148,8 +154,8 @@ def summed(group: pd.DataFrame) -> pd.DataFrame:
         some = keys[level >= k]
         for at in places(some, np.full(len(some), k), np.uint64(size)):
             bits[at.astype(np.int64)] = 1
-    row = (group["shard"].iloc[0], words.tobytes(), counts.tobytes(), left.tobytes(), size, np.packbits(bits).tobytes(), entries)
-    return pd.DataFrame([row], columns=["shard", "words", "counts", "left", "size", "filter", "entries"])
+    row = (group["shard"].iloc[0], words.tobytes(), counts.tobytes(), left.tobytes(), mass.tobytes(), size, np.packbits(bits).tobytes(), entries)
+    return pd.DataFrame([row], columns=["shard", "words", "counts", "left", "mass", "size", "filter", "entries"])
 
 
 class Model:
@@ -161,9 +167,9 @@ class Model:
     def __init__(self, rows, bits: int):
         self.bits, self.pieces, self.n, self.v, self.open = bits, [], 0.0, 0, False
         for r in rows:
-            counts, left = np.frombuffer(r["counts"], "u8"), np.frombuffer(r["left"], "u8")
-            narrow = "u4" if not len(counts) or counts.max() < 1 << 32 else "u8"
-            self.pieces.append((r["shard"], r["size"], bytes(r["words"]), counts.astype(narrow), left.astype("u4"), bytes(r["filter"])))
+            counts, left, mass = (np.frombuffer(r[c], "u8") for c in ("counts", "left", "mass"))
+            narrow = "u4" if not len(counts) or counts.max() < 1 << 32 else "u8"  # a mass is no more than its count
+            self.pieces.append((r["shard"], r["size"], bytes(r["words"]), counts.astype(narrow), left.astype("u4"), mass.astype(narrow), bytes(r["filter"])))
             self.n += float(counts.sum())
             self.v += len(counts)
         self.pieces.sort(key=lambda x: x[0], reverse=True)
@@ -172,33 +178,34 @@ class Model:
         if self.open:
             return self
         wide = max((x[3].dtype for x in self.pieces), default=np.dtype("u4"))
-        self.words, self.counts = np.empty(self.v, "u8"), np.empty(self.v, wide)
-        self.left, self.filter = np.empty(self.v, "u4"), np.empty(sum(len(x[5]) for x in self.pieces), "u1")
+        self.words, self.counts, self.mass = np.empty(self.v, "u8"), np.empty(self.v, wide), np.empty(self.v, wide)
+        self.left, self.filter = np.empty(self.v, "u4"), np.empty(sum(len(x[6]) for x in self.pieces), "u1")
         self.sizes, self.begins = np.ones(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.uint64)
         at = bit = 0
         while self.pieces:  # each piece goes as soon as it is copied
-            shard, size, words, counts, left, bits = self.pieces.pop()
+            shard, size, words, counts, left, mass, bits = self.pieces.pop()
             stop = at + len(counts)
             self.words[at:stop], self.counts[at:stop], self.left[at:stop] = np.frombuffer(words, "u8"), counts, left
+            self.mass[at:stop] = mass
             self.filter[bit // 8 : (bit + size) // 8] = np.frombuffer(bits, "u1")
             self.sizes[shard], self.begins[shard] = size, bit
             at, bit = stop, bit + size
         self.open = True
         return self
 
-    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Count and number of preceding words of each word."""
+    def find(self, words: np.ndarray) -> list[np.ndarray]:
+        """Count, number of following words, and mass of each word."""
         if not self.v:
-            return np.zeros(len(words)), np.zeros(len(words))
+            return [np.zeros(len(words))] * 3
         at = np.minimum(np.searchsorted(self.words, words), self.v - 1)
         known = self.words[at] == words
-        return np.where(known, self.counts[at], 0).astype(float), np.where(known, self.left[at], 0).astype(float)
+        return [np.where(known, x[at], 0).astype(float) for x in (self.counts, self.left, self.mass)]
 
     def level(self, before: np.ndarray, words: np.ndarray) -> np.ndarray:
         """The quantised count of each pair, by probing level after level until one is missing."""
         out, todo = np.zeros(len(words), np.int64), np.arange(len(words))
         keys = pair_key(before, words)
-        shard = (words >> np.uint64(64 - self.bits)).astype(np.int64)
+        shard = (before >> np.uint64(64 - self.bits)).astype(np.int64)
         step = np.arange(LEVELS + 1, dtype=np.uint64) * _LEVEL
         for k in range(1, LEVELS + 1):
             a = mix(keys[todo] + step[k])
@@ -217,18 +224,18 @@ class Model:
         """Tokens, known tokens, base score and model score of each row."""
         tokens, before, starts = sequences(column)
         unique, which = np.unique(tokens, return_inverse=True)
-        count, left = self.find(unique)
+        count, left, mass = self.find(unique)
         own = np.log10((count + 0.1) / (self.n + 0.1 * (self.v + 1)))[which]
-        count, left = count[which], left[which]
+        count, left, mass = count[which], left[which], mass[which]
         head = np.searchsorted(unique, END)  # every row has an end token
         first_of = np.flatnonzero(which == head)
         ahead = lambda x: np.concatenate([x[first_of[:1]], x[:-1]])
-        c_before, t_before = ahead(count), ahead(left)
+        mass_before, t_before = ahead(mass), ahead(left)
         pair = np.zeros(len(tokens))
-        some = np.flatnonzero((count > 0) & (c_before > 0))
+        some = np.flatnonzero((count > 0) & (mass_before > 0))
         pair[some] = COUNT[self.level(before[some], tokens[some])]
         weight = np.maximum(t_before, 1.0)
-        total = np.log10((pair + weight * 10.0**own) / (c_before + weight))
+        total = np.log10((pair + weight * 10.0**own) / (mass_before + weight))
         sums = lambda x: np.add.reduceat(x, starts[:-1])
         return [np.diff(starts), sums((count > 0).astype(np.int64)), sums(own), sums(total)]
 
@@ -237,7 +244,7 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 
 def score_texts(
-    docs: DataFrame, folds: int = 10, held_fold: int = 0, max_broadcast_mb: int = 1024, text: str = "text"
+    docs: DataFrame, folds: int = 10, held_fold: int = 0, max_broadcast_mb: int = 256, text: str = "text"
 ) -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (the word
     counts alone), ``score`` (log10 probability of the whole text) and ``entries`` (in the filter).
@@ -246,6 +253,9 @@ def score_texts(
     one end token; a null id counts as an empty text when folds are dealt; repeated rows count and are scored as
     often as they come; without training rows every token is unknown. An empty table gives none. Other columns
     are not read.
+
+    Every Python worker unpacks the broadcast model, so ``max_broadcast_mb`` is to be chosen so that this many fit
+    beside the executor's heap. A larger model is not sent: its scores are joined (``_scored_by_join``).
     """
     spark = docs.sparkSession
     thin = docs.select(
@@ -256,7 +266,7 @@ def score_texts(
     size = train.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
     bits = max(2, (int(size) // SHARD_BYTES).bit_length())
     model = share(gathered(train, bits).groupBy("shard").applyInPandas(summed, MODEL), "language-model")
-    parts = ["words", "counts", "left", "filter"]
+    parts = ["words", "counts", "left", "mass", "filter"]
     need = model.agg(*[F.coalesce(F.sum(F.octet_length(p)), F.lit(0)).alias(p) for p in parts], F.coalesce(F.sum("entries"), F.lit(0)).alias("n")).first()
     if sum(need[p] for p in parts) > max_broadcast_mb << 20:
         return _scored_by_join(thin, model, need["n"])
@@ -272,6 +282,7 @@ def score_texts(
                 columns = [part.column(0), part.column(1), n, known, np.full(rows, int(lm.n)), base, total, np.full(rows, entries)]
                 names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "entries"]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
+        let_go()
 
     return thin.mapInArrow(score, SCORED)
 
@@ -279,8 +290,9 @@ def score_texts(
 def _scored_by_join(thin: DataFrame, model: DataFrame, entries: int) -> DataFrame:
     """The same scores from joins: for models beyond the broadcast bound.
 
-    The words that each document needs are joined with the model's shards and looked up there, so a filter shard is
-    read where its words meet it, and the terms are summed per document.
+    Of all pairs that documents ask for, each distinct one is looked up once, in the filter of its first word's shard;
+    the rows of the documents then join the few that were found, a join that can be split at a frequent pair, and the
+    terms are summed per document. So no task holds the rows of a frequent word.
     """
     stats = model.selectExpr("octet_length(words) / 8 as v", "counts")
 
@@ -310,35 +322,41 @@ def _scored_by_join(thin: DataFrame, model: DataFrame, entries: int) -> DataFram
             for r in b.itertuples():
                 yield pd.DataFrame({
                     "word": np.frombuffer(r.words, "i8"), "count": np.frombuffer(r.counts, "i8").astype(float),
-                    "left": np.frombuffer(r.left, "i8").astype(float),
+                    "left": np.frombuffer(r.left, "i8").astype(float), "mass": np.frombuffer(r.mass, "i8").astype(float),
                 })
 
-    words = share(model.select("words", "counts", "left").mapInPandas(open_words, "word long, count double, left double"), "words")
+    words = model.select("words", "counts", "left", "mass").mapInPandas(open_words, "word long, count double, left double, mass double")
+    words = share(words, "words")
     of_word = words.select(F.col("word").alias("w"), F.col("count").alias("cw"))
-    of_before = words.select(F.col("word").alias("h"), F.col("count").alias("ch"), F.col("left").alias("th"))
-    met = asked.join(of_word, "w", "left").join(of_before, "h", "left").fillna(0.0, ["cw", "ch", "th"])
+    of_before = words.select(F.col("word").alias("h"), F.col("mass").alias("mh"), F.col("left").alias("th"))
+    asked = share(asked, "asked-pairs")
     bits = int(model.agg(F.max("shard")).first()[0] or 0)
     bits = max(2, bits.bit_length(), top)
-    pairs = met.withColumn("shard", F.shiftrightunsigned("w", 64 - bits))
+    known = words.select("word")
+    pairs = asked.select("w", "h").distinct()
+    pairs = pairs.join(known.withColumnRenamed("word", "w"), "w", "left_semi").join(known.withColumnRenamed("word", "h"), "h", "left_semi")
+    pairs = pairs.withColumn("shard", F.shiftrightunsigned("h", 64 - bits))
 
     def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        level = np.zeros(len(left), np.int64)
-        if len(right) and len(left):
-            lm = Model([right.iloc[0].to_dict()], bits).ready()
-            some = np.flatnonzero((left["cw"].to_numpy() > 0) & (left["ch"].to_numpy() > 0))
-            w, h = (left[c].to_numpy().view(np.uint64)[some] for c in ("w", "h"))
-            level[some] = lm.level(h, w)
-        return left.assign(pair=COUNT[level])[["row", "n", "cw", "ch", "th", "pair"]]
-
-    told = pairs.select("shard", "row", "w", "h", "n", "cw", "ch", "th").groupBy("shard").cogroup(
-        model.groupBy("shard")
-    ).applyInPandas(probe, "row long, n long, cw double, ch double, th double, pair double")
+        if not len(right) or not len(left):
+            return pd.DataFrame({"w": [], "h": [], "pair": []})
+        lm = Model([right.iloc[0].to_dict()], bits).ready()
+        w, h = (left[c].to_numpy().view(np.uint64) for c in ("w", "h"))
+        found = left.assign(pair=COUNT[lm.level(h, w)])[["w", "h", "pair"]]
+        return found[found["pair"] > 0]
+
+    counted = pairs.groupBy("shard").cogroup(model.groupBy("shard")).applyInPandas(probe, "w long, h long, pair double")
+    counted = share(counted, "pair-counts")
+    told = (
+        asked.join(of_word, "w", "left").join(of_before, "h", "left").join(counted, ["w", "h"], "left")
+        .fillna(0.0, ["cw", "mh", "th", "pair"])
+    )
     p1 = (F.col("cw") + 0.1) / F.lit(n + 0.1 * (v + 1))
     weight = F.greatest("th", F.lit(1.0))
     sums = told.groupBy("row").agg(
         F.sum("n").alias("n_tokens"), F.sum(F.when(F.col("cw") > 0, F.col("n")).otherwise(0)).alias("n_known"),
         F.sum(F.col("n") * F.log10(p1)).alias("base_score"),
-        F.sum(F.col("n") * F.log10((F.col("pair") + weight * p1) / (F.col("ch") + weight))).alias("score"),
+        F.sum(F.col("n") * F.log10((F.col("pair") + weight * p1) / (F.col("mh") + weight))).alias("score"),
     )
     return docs.select("row", "doc_id", "held_out").join(sums, "row").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score",

@@ -33,7 +33,10 @@ def brute_scores(rows):
     train = [tokens(t) for d, t in rows if not held(d)]
     c = Counter(w for s in train for w in s)
     pairs = Counter(p for s in train for p in zip([END, *s], s))
-    left = Counter(w for _, w in pairs)
+    level = lambda p: 1 + math.floor(math.log(pairs[p]) / math.log(1.5) + 1e-9) if pairs[p] else 0
+    left, mass = Counter(h for h, _ in pairs), Counter()
+    for h, w in pairs:
+        mass[h] += lm_scoring.COUNT[level((h, w))]
     n, v = sum(c.values()), len(c)
     out = []
     for d, t in rows:
@@ -41,9 +44,8 @@ def brute_scores(rows):
         base = [math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in s]
         score = 0.0
         for h, w, b in zip([END, *s], s, base):
-            level = 1 + math.floor(math.log(pairs[h, w]) / math.log(1.5) + 1e-9) if pairs[h, w] else 0
             weight = max(left[h], 1)
-            score += math.log10((lm_scoring.COUNT[level] + weight * 10**b) / (c[h] + weight))
+            score += math.log10((lm_scoring.COUNT[level((h, w)) if (h, w) in pairs else 0] + weight * 10**b) / (mass[h] + weight))
         out.append((d, held(d), len(s), sum(c[w] > 0 for w in s), n, sum(base), score))
     return out
 
@@ -86,17 +88,45 @@ def test_filter_keeps_levels_and_grows():
     import pandas as pd
 
     group = pd.DataFrame([(0, words[order].tobytes(), times[order].astype("u8").tobytes(), one.tobytes(), before[order].tobytes(), times[order].tobytes())],
-                         columns=["shard", "words", "counts", "pairs", "before", "times"])
+                         columns=["shard", "words", "counts", "pairs", "after", "times"])
     row = lm_scoring.summed(group).iloc[0]
     lm = lm_scoring.Model([row.to_dict() | {"shard": 0}], 2).ready()
     lm.sizes[:], lm.begins[:] = row["size"], 0
-    levels = lm.level(before, words)
+    levels = lm.level(words, before)
     want = lm_scoring.level_of(times)
     assert (levels >= want).all() and (levels == want).mean() > 0.98
-    strange = lm.level(rng.integers(0, 2**63, 4000, dtype=np.uint64), words)
+    strange = lm.level(words, rng.integers(0, 2**63, 4000, dtype=np.uint64))
     assert (strange > 0).mean() < 0.03
 
 
+def test_probabilities_after_a_word_add_up_to_one(spark):
+    import pandas as pd
+    import pyarrow as pa
+
+    texts = [r.text for r in table(spark, SF, "documents").select("text").collect()]
+    words, before, _ = lm_scoring.sequences(pa.array(texts, pa.string()))
+    pairs = pd.DataFrame({"h": before, "w": words}).groupby(["h", "w"]).size().reset_index(name="n")
+    heads = pairs.groupby("h")
+    group = pd.DataFrame([(
+        0, np.array(list(heads.groups), "u8").tobytes(), heads["n"].sum().to_numpy("u8").tobytes(), heads.size().to_numpy("u4").tobytes(),
+        pairs["w"].to_numpy("u8").tobytes(), pairs["n"].to_numpy("u4").tobytes(),
+    )], columns=["shard", "words", "counts", "pairs", "after", "times"])
+    lm = lm_scoring.Model([lm_scoring.summed(group).iloc[0].to_dict()], 2).ready()
+    lm.sizes[:], lm.begins[:] = lm.sizes[0], 0
+    count, left, mass = lm.find(lm.words)
+    own = (count + 0.1) / (lm.n + 0.1 * (lm.v + 1))
+    unknown = 0.1 / (lm.n + 0.1 * (lm.v + 1))
+    assert np.isclose(own.sum() + unknown, 1)
+    for k in np.random.default_rng(2).choice(len(lm.words), 200, replace=False):
+        pair = lm_scoring.COUNT[lm.level(np.full(lm.v, lm.words[k]), lm.words)]
+        total = ((pair + left[k] * own) / (mass[k] + left[k])).sum() + left[k] / (mass[k] + left[k]) * unknown
+        held = pairs[pairs["h"] == lm.words[k]]
+        true = np.zeros(lm.v)
+        true[np.searchsorted(lm.words, held["w"].to_numpy("u8"))] = lm_scoring.COUNT[lm_scoring.level_of(held["n"].to_numpy())]
+        false = (pair - true).sum() / (mass[k] + left[k])  # what the filter finds and never held
+        assert (pair >= true).all() and abs(total - 1 - false) < 1e-3 and (pair > true).mean() < 0.004
+
+
 def recursive_segments(s, shift=0):
     """The best segment first, then those left and right of it."""
     best = max(((sum(s[i:j]), i - j, i, j) for i in range(len(s)) for j in range(i + 1, len(s) + 1)), default=(0,))
