@@ -41,3 +41,18 @@ def test_stages_take_effect(spark):
 def test_run_gives_packed_pieces(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and set(rows[0].asDict()) == {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"}
+
+
+def test_stages_on_odd_rows_and_on_none(spark, make, odd_rows):
+    """Nulls in any column, empty, blank and very long texts, repeated rows, ties, clashing extra columns, no rows."""
+    for rows in (odd_rows, []):
+        docs = make(rows)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = share(stage(spark, docs, SF), "odd")
+            assert kept.columns == docs.columns and dict(kept.dtypes) == dict(docs.dtypes), name
+            docs = kept
+        whole = [(r.doc_id, r.text) for r in docs.collect()]
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+        if rows:
+            check_packed(packed, whole)
+        assert bool(packed) == bool(whole) == bool(rows)
