@@ -3,7 +3,7 @@
 The cost of guessing a value is that of its cheapest segmentation: each segment is a known word, a date, a
 repeated character, a walk over neighbouring keys, or brute force, and costs the decimal logarithm of the
 guesses it takes. The minimum is found by dynamic programming over positions. A value in a context such as
-``pwd: ...`` whose cheapest segmentation costs at least ``least_cost`` is a secret; ``pwd: changeme`` is not.
+``pwd: ...`` or ``Kennwort: ...`` whose cheapest segmentation costs at least ``least_cost`` is a secret; ``pwd: changeme`` is not.
 """
 
 from __future__ import annotations
@@ -25,13 +25,32 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # runs are taken whole, so shorter ones need
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ["assign", "access", "hex", "guess"]
 
-# Credential context in front of a value, beyond the base patterns.
+# Names in front of a value, beyond the base patterns, in English, German, French and Spanish. Behind those of PASSES a
+# quoted value may hold blanks; those of SHORT are common words or parts of them, so only a sign states their value.
+PASSES = (
+    r"pass[\x20_-]?(?:word|wd|phrase|code)|pwd|pa(?:ss|ß)wort|kennwort|mot[\x20_-]de[\x20_-]passe|mdp|"
+    r"phrase[\x20_-]de[\x20_-]passe|contrase[nñÑ]a"
+)
+KEYS = (
+    r"secret|token|credentials?|(?:api|access|private|auth)[\x20_-]?key|geheimnis|zugangs(?:daten|code|schl[uüÜ]ssel)|"
+    r"api[\x20_-]?schl[uüÜ]ssel|jeton|cl[eéÉ][\x20_-](?:api|priv[eéÉ]e|d['’]acc[eèÈ]s)|secreto|"
+    r"clave[\x20_-](?:api|privada|de[\x20_-]acceso)"
+)
+SHORT = r"(?<![A-Za-z])(?:(?:db|user)?pass|clave|cl[eéÉ])"
+SIGN = r"[\x20\t]*(?:[:=]>?|->)[\x20\t]*"
 CONTEXT = re.compile(
-    r"""(?:pass[\x20_-]?(?:word|wd|phrase|code)|pwd|secret|token|credentials?|api[\x20_-]?key|access[\x20_-]?key|"""
-    r"""private[\x20_-]?key|auth[\x20_-]?key)["']?[\x20\t]*(?:[:=]>?|->|\x20is\x20|\x20was\x20)[\x20\t]*["'`]?([^\s"'`<>]+)""",
+    rf"""(?:(?P<phrase>{PASSES})|{KEYS})["']?(?:(?P<sign>{SIGN})|[\x20\t]+(?:is|was|ist|war|lautet|est|es|era)[\x20\t]+)|"""
+    rf"""{SHORT}["']?(?P<stated>{SIGN})|(?P<bearer>bearer[\x20\t]+)""",
+    re.A | re.I,
+)
+HINT = re.compile(
+    r"""pass|paß|pwd|secret|token|key|credential|kennwort|geheimnis|zugang|schl[uüÜ]ssel|mdp|jeton|cl[eéÉ]["'\x20\t:=_-]|"""
+    r"clave|contrase|bearer",
     re.A | re.I,
 )
-HINT = re.compile(r"pass|pwd|secret|token|key|credential", re.A | re.I)
+QUOTED = re.compile(r""""([^"\n]+)"|'([^'\n]+)'|`([^`\n]+)`""")
+BARE = re.compile(r"""["'`]?([^\s"'`<>]+)""")
+OPENED = {")": "(", "]": "[", "}": "{"}
 
 # Rows of the keyboard, for walks.
 ROWS = ["`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./"]
@@ -130,28 +149,74 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def value_end(text: str, start: int, stop: int) -> int:
+    """End of a value without quotes: stops of the sentence go, and brackets that close nothing in the value."""
+    over = {c: text.count(c, start, stop) - text.count(o, start, stop) for c, o in OPENED.items()}
+    while stop > start:
+        c = text[stop - 1]
+        if over.get(c, 0) > 0:
+            over[c] -= 1
+        elif c not in ".,;:":
+            break
+        stop -= 1
+    return stop
+
+
+def contexts(text: str) -> Iterator[tuple[int, int, bool, bool]]:
+    """Values named as credentials: (start, stop, whether a sign states it, whether it follows ``bearer``).
+
+    A quoted value goes to its closing quote in the same line. With blanks in it, that holds only behind the name of a
+    password or passphrase and a sign; elsewhere, its first word counts.
+    """
+    if not HINT.search(text):
+        return
+    at = 0
+    while m := CONTEXT.search(text, at):
+        at = m.end()
+        stated = m["sign"] is not None or m["stated"] is not None
+        quoted = QUOTED.match(text, at)
+        if quoted and (m["phrase"] and m["sign"] is not None or not re.search(r"\s", quoted[quoted.lastindex])):
+            yield *quoted.span(quoted.lastindex), stated, m["bearer"] is not None
+            at = quoted.end()
+        elif bare := BARE.match(text, at):
+            yield bare.start(1), value_end(text, *bare.span(1)), stated, m["bearer"] is not None
+            at = bare.end()
+
+
 def guess_spans(text: str, words: dict[str, float], least_cost: float) -> list[tuple[int, int, int]]:
     """Values in a credential context that are costly to guess.
 
     A value needs a digit or sign, or else letters of both cases behind a colon, equals sign or arrow: single
-    words of prose are no secrets, however rare.
+    words of prose are no secrets, however rare, nor is one that ends in ``!`` or ``?``. Behind ``bearer`` it needs a
+    digit.
     """
     found = []
-    if not HINT.search(text):
-        return found
-    for m in CONTEXT.finditer(text):
-        value = m[1].rstrip(".,;:!?)]}")
-        mixed = any(not c.isalpha() for c in value)
-        stated = re.search(r"[:=>]", text[m.start() : m.start(1)]) is not None
-        if len(value) >= 6 and (mixed or stated and value.lower() != value and value.upper() != value):
-            if guess_cost(value, words) >= least_cost:
-                found.append((m.start(1), 3, m.start(1) + len(value)))
+    for start, stop, stated, bearer in contexts(text):
+        value = text[start:stop]
+        if bearer:
+            likely = any(c.isdigit() for c in value)
+        else:
+            likely = any(not c.isalpha() for c in value.rstrip("!?")) or stated and value.lower() != value and value.upper() != value
+        if len(value) >= 6 and likely and guess_cost(value, words) >= least_cost:
+            found.append((start, 3, stop))
     return found
 
 
+def without_credentials(text: str) -> str:
+    """The text without its base spans and without the values of credential contexts."""
+    spans = sorted([(a, b) for a, _, b in base_spans(text)] + [(a, b) for a, b, _, _ in contexts(text)])
+    kept, at = [], 0
+    for a, b in spans:
+        if a > at:
+            kept.append(text[at:a])
+        at = max(at, b)
+    return " ".join([*kept, text[at:]])
+
+
 def frequent_words(docs: DataFrame, text: str = "text", most: int = 20_000) -> list[str]:
     """The ``most`` frequent lower-case words of 3 to 24 letters over all documents, by falling frequency.
 
+    Values of credentials don't count, so that a secret told often does not become a word of the dictionary.
     Counted in the tasks, summed by one aggregate; only this top list, a feature of the guesser's dictionary,
     reaches the driver.
     """
@@ -165,7 +230,7 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = 20_000) -> l
 
         for batch in batches:
             for t in pc.fill_null(batch.column(0), "").to_pylist():
-                seen.update(letters.findall(t))
+                seen.update(letters.findall(without_credentials(t)))
             if len(seen) > 100_000:
                 yield out()
                 seen.clear()
