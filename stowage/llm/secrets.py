@@ -43,11 +43,13 @@ CONTEXT = re.compile(
     rf"""{SHORT}["']?(?P<stated>{SIGN})|(?P<bearer>bearer[\x20\t]+)""",
     re.A | re.I,
 )
-HINT = re.compile(
-    r"""pass|paß|pwd|secret|token|key|credential|kennwort|geheimnis|zugang|schl[uüÜ]ssel|mdp|jeton|cl[eéÉ]["'\x20\t:=_-]|"""
-    r"clave|contrase|bearer",
-    re.A | re.I,
+# What every such name and every base assignment holds, and a run of digits, for Arrow's linear matcher: texts without go
+# unsearched.
+HINT = (
+    r"""(?i)pass|paß|pwd|secret|token|key|credential|kennwort|geheimnis|zugang|schl[uü]ssel|mdp|jeton|cl[eé]["'\x20\t:=_-]|"""
+    r"clave|contrase|bearer"
 )
+DIGITS = "[0-9a-f]{24}"
 QUOTED = re.compile(r""""([^"\n]+)"|'([^'\n]+)'|`([^`\n]+)`""")
 BARE = re.compile(r"""["'`]?([^\s"'`<>]+)""")
 OPENED = {")": "(", "]": "[", "}": "{"}
@@ -140,12 +142,20 @@ def guess_cost(value: str, words: dict[str, float]) -> float:
     return best[n]
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of the base patterns, in code points."""
-    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]] if HINT.search(text) else []
+def marked(texts: pa.Array) -> Iterator[tuple[str, bool, bool]]:
+    """Each text (null: empty), whether it may name a credential, and whether it has a long run of digits."""
+    texts = pc.fill_null(texts, "")
+    marks = (pc.match_substring_regex(texts, p).to_pylist() for p in (HINT, DIGITS))
+    return zip((t.as_py() for t in texts), *marks)
+
+
+def base_spans(text: str, named: bool = True, digits: bool = True) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the base patterns, in code points; the marks tell what need not be looked for."""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]] if named else []
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
-    found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    if digits:
+        found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     return sorted(found)
 
 
@@ -168,8 +178,6 @@ def contexts(text: str) -> Iterator[tuple[int, int, bool, bool]]:
     A quoted value goes to its closing quote in the same line. With blanks in it, that holds only behind the name of a
     password or passphrase and a sign; elsewhere, its first word counts.
     """
-    if not HINT.search(text):
-        return
     at = 0
     while m := CONTEXT.search(text, at):
         at = m.end()
@@ -202,9 +210,10 @@ def guess_spans(text: str, words: dict[str, float], least_cost: float) -> list[t
     return found
 
 
-def without_credentials(text: str) -> str:
+def without_credentials(text: str, named: bool = True, digits: bool = True) -> str:
     """The text without its base spans and without the values of credential contexts."""
-    spans = sorted([(a, b) for a, _, b in base_spans(text)] + [(a, b) for a, b, _, _ in contexts(text)])
+    spans = [(a, b) for a, _, b in base_spans(text, named, digits)]
+    spans = sorted(spans + [(a, b) for a, b, _, _ in contexts(text)] if named else spans)
     kept, at = [], 0
     for a, b in spans:
         if a > at:
@@ -229,8 +238,8 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = 20_000) -> l
             return pa.RecordBatch.from_pydict({"word": pa.array(seen.keys(), pa.string()), "n": pa.array(seen.values(), pa.int64())})
 
         for batch in batches:
-            for t in pc.fill_null(batch.column(0), "").to_pylist():
-                seen.update(letters.findall(without_credentials(t)))
+            for t, named, digits in marked(batch.column(0)):
+                seen.update(letters.findall(without_credentials(t, named, digits)))
             if len(seen) > 100_000:
                 yield out()
                 seen.clear()
@@ -266,10 +275,9 @@ def find_secrets(docs: DataFrame, text: str = "text", least_cost: float = 9.0, d
         words = costs.value
         for batch in batches:
             rows = []
-            for doc_id, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                t = t.as_py() or ""
-                spans = base_spans(t)
-                for g in guess_spans(t, words, least_cost):
+            for doc_id, (t, named, digits) in zip(batch.column(0).to_pylist(), marked(batch.column(1))):
+                spans = base_spans(t, named, digits)
+                for g in guess_spans(t, words, least_cost) if named else ():
                     if not any(s[0] <= g[0] and g[2] <= s[2] for s in spans if s[1] < 3):
                         spans.append(g)
                 spans.sort()

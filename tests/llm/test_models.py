@@ -267,6 +267,17 @@ def test_credentials_in_four_languages_are_whole_values(make):
         assert guesses == ([CREDENTIALS[text]] if text in CREDENTIALS else []), text
 
 
+def test_marks_miss_no_name():
+    names = [n.replace("ß", c) for n in ("pass", "paßwort", "PassWort", "pwd", "KENNWORT", "mot de passe", "MDP", "contraseÑa", "contrasena",
+             "secret", "Token", "credentials", "api-key", "authkey", "Geheimnis", "Zugangscode", "ZugangsschlÜssel", "api schlussel",
+             "jeton", "clÉ api", "cle privee", "clé d’accès", "secreto", "clave", "CLAVE privada", "dbpass", "clé", "CLE") for c in "ßs"]
+    texts = [f"{n}: Xk9#vQ2mZ7pL" for n in names] + ["bearer Xk9vQ2mZ7pL"]
+    assert all(list(secrets.contexts(t)) for t in texts if "paswort" not in t)
+    assert all(named for t, named, _ in secrets.marked(secrets.pa.array(texts)) if "paswort" not in t)
+    plain = ["plain", None, "", "0123456789abcdef01234567", "0123456789abcdef0123456"]
+    assert list(secrets.marked(secrets.pa.array(plain))) == [(t or "", False, t == plain[3]) for t in plain]
+
+
 def test_contexts_of_long_runs_take_linear_time():
     for text in ("pwd:" * 50_000, "token='a " * 30_000, "pwd: " + ")" * 200_000, "pass=\"'`" * 30_000, "mot de " * 50_000):
         assert len(secrets.guess_spans(text, {}, 1e9)) == 0
