@@ -28,16 +28,17 @@ def latest_per_item(
 ) -> DataFrame:
     """``latest_per_key`` on (receipt, item). Rows lacking either part have no key and all stay.
 
-    With ``collapse_unmatched`` they share one key, as empty keys do in the source systems, and only the newest
-    of them is left.
+    The table is read once: each row without a key gets one of its own, by number, since such rows can be equal, and
+    the numbers spread them over the tasks. With ``collapse_unmatched`` they share one key, as empty keys do in the
+    source systems, and only the newest of them is left.
     """
     known = F.col(receipt).isNotNull() & F.col(item).isNotNull()
     if tie is None:
         tie = [c for c in df.columns if c != newest]
+    keys = {"_k1": F.when(known, F.col(receipt)), "_k2": F.when(known, F.col(item))}
     if not collapse_unmatched:
-        return latest_per_key(df.filter(known), [receipt, item], newest, tie).unionByName(df.filter(~known))
-    keyed = df.withColumns({"_k1": F.when(known, F.col(receipt)), "_k2": F.when(known, F.col(item))})
-    return latest_per_key(keyed, ["_k1", "_k2"], newest, tie).drop("_k1", "_k2")
+        keys["_own"] = F.when(~known, F.monotonically_increasing_id())
+    return latest_per_key(df.withColumns(keys), list(keys), newest, tie).drop(*keys)
 
 
 def _ordered(value: Column | str, order: Sequence[Column | str]) -> Column:

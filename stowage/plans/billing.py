@@ -54,26 +54,25 @@ def _splits() -> Column:
 
 
 def billing_inflow(receipts_fact: DataFrame, mode: DataFrame, start=None, end=None) -> DataFrame:
-    """Received lines per (receipt, product) within a date range.
+    """Received lines per (receipt, product) of the receipts within a date range.
 
-    Pallets are counted over the whole line, less one for every item detached later, never below
-    zero. One grouped pass; the fill lookup joins on the finished lines.
+    All rows of a receipt carry its one date, so the range is applied first and a month's bill groups that month
+    alone. Pallets are counted over the whole line, less one for every item detached later, never below zero. One
+    grouped pass; the fill lookup joins on the finished lines.
     """
-    inside = in_range(F.col("fecha"), start, end)
     lines = (
-        receipts_fact.dropna(subset=["idingreso", "idmodelo"])
+        receipts_fact.filter(in_range(F.col("fecha"), start, end))
+        .dropna(subset=["idingreso", "idmodelo"])
         .groupBy("idingreso", "idmodelo")
         .agg(
             F.count("*").alias("items"),
             _splits().alias("splits"),
-            tally(inside).alias("_inside"),
-            F.max(F.when(inside, F.col("fecha"))).alias("received"),
-            newest(F.when(inside, F.col("descrip")), "fecha").alias("description"),
-            total(F.when(inside, F.col("inicial"))).alias("cbm"),
-            total(F.when(inside, F.col("pesokgs"))).alias("units"),
-            newest(F.when(inside, F.col("bodega")), "fecha").alias("warehouse"),
+            F.max("fecha").alias("received"),
+            newest("descrip", "fecha").alias("description"),
+            total("inicial").alias("cbm"),
+            total("pesokgs").alias("units"),
+            newest("bodega", "fecha").alias("warehouse"),
         )
-        .filter("_inside > 0")
     )
     fill = F.coalesce(F.col("mode_count"), F.lit(1))
     return (

@@ -42,6 +42,14 @@ def test_items_without_key_stay_by_default(spark):
     assert found == sorted(map(str, [("r1", "1", 5), (None, "1", 4), (None, "1", 2), ("r2", None, 1)]))
 
 
+def test_equal_items_without_key_all_stay_in_one_read(spark, tmp_path):
+    data = [(None, "1", 4)] * 3 + [("r2", None, 1)] * 2 + [(None, None, None)] * 2 + [("r1", "1", 5), ("r1", "1", 5)]
+    spark.createDataFrame(data, "r string, i string, d int").write.parquet(str(tmp_path / "items"))
+    found = first.latest_per_item(spark.read.parquet(str(tmp_path / "items")), "r", "i", "d")
+    assert sorted(map(str, rows(found))) == sorted(map(str, data[:-1]))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 def test_hot_keys_can_be_split(spark):
     """Joins whose one side is an aggregate have shuffles of their own, which is what AQE needs to split them."""
     df = spark.range(2000).selectExpr("if(id % 10 = 0, cast(id as string), 'hot') as k", "id as v", "'x' as w")
