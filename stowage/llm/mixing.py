@@ -31,43 +31,69 @@ BLOCK = 4096  # most words of a block
 LEAST_BLOCKS = 64  # blocks of a small source
 SHARD_BLOCKS = 256  # blocks of an output shard
 BUCKET_ROWS = 1000  # documents whose words are summed in one window
-DRIVER_SHARDS = 1024  # subtrees of at most so many shards are split by tasks
+SUBTREE = 1024  # shards of a subtree that one task expands
+GROUP = 1024  # sources whose blocks are dealt by one tree
+DECK = 500_000_000  # blocks of one draw
 
 
-def weights_for(n: int, cycle: tuple[float, ...] = (5, 2, 1)) -> list[float]:
-    """Weights of n sources in their order: the cycle, repeated."""
-    return [float(cycle[k % len(cycle)]) for k in range(n)]
+def numbered(sums: DataFrame) -> DataFrame:
+    """``sums`` with ``source_id``: places by code point, null last, counted per sorted partition and added up."""
+    at = F.monotonically_increasing_id()
+    placed = share(sums.orderBy(F.col("source").asc_nulls_last()).withColumn("_at", at), "mix-sources")
+    placed = placed.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND((1 << 33) - 1))
+    parts = placed.groupBy("_part").agg(F.count("*").alias("_n"))  # a row per partition, however many sources
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    return placed.join(parts, "_part").withColumn("source_id", F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")
 
 
-def fill_targets(sizes: list[int], weights: list[float], total: float, most: float = 2.0) -> list[float]:
-    """Share ``total`` by weight; a share stops at ``most`` times its source, the excess is shared again."""
-    targets = [0.0] * len(sizes)
-    open_, left = [k for k in range(len(sizes)) if sizes[k] > 0], total
-    while open_:
-        unit = left / sum(weights[k] for k in open_)
-        over = [k for k in open_ if weights[k] * unit > most * sizes[k]]
-        for k in over or open_:
-            targets[k] = most * sizes[k] if over else weights[k] * unit
-        if not over:
-            break
-        left -= sum(targets[k] for k in over)
-        open_ = [k for k in open_ if k not in set(over)]
-    return targets
-
-
-def recipe(sizes: list[tuple[str | None, int]], share_of_all: float = 1.5, most: float = 2.0) -> pd.DataFrame:
-    """A row per source: its target, whole passes, words of the partial pass, and its blocks."""
-    order = sorted(sizes, key=lambda s: (s[0] is None, [ord(c) for c in s[0] or ""]))
-    words = [n for _, n in order]
-    targets = fill_targets(words, weights_for(len(order)), share_of_all * sum(words), most)
-    rows = []
-    for k, ((source, size), target) in enumerate(zip(order, targets)):
-        block = min(BLOCK, max(1, -(-size // LEAST_BLOCKS)))
-        taken = min(round(target), int(most * size))
-        passes, extra = divmod(taken, size) if size else (0, 0)
-        rows.append((source, k, size, float(target), passes, extra, block, -(-size // block)))
-    names = ["source", "source_id", "source_size", "target", "passes", "extra", "block_words", "n_blocks"]
-    return pd.DataFrame(rows, columns=names)
+def water_level(sources: DataFrame, total: float, most: float) -> float | None:
+    """The level u at which targets of min(weight * u, most * size) add up to ``total``; none if no source is below.
+
+    Starts with no source at its bound and raises the level by what the bounds cut off, until no further source
+    reaches its own. A round is one sum over the sources; only that sum comes to the driver.
+    """
+    bound, level, over = F.lit(most) * F.col("size"), None, -1
+    while True:
+        full = F.lit(False) if level is None else F.col("weight") * F.lit(level) > bound
+        sums = sources.filter("size > 0").agg(
+            F.count_if(full).alias("n"), F.sum(F.when(full, F.col("size")).otherwise(0)).alias("full"),
+            F.sum(F.when(full, 0).otherwise(F.col("weight"))).alias("weight"),
+        ).first()
+        if not sums["weight"]:
+            return None
+        if sums["n"] == over:
+            return level
+        over, level = sums["n"], (total - most * sums["full"]) / sums["weight"]
+
+
+def recipe(
+    sums: DataFrame, share_of_all: float = 1.5, most: float = 2.0, cycle: tuple[int, ...] = (5, 2, 1)
+) -> DataFrame:
+    """(stream, source_id, source_size, target, passes, extra, block_words, n_blocks, quota) per row of ``sums``.
+
+    Weights repeat ``cycle`` in the order of the sources. A target stops at ``most`` times its source, the excess is
+    shared again by weight. ``passes`` are whole turns of the source, ``extra`` the words of one more, ``quota`` the
+    blocks of both. ``sums`` holds stream, source and size, one row per source.
+    """
+    weights = F.array(*[F.lit(w) for w in cycle])
+    sources = numbered(sums).withColumn("weight", F.element_at(weights, (F.col("source_id") % len(cycle) + 1).cast("int")))
+    total = sources.agg(F.sum("size").alias("n")).first()["n"] or 0
+    level = water_level(sources, share_of_all * total, most)
+    bound = F.lit(most) * F.col("size")
+    target = bound if level is None else F.least(F.col("weight") * F.lit(level), bound)
+    taken = F.least(F.bround("target").cast("long"), F.floor(bound))
+    sized = sources.withColumn("target", target.cast("double")).withColumn("_taken", taken)
+    some = F.col("size") > 0
+    blocks = sized.select(
+        "stream", "source_id", F.col("size").alias("source_size"), "target",
+        F.when(some, F.expr("_taken div size")).otherwise(0).alias("passes"),
+        F.when(some, F.expr("_taken % size")).otherwise(0).alias("extra"),
+        F.least(F.lit(BLOCK), F.greatest(F.lit(1), F.expr(f"(size + {LEAST_BLOCKS - 1}) div {LEAST_BLOCKS}"))).alias("block_words"),
+    )
+    blocks = blocks.withColumn("n_blocks", F.expr("(source_size + block_words - 1) div block_words"))
+    quota = F.expr("passes * n_blocks + (extra + block_words - 1) div block_words")
+    return share(blocks.withColumn("quota", quota), "mix-recipe")
 
 
 def permute(x: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -87,94 +113,129 @@ def permute(x: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def split(node: int, shards: int, quota: np.ndarray, seed: int) -> tuple[np.ndarray, int]:
-    """Blocks of each source that go to the left half, and that half's shards."""
+def deal(random: np.random.Generator, quota: np.ndarray, count: int) -> np.ndarray:
+    """A multivariate hypergeometric draw; blocks beyond ``DECK`` are dealt as several decks of equal make-up."""
+    total = int(quota.sum())
+    decks = total // DECK + 1
+    hand, dealt, drawn = np.zeros_like(quota), 0, 0
+    for j in range(decks):
+        deck = (quota + j) // decks
+        dealt += int(deck.sum())
+        part = count * dealt // total - drawn if total else 0
+        hand += random.multivariate_hypergeometric(deck, part, method="marginals")
+        drawn += part
+    return hand
+
+
+def split(node: int, shards: int, quota: np.ndarray, seed: int, group: int = 0) -> tuple[np.ndarray, int]:
+    """Blocks of each source that go to the left half, and that half's shards.
+
+    The half takes its part of the group's blocks; what is left over of a block is decided by chance, so that groups
+    don't all favour the same half.
+    """
     left = shards // 2
-    count = int(quota.sum()) * left // shards
-    random = np.random.default_rng([seed, node])
-    return random.multivariate_hypergeometric(quota, count, method="marginals"), left
+    random = np.random.default_rng([seed, node, group])
+    count, rest = divmod(int(quota.sum()) * left, shards)
+    return deal(random, quota, count + int(random.integers(shards) < rest)), left
 
 
-def descend(node: int, shards: int, first: int, quota: np.ndarray, start: np.ndarray, seed: int, stop: int):
-    """Nodes of at most ``stop`` shards below a node: (node, shards, first shard, quota, first rank per source)."""
+def descend(node: int, shards: int, first: int, quota: np.ndarray, start: np.ndarray, seed: int, stop: int, group: int = 0):
+    """Nodes of at most ``stop`` shards below a node that hold blocks: (node, shards, first shard, quota, first ranks)."""
     todo = [(node, shards, first, quota, start)]
     while todo:
         node, shards, first, quota, start = todo.pop()
+        if not quota.any():
+            continue
         if shards <= stop:
             yield node, shards, first, quota, start
             continue
-        left, n = split(node, shards, quota, seed)
+        left, n = split(node, shards, quota, seed, group)
         todo.append((2 * node + 1, shards - n, first + n, quota - left, start + left))
         todo.append((2 * node, n, first, left, start))
 
 
-def draws(spark, plan: pd.DataFrame, seed: int) -> DataFrame:
-    """(source_id, block, pass, words, shard, place): every block the mix draws; ``words`` limits the last one."""
-    extra_blocks = -(-plan["extra"] // plan["block_words"])
-    quota = (plan["passes"] * plan["n_blocks"] + extra_blocks).to_numpy(dtype=np.int64)
-    shards = max(1, -(-int(quota.sum()) // SHARD_BLOCKS))
-    nodes = list(descend(1, shards, 0, quota, np.zeros_like(quota), seed, DRIVER_SHARDS))
-    table = pd.DataFrame(
-        [(str(node), n, first, q.tolist(), s.tolist()) for node, n, first, q, s in nodes],
-        columns=["node", "shards", "first", "quota", "start"],
+def leaf(shard: int, quota: np.ndarray, start: np.ndarray, n_blocks: np.ndarray, low: int, seed: int) -> pd.DataFrame:
+    """The blocks a shard draws from a group of sources, ``low`` the first, each at a random place of the shard."""
+    parts = []
+    for k in np.flatnonzero(quota):
+        n, source = int(n_blocks[k]), low + int(k)
+        ranks = np.arange(start[k], start[k] + quota[k])
+        turn, at = ranks // n, ranks % n
+        block = at.copy()
+        for e in np.unique(turn):  # the short block at the stream's end keeps the last rank of a pass
+            inner = (turn == e) & (at < n - 1)
+            block[inner] = permute(at[inner], n - 1, seed * 1_000_003 + source * 64 + int(e))
+        parts.append(pd.DataFrame({"source_id": source, "block": block, "pass": turn, "at": at}))
+    out = pd.concat(parts)
+    out["shard"] = shard
+    out["place"] = np.random.default_rng([seed, 1, shard, low]).integers(1 << 62, size=len(out))
+    return out
+
+
+def draws(plan: DataFrame, seed: int) -> DataFrame:
+    """(source_id, block, pass, at, shard, place): every block the mix draws, ``at`` its rank in the pass.
+
+    A tree of shards deals out the blocks of ``GROUP`` sources; with more sources there is a tree per group over the
+    same shards, each dealing every shard its part of the group. Trees are cut into subtrees of ``SUBTREE`` shards,
+    which tasks expand; the driver sees the number of blocks only.
+    """
+    shards = max(1, -(-(plan.agg(F.sum("quota").alias("n")).first()["n"] or 0) // SHARD_BLOCKS))
+    rows = F.array_sort(F.collect_list(F.struct("source_id", "quota", "n_blocks")))
+    groups = plan.groupBy(F.expr(f"source_id div {GROUP}").alias("group")).agg(rows.alias("_rows")).select(
+        "group", F.col("_rows.quota").alias("quota"), F.col("_rows.n_blocks").alias("n_blocks")
     )
-    schema = "node string, shards long, first long, quota array<long>, start array<long>"
-    recipe_rows = plan[["n_blocks", "extra", "block_words"]].to_numpy(dtype=np.int64)
-
-    def leaf(shard: int, quota: np.ndarray, start: np.ndarray) -> pd.DataFrame:
-        parts = []
-        for k in np.flatnonzero(quota):
-            n, extra, words = recipe_rows[k]
-            ranks = np.arange(start[k], start[k] + quota[k])
-            turn, at = ranks // n, ranks % n
-            block = at.copy()
-            for e in np.unique(turn):  # the short block at the stream's end keeps the last rank of a pass
-                inner = (turn == e) & (at < n - 1)
-                block[inner] = permute(at[inner], int(n) - 1, seed * 1_000_003 + int(k) * 64 + int(e))
-            parts.append(pd.DataFrame({"source_id": k, "block": block, "pass": turn, "at": at}))
-        out = pd.concat(parts) if parts else pd.DataFrame({"source_id": [], "block": [], "pass": [], "at": []})
-        out["shard"] = shard
-        out["place"] = np.random.default_rng([seed, 1, shard]).permutation(len(out))
-        return out
+    subtree, width = SUBTREE, GROUP
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def plant(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for node, n, first, quota, start in batch.itertuples(index=False):
-                below = descend(int(node), n, first, np.array(quota, dtype=np.int64), np.array(start, dtype=np.int64), seed, 1)
-                for _, _, shard, q, s in below:
-                    yield leaf(shard, q, s).astype("int64")
+            for group, quota, n_blocks in batch.itertuples(index=False):
+                quota = np.array(quota, dtype=np.int64)
+                for node, n, first, q, s in descend(1, shards, 0, quota, np.zeros_like(quota), seed, subtree, group):
+                    yield pd.DataFrame({
+                        "group": [group], "node": [str(node)], "shards": [n], "first": [first], "quota": [q], "start": [s],
+                        "n_blocks": [n_blocks],
+                    })
 
-    found = spark.createDataFrame(table, schema).repartition(max(1, len(table))).mapInPandas(
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for group, node, n, first, quota, start, n_blocks in batch.itertuples(index=False):
+                quota, start = np.array(quota, dtype=np.int64), np.array(start, dtype=np.int64)
+                for _, _, shard, q, s in descend(int(node), n, first, quota, start, seed, 1, group):
+                    yield leaf(shard, q, s, n_blocks, group * width, seed).astype("int64")
+
+    arrays = "quota array<long>, start array<long>, n_blocks array<long>"
+    planted = groups.mapInPandas(plant, f"group long, node string, shards long, first long, {arrays}")
+    return planted.repartition("group", "node").mapInPandas(
         expand, "source_id long, block long, pass long, at long, shard long, place long"
     )
-    return found
 
 
-def streams(sized: DataFrame, plan_df: DataFrame, buckets: int) -> DataFrame:
+def streams(sized: DataFrame, plan: DataFrame, buckets: int) -> DataFrame:
     """``sized`` rows with their source's recipe and ``begin``: the words of the stream before the document.
 
     Prefix sums in three levels, documents of a bucket, buckets of a range, ranges of a source, so that no window
-    holds a whole source.
+    holds a whole source. The recipe joins the sums per bucket, not the documents: a hot source is many buckets, and
+    rows meet their bucket in the partitioning that their window has already.
     """
     top = buckets.bit_length() - 1
-    bucket = F.shiftrightunsigned("ticket", 64 - top) if top else F.lit(0).cast("long")
-    rows = sized.join(
-        F.broadcast(plan_df.withColumnRenamed("source", "_source")), F.col("source").eqNullSafe(F.col("_source"))
-    ).drop("_source").withColumn("bucket", bucket)
-    inner = Window.partitionBy("source_id", "bucket").orderBy("ticket", "doc_id", "row")
+    rows = sized.withColumn("bucket", F.shiftrightunsigned("ticket", 64 - top) if top else F.lit(0).cast("long"))
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("stream", "bucket").orderBy("ticket", "doc_id", "row")
     within = rows.withColumn("_in", F.coalesce(F.sum("size").over(before(inner)), F.lit(0)))
-    totals = rows.groupBy("source_id", "bucket").agg(F.sum("size").alias("_words"))
+    totals = rows.groupBy("stream", "bucket").agg(F.sum("size").alias("_words"))
     ranges = totals.withColumn("_range", F.shiftright("bucket", 10))
-    by_range = ranges.groupBy("source_id", "_range").agg(F.sum("_words").alias("_sum")).select(
-        "source_id", "_range",
-        F.coalesce(F.sum("_sum").over(before(Window.partitionBy("source_id").orderBy("_range"))), F.lit(0)).alias("_r"),
+    by_range = ranges.groupBy("stream", "_range").agg(F.sum("_words").alias("_sum")).select(
+        "stream", "_range",
+        F.coalesce(F.sum("_sum").over(before(Window.partitionBy("stream").orderBy("_range"))), F.lit(0)).alias("_r"),
     )
     in_range = ranges.withColumn(
-        "_b", F.coalesce(F.sum("_words").over(before(Window.partitionBy("source_id", "_range").orderBy("bucket"))), F.lit(0))
+        "_b", F.coalesce(F.sum("_words").over(before(Window.partitionBy("stream", "_range").orderBy("bucket"))), F.lit(0))
     )
-    starts = in_range.join(by_range, ["source_id", "_range"]).select("source_id", "bucket", (F.col("_b") + F.col("_r")).alias("_at"))
-    return within.join(starts, ["source_id", "bucket"]).withColumn("begin", F.col("_at") + F.col("_in")).drop("_at", "_in")
+    starts = in_range.join(by_range, ["stream", "_range"]).join(plan, "stream").select(
+        "stream", "bucket", (F.col("_b") + F.col("_r")).alias("_at"), "source_id", "source_size", "target", "passes",
+        "extra", "block_words",
+    )
+    return within.join(starts, ["stream", "bucket"]).withColumn("begin", F.col("_at") + F.col("_in")).drop("_at", "_in", "stream")
 
 
 def mix_sources(docs: DataFrame, seed: int = 7, text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -182,31 +243,24 @@ def mix_sources(docs: DataFrame, seed: int = 7, text: str = "text") -> tuple[Dat
     ``target`` per row of ``docs``. ``mixture``: ``row``, ``from_word``, ``n_words``, ``shard``, ``place`` and
     ``begin``: which words of which row the mix takes, and where; order by the last three to lay out a shard.
 
-    The order within a source follows from a hash of id and text, so reruns agree. One row per source, its weight
-    and its target, passes through the driver, as a recipe of the mix. A null text has no words; a row without
-    words is never taken; a null source is a source, the last one. Repeated rows are taken each on their own. An
-    empty table gives empty results. Columns other than ``doc_id``, ``source`` and the text are not read.
+    The order within a source follows from a hash of id and text, so reruns agree. Sources stay a table; sums over all
+    of them are what the driver sees. A null text has no words; a row without words is never taken; a null source is
+    a source, the last one. Repeated rows are taken each on their own. An empty table gives empty results. Columns
+    other than ``doc_id``, ``source`` and the text are not read.
     """
-    spark = docs.sparkSession
     body = F.xxhash64(docs[text])
+    source = F.col("source").cast("string")
     sized = share(
         docs.select(
-            "doc_id", "source", word_count(docs[text]).alias("size"), body.alias("body"),
-            F.xxhash64(F.lit(seed), "doc_id", body).alias("ticket"),
+            "doc_id", source.alias("source"), F.coalesce(F.concat(F.lit("s"), source), F.lit("")).alias("stream"),
+            word_count(docs[text]).alias("size"), body.alias("body"), F.xxhash64(F.lit(seed), "doc_id", body).alias("ticket"),
         ),
         "mix-sizes",
     ).withColumn("row", F.monotonically_increasing_id())
-    sums = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
-    plan = recipe([(r["source"], r["size"]) for r in sums])
-    schema = (
-        "source string, source_id long, source_size long, target double, passes long, extra long, "
-        "block_words long, n_blocks long"
-    )
-    plan_df = spark.createDataFrame(plan.astype(object).where(plan.notna(), None), schema)
-    n = sum(r["n"] for r in sums)
-    buckets = 1 << max(0, (n // BUCKET_ROWS).bit_length())
-    rows = share(streams(sized, plan_df, buckets), "mix-rows")
-    drawn = draws(spark, plan, seed)
+    plan = recipe(sized.groupBy("stream", "source").agg(F.sum("size").alias("size")))
+    buckets = 1 << max(0, (sized.count() // BUCKET_ROWS).bit_length())
+    rows = share(streams(sized.drop("source"), plan, buckets), "mix-rows")
+    drawn = draws(plan, seed)
 
     first, last = F.floor(F.col("begin") / F.col("block_words")), F.floor((F.col("begin") + F.col("size") - 1) / F.col("block_words"))
     some = rows.filter("size > 0").select("row", "begin", "size", "source_id", "passes", "extra", "block_words", first.alias("_first"), last.alias("_last"))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from stowage.llm import mixing
-from stowage.llm.mixing import fill_targets, mix_sources, mixed_documents, permute, recipe, taken_words, word_slice
+from stowage.llm.mixing import mix_sources, mixed_documents, permute, recipe, taken_words, word_slice
 from stowage.llm.queries import table
 from tests.llm.conftest import SF
 
@@ -24,15 +24,31 @@ def water_filling(sizes, total):
     return [min(2 * s, high * w) for s, w in zip(sizes, weights)]
 
 
+def recipe_of(spark, sizes):
+    sums = spark.createDataFrame([(f"{source}", source, size) for source, size in sizes], "stream string, source string, size long")
+    return recipe(sums).orderBy("source_id").collect()
+
+
 @pytest.mark.parametrize("sizes", [[100, 100, 100], [10, 1000, 5, 700, 0, 3], [1], [5000, 1, 1, 1, 1, 1, 9000]])
-def test_targets(sizes):
-    found = fill_targets(sizes, mixing.weights_for(len(sizes)), 1.5 * sum(sizes))
-    assert np.allclose(found, water_filling(sizes, 1.5 * sum(sizes)), rtol=1e-9, atol=1e-6)
+def test_targets(spark, sizes):
+    found = recipe_of(spark, [(chr(97 + k), size) for k, size in enumerate(sizes)])
+    assert [r.source_size for r in found] == sizes
+    assert np.allclose([r.target for r in found], water_filling(sizes, 1.5 * sum(sizes)), rtol=1e-9, atol=1e-6)
+    for r in found:
+        assert r.passes * r.source_size + r.extra == min(round(r.target), 2 * r.source_size)
+        assert r.quota == r.passes * r.n_blocks + -(-r.extra // r.block_words)
+
+
+def test_targets_of_many_sources(spark):
+    sizes = [int(x) for x in np.random.default_rng(5).pareto(1.1, 5000) * 20]
+    found = recipe_of(spark, [(f"{k:06d}", size) for k, size in enumerate(sizes)])
+    assert [r.source_id for r in found] == list(range(5000)) and [r.source_size for r in found] == sizes
+    assert np.allclose([r.target for r in found], water_filling(sizes, 1.5 * sum(sizes)), rtol=1e-9, atol=1e-6)
 
 
-def test_sources_go_by_code_point_and_null_is_last():
-    plan = recipe([(None, 10), ("", 10), ("\U0001f600", 10), ("B", 10), ("a", 10), ("", 0)])
-    assert list(plan["source"]) == ["", "B", "a", "", "\U0001f600", None]
+def test_sources_go_by_code_point_and_null_is_last(spark):
+    found = recipe_of(spark, [(None, 10), ("", 10), ("\U0001f600", 10), ("B", 10), ("a", 10), ("\ue000", 0)])
+    assert [r.stream for r in found] == ["", "B", "a", "\ue000", "\U0001f600", "None"]
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000, 4097])
@@ -54,6 +70,14 @@ def test_quotas_reach_the_leaves():
         at = at + leaf[3]
 
 
+def test_decks_deal_the_whole_quota(monkeypatch):
+    monkeypatch.setattr(mixing, "DECK", 50)
+    quota = np.array([500, 20, 0, 3000, 1])
+    for count in (0, 1, 1500, 1760, 3521):
+        got = mixing.deal(np.random.default_rng(count), quota, count)
+        assert got.sum() == count and (got <= quota).all() and (got >= 0).all()
+
+
 def check(spark, docs, monkeypatch=None):
     rows, mixture = mix_sources(docs)
     taken = taken_words(rows, mixture).collect()
@@ -93,12 +117,21 @@ def test_no_rows(make):
 
 def test_many_shards_place_every_block_once(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SHARD_BLOCKS", 5)
-    monkeypatch.setattr(mixing, "DRIVER_SHARDS", 4)
+    monkeypatch.setattr(mixing, "SUBTREE", 4)
     mixture = check(spark, table(spark, SF, "documents"))
     places = mixture.select("shard", "place").distinct()
     assert places.count() >= places.select("shard").distinct().count() > 100
 
 
+def test_groups_of_sources_share_the_shards(spark, make, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 20)
+    monkeypatch.setattr(mixing, "GROUP", 3)
+    words = np.random.default_rng(9).integers(0, 60, 400)
+    mixture = check(spark, make([(k, "w " * int(n), f"source {k % 10}") for k, n in enumerate(words)]))
+    sizes = [r["count"] for r in mixture.select("shard", "place").distinct().groupBy("shard").count().collect()]
+    assert len(sizes) > 10 and max(sizes) <= 20 + 8
+
+
 def test_mixed_documents_hold_the_taken_words(spark, make, odd_rows):
     docs = make(odd_rows)
     rows, mixture = mix_sources(docs)
