@@ -31,7 +31,8 @@ BLOCK = 4096  # most words of a block
 LEAST_BLOCKS = 64  # blocks of a small source
 SHARD_BLOCKS = 256  # blocks of an output shard
 BUCKET_ROWS = 1000  # documents whose words are summed in one window
-SUBTREE = 1024  # shards of a subtree that one task expands
+SUBTREE = 64  # shards of a subtree that is expanded at once
+TASK_SHARDS = 256  # shards a task expands
 GROUP = 1024  # sources whose blocks are dealt by one tree
 DECK = 500_000_000  # blocks of one draw
 
@@ -177,7 +178,7 @@ def draws(plan: DataFrame, seed: int) -> DataFrame:
 
     A tree of shards deals out the blocks of ``GROUP`` sources; with more sources there is a tree per group over the
     same shards, each dealing every shard its part of the group. Trees are cut into subtrees of ``SUBTREE`` shards,
-    which tasks expand; the driver sees the number of blocks only.
+    which are dealt to tasks; the driver sees the number of blocks only.
     """
     shards = max(1, -(-(plan.agg(F.sum("quota").alias("n")).first()["n"] or 0) // SHARD_BLOCKS))
     rows = F.array_sort(F.collect_list(F.struct("source_id", "quota", "n_blocks")))
@@ -205,7 +206,8 @@ def draws(plan: DataFrame, seed: int) -> DataFrame:
 
     arrays = "quota array<long>, start array<long>, n_blocks array<long>"
     planted = groups.mapInPandas(plant, f"group long, node string, shards long, first long, {arrays}")
-    return planted.repartition("group", "node").mapInPandas(
+    tasks = -(-shards // TASK_SHARDS)  # a number, since a row of a few kB grows to many blocks
+    return planted.repartition(tasks, "group", "node").mapInPandas(
         expand, "source_id long, block long, pass long, at long, shard long, place long"
     )
 
