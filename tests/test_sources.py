@@ -289,3 +289,13 @@ def test_shared_tables_are_removed(spark, tmp_path):
         assert df.count() == 3 and session.clear_shared(spark) == 1 and not any(os.path.exists(p) for p in files)
     finally:
         session._SHARED[spark.sparkContext.applicationId] = held
+
+
+def test_a_line_is_cut_into_fields_once(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,"x,y"\n2,\n"open,3\n4,5,6\n')
+    rows = extracts.read_extract(spark, str(tmp_path / "x.csv"), tolerant=True).filter("b = 'x,y' or a = '2'")
+    assert sorted(tuple(r) for r in rows.collect()) == [("1", "x,y"), ("2", None)]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == plan.count("split(") == 1
+    rejected = {r["line"]: r["reason"] for r in extracts.rejected_lines(spark, str(tmp_path / "x.csv")).collect()}
+    assert rejected == {4: "open quote", 5: "surplus fields"}
