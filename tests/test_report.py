@@ -5,7 +5,8 @@ from decimal import Decimal
 
 import pytest
 
-from stowage.plans import cleaning, reports, screening
+from stowage import session
+from stowage.plans import cleaning, flows, reports, screening
 from stowage.sources.extracts import load_tables
 from stowage.tables import STEMS
 
@@ -219,3 +220,29 @@ def test_billing_report_brings_the_tariffs(spark, base, lookups, tmp_path):
         spark, base, *lookups, str(tmp_path / "tariffs.csv"), "01-01-2024", "31/12/24", "2024-03-01", "C", "C1"
     )
     assert tariffs.first().price == "5" and report.monthly_dispatches.count() == 1
+
+
+def test_a_table_of_the_report_stores_only_what_it_needs(spark, base, lookups):
+    stored = session._SHARED.setdefault(spark.sparkContext.applicationId, [])
+    got = reports.client_report(load_tables(spark, base), *lookups, "01-01-2024", "31/12/24", "2024-03-01")
+    before = len(stored)
+    (row,) = got.monthly_dispatches.collect()
+    names = {path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in stored[before:]}
+    assert (row.client, row.cbm) == ("Ana", Decimal(4)) and names == {"dispatched"}
+    got.billing_outflow.collect(), got.billing_totals.collect(), got.daily.collect()
+    names = [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in stored[before:]]
+    assert sorted(names) == ["dispatched", "flows", "on-hand", "receipts", "received", "shipped"]
+
+
+def test_filled_rows_have_the_sums_of_unfilled_ones(spark):
+    rows = [
+        ("1", "C1", "DESCONOCIDO", 1), ("1", "C1", "BODA", 2), ("1", "C2", "DESCONOCIDO", 4), (None, "C1", "BODA", 8),
+        ("2", None, "BODC", 16), ("1", "C3", "DESCONOCIDO", 32), ("1", "C3", "BODC", 64), ("1", "C3", None, 128),
+    ]
+    fact = spark.createDataFrame(rows, "month string, idcontacto string, bodega string, n int").selectExpr(
+        "month", "idcontacto", "bodega", "date'2024-01-01' fecha", "'x' numero", "cast(n as decimal(18,4)) pesokgs", "cast(n as decimal(18,4)) cantidad"
+    )
+    clients = spark.createDataFrame([("C1", "Ana"), ("C2", "Eva"), ("C3", "Ida")], "idcontacto string, descrip string")
+    found, again = [flows.dispatches_by_client(f, clients, 2).collect() for f in (fact, flows.filled_warehouses(fact))]
+    assert sorted(map(repr, found)) == sorted(map(repr, again))
+    assert {(r.client, r.bodega, int(r.cbm)) for r in found} == {("Ana", "BODA", 3), ("Eva", "DESCONOCIDO", 4), ("Ida", "DESCONOCIDO", 32), ("Ida", "BODC", 64)}
