@@ -35,6 +35,8 @@ BASE = 1.5  # of the quantisation
 BITS = 14  # of the filter for each entry
 PROBES = 10  # with these bits, one pair in 800 that was never put in is found
 LEVELS = 60  # 1.5 ** 59 is beyond any count
+SEVERAL = 4  # levels of a pair that a worker keeps once it has found it
+KEPT = 1 << 18  # such pairs, of 9 bytes each
 HELD = 1_000_000  # tokens a task gathers before it sums them
 SHARD_BYTES = 8 << 20  # text bytes for each shard
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -177,6 +179,7 @@ class Model:
     def ready(self) -> Model:
         if self.open:
             return self
+        self.seen, self.seen_level = np.empty(0, "u8"), np.empty(0, "i1")
         wide = max((x[3].dtype for x in self.pieces), default=np.dtype("u4"))
         self.words, self.counts, self.mass = np.empty(self.v, "u8"), np.empty(self.v, wide), np.empty(self.v, wide)
         self.left, self.filter = np.empty(self.v, "u4"), np.empty(sum(len(x[6]) for x in self.pieces), "u1")
@@ -202,23 +205,41 @@ class Model:
         return [np.where(known, x[at], 0).astype(float) for x in (self.counts, self.left, self.mass)]
 
     def level(self, before: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """The quantised count of each pair, by probing level after level until one is missing."""
-        out, todo = np.zeros(len(words), np.int64), np.arange(len(words))
-        keys = pair_key(before, words)
-        shard = (before >> np.uint64(64 - self.bits)).astype(np.int64)
+        """The quantised count of each pair, by probing level after level until one is missing.
+
+        A pair is probed once, however often it is asked for. Pairs of several levels take the most probes and come back
+        in most texts, so their levels are kept for later calls, up to ``KEPT`` pairs.
+        """
+        keys, at, which = np.unique(pair_key(before, words), return_index=True, return_inverse=True)
+        out = np.zeros(len(keys), np.int64)
+        place = np.searchsorted(self.seen, keys)
+        found = self.seen.take(place, mode="clip") == keys if len(self.seen) else np.zeros(len(keys), bool)
+        out[found] = self.seen_level[place[found]]
+        todo = asked = np.flatnonzero(~found)
+        left = keys[todo]
+        shard = (before[at[todo]] >> np.uint64(64 - self.bits)).astype(np.int64)
+        size, begin = self.sizes[shard], self.begins[shard]
         step = np.arange(LEVELS + 1, dtype=np.uint64) * _LEVEL
         for k in range(1, LEVELS + 1):
-            a = mix(keys[todo] + step[k])
+            a = mix(left + step[k])
             b = mix(a ^ _PAIR) | np.uint64(1)
-            size, begin, alive = self.sizes[shard[todo]], self.begins[shard[todo]], np.arange(len(todo))
+            alive, s, first = np.arange(len(todo)), size, begin
             for j in range(PROBES):
-                at = ((a[alive] + np.uint64(j) * b[alive]) % size[alive] + begin[alive]).astype(np.int64)
-                alive = alive[(self.filter[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
-            todo = todo[alive]
+                bit = (a + np.uint64(j) * b) % s + first
+                byte = self.filter.take((bit >> np.uint64(3)).view(np.int64))
+                hit = ((byte >> (~bit.astype(np.uint8) & np.uint8(7))) & np.uint8(1)).view(bool)
+                if not hit.all():
+                    alive, a, b, s, first = (x[hit] for x in (alive, a, b, s, first))
+            if len(alive) < len(todo):
+                todo, left, size, begin = (x[alive] for x in (todo, left, size, begin))
             if not len(todo):
                 break
             out[todo] = k
-        return out
+        new = asked[out[asked] >= SEVERAL][: KEPT - len(self.seen)]
+        if len(new):
+            to = place[new]
+            self.seen, self.seen_level = np.insert(self.seen, to, keys[new]), np.insert(self.seen_level, to, out[new].astype(np.int8))
+        return out[which]
 
     def score(self, column: pa.Array) -> list[np.ndarray]:
         """Tokens, known tokens, base score and model score of each row."""

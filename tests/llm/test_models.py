@@ -99,6 +99,29 @@ def test_filter_keeps_levels_and_grows():
     assert (strange > 0).mean() < 0.03
 
 
+
+def test_a_pair_is_probed_once_and_kept(monkeypatch):
+    import pandas as pd
+
+    words, times = np.array([5, 9], "u8"), np.array([400, 1, 30], "u4")
+    group = pd.DataFrame([{
+        "shard": 0, "words": words.tobytes(), "counts": np.array([401, 30], "u8").tobytes(), "pairs": np.array([2, 1], "u4").tobytes(),
+        "after": np.array([5, 9, 5], "u8").tobytes(), "times": times.tobytes(),
+    }])
+    lm = lm_scoring.Model([lm_scoring.summed(group).iloc[0].to_dict()], 2).ready()
+    probed, real = [], lm_scoring.mix
+    monkeypatch.setattr(lm_scoring, "mix", lambda x: probed.append(len(x)) or real(x))
+    before, after = (np.tile(np.array(x, "u8"), 1000) for x in ([5, 5, 9, 9], [5, 9, 5, 1]))
+    want = np.tile([*lm_scoring.level_of(times), 0], 1000).tolist()
+    for most in (2 * 4 * lm_scoring.LEVELS, 2 * 2 * 2):  # then only the pairs of few levels
+        probed.clear()
+        assert lm.level(before, after).tolist() == want
+        assert sum(probed) <= len(before) + most  # each asked pair is hashed to its key
+    assert lm.seen.tolist() == sorted(lm_scoring.pair_key(np.array([5, 9], "u8"), np.array([5, 5], "u8")).tolist())
+    empty = np.zeros(0, "u8")
+    assert not len(lm.level(empty, empty))
+
+
 def test_probabilities_after_a_word_add_up_to_one(spark):
     import pandas as pd
     import pyarrow as pa
