@@ -246,3 +246,17 @@ def test_filled_rows_have_the_sums_of_unfilled_ones(spark):
     found, again = [flows.dispatches_by_client(f, clients, 2).collect() for f in (fact, flows.filled_warehouses(fact))]
     assert sorted(map(repr, found)) == sorted(map(repr, again))
     assert {(r.client, r.bodega, int(r.cbm)) for r in found} == {("Ana", "BODA", 3), ("Eva", "DESCONOCIDO", 4), ("Ida", "DESCONOCIDO", 32), ("Ida", "BODC", 64)}
+
+
+def test_receipts_are_grouped_for_the_width_only_where_they_are_widest(spark, base, lookups, monkeypatch):
+    report = reports.client_report(load_tables(spark, base), *lookups, "01-01-2024", "31/12/24", "2024-03-01")
+    grouped, real = [], screening.one_per_receipt
+    monkeypatch.setattr(screening, "one_per_receipt", lambda df: grouped.append(1) or real(df))
+    assert report._width == 4 and not grouped
+    rows = [("R1", "2024-01-01", "older-and-wider"), ("R1", "2024-01-02", "newest"), ("R2", "2024-01-01", "C1"), (None, "2024-01-03", "no-receipt-at-all")]
+    given = spark.createDataFrame(rows, "idingreso string, fecha string, idcontacto string").selectExpr(
+        "idingreso", "cast(fecha as timestamp) fecha", "'1' items", "'1' transtatus", "'d' descrip", "idcontacto", "'r' retnum"
+    )
+    report._cleaned = report._cleaned.with_(receipts=given)
+    del report._width
+    assert report._width == len("newest") and grouped
