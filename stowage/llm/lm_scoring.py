@@ -39,6 +39,7 @@ SEVERAL = 4  # levels of a pair that a worker keeps once it has found it
 KEPT = 1 << 18  # such pairs, of 9 bytes each
 HELD = 1_000_000  # tokens a task gathers before it sums them
 SHARD_BYTES = 8 << 20  # text bytes for each shard
+CHUNK_BYTES = 8 << 20  # text bytes of the documents that ask the shards together
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 _LEVEL = np.uint64(0x165667B19E3779F9)
 
@@ -211,14 +212,17 @@ class Model:
         in most texts, so their levels are kept for later calls, up to ``KEPT`` pairs.
         """
         keys, at, which = np.unique(pair_key(before, words), return_index=True, return_inverse=True)
+        return self.levels(keys, (before[at] >> np.uint64(64 - self.bits)).astype(np.int64))[which]
+
+    def levels(self, keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
+        """``level`` of different pairs, by their sorted keys and the shards they are in."""
         out = np.zeros(len(keys), np.int64)
         place = np.searchsorted(self.seen, keys)
         found = self.seen.take(place, mode="clip") == keys if len(self.seen) else np.zeros(len(keys), bool)
         out[found] = self.seen_level[place[found]]
         todo = asked = np.flatnonzero(~found)
         left = keys[todo]
-        shard = (before[at[todo]] >> np.uint64(64 - self.bits)).astype(np.int64)
-        size, begin = self.sizes[shard], self.begins[shard]
+        size, begin = self.sizes[shard[todo]], self.begins[shard[todo]]
         step = np.arange(LEVELS + 1, dtype=np.uint64) * _LEVEL
         for k in range(1, LEVELS + 1):
             a = mix(left + step[k])
@@ -239,7 +243,7 @@ class Model:
         if len(new):
             to = place[new]
             self.seen, self.seen_level = np.insert(self.seen, to, keys[new]), np.insert(self.seen_level, to, out[new].astype(np.int8))
-        return out[which]
+        return out
 
     def score(self, column: pa.Array) -> list[np.ndarray]:
         """Tokens, known tokens, base score and model score of each row."""
@@ -255,12 +259,18 @@ class Model:
         pair = np.zeros(len(tokens))
         some = np.flatnonzero((count > 0) & (mass_before > 0))
         pair[some] = COUNT[self.level(before[some], tokens[some])]
-        weight = np.maximum(t_before, 1.0)
-        total = np.log10((pair + weight * 10.0**own) / (mass_before + weight))
-        sums = lambda x: np.add.reduceat(x, starts[:-1])
-        return [np.diff(starts), sums((count > 0).astype(np.int64)), sums(own), sums(total)]
+        return rated(starts, count, own, pair, mass_before, t_before)
+
+
+def rated(starts: np.ndarray, count: np.ndarray, own: np.ndarray, pair: np.ndarray, mass_before: np.ndarray, t_before: np.ndarray) -> list[np.ndarray]:
+    """Tokens, known tokens, base score and model score of each row, from its tokens' figures."""
+    weight = np.maximum(t_before, 1.0)
+    total = np.log10((pair + weight * 10.0**own) / (mass_before + weight))
+    sums = lambda x: np.add.reduceat(x, starts[:-1])
+    return [np.diff(starts), sums((count > 0).astype(np.int64)), sums(own), sums(total)]
 
 
+SCORED_NAMES = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "entries"]
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, entries long"
 
 
@@ -290,7 +300,7 @@ def score_texts(
     parts = ["words", "counts", "left", "mass", "filter"]
     need = model.agg(*[F.coalesce(F.sum(F.octet_length(p)), F.lit(0)).alias(p) for p in parts], F.coalesce(F.sum("entries"), F.lit(0)).alias("n")).first()
     if sum(need[p] for p in parts) > max_broadcast_mb << 20:
-        return _scored_by_join(thin, model, need["n"])
+        return _scored_by_join(thin, model, bits, need["n"])
     shared = spark.sparkContext.broadcast(Model(model.toLocalIterator(), bits))
     entries = int(need["n"])
 
@@ -301,19 +311,47 @@ def score_texts(
                 n, known, base, total = lm.score(part.column(2))
                 rows = len(n)
                 columns = [part.column(0), part.column(1), n, known, np.full(rows, int(lm.n)), base, total, np.full(rows, entries)]
-                names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "entries"]
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=SCORED_NAMES)
         let_go()
 
     return thin.mapInArrow(score, SCORED)
 
 
-def _scored_by_join(thin: DataFrame, model: DataFrame, entries: int) -> DataFrame:
+ASKED = "chunk long, shard long, words binary, pairs binary"
+TOLD = "chunk long, shard long, counts binary, left binary, mass binary, levels binary"
+
+
+class Asked:
+    """What the texts of a column ask for: their different words, and their different pairs by first and second word.
+
+    Both are sorted, so that the words and pairs of a shard stand together, and the same texts in another order ask
+    for the same. ``word_at`` and ``pair_at`` say which of them each token is.
+    """
+
+    def __init__(self, column: pa.Array, bits: int):
+        self.tokens, before, self.starts = sequences(column)
+        self.words, self.word_at = np.unique(self.tokens, return_inverse=True)
+        order = np.lexsort((self.tokens, before))
+        h, w = before[order], self.tokens[order]
+        first = np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])])
+        self.pair_at = np.empty(len(order), np.int64)
+        self.pair_at[order] = np.cumsum(first) - 1
+        self.pairs = pair_key(h[first], w[first])
+        shift = np.uint64(64 - bits)
+        self.shard_of_words, self.shard_of_pairs = ((x >> shift).astype(np.int64) for x in (self.words, h[first]))
+
+    def of(self, shard: int) -> tuple[slice, slice]:
+        """Where a shard's words and pairs stand."""
+        return tuple(slice(*np.searchsorted(x, [shard, shard + 1])) for x in (self.shard_of_words, self.shard_of_pairs))
+
+
+def _scored_by_join(thin: DataFrame, model: DataFrame, bits: int, entries: int) -> DataFrame:
     """The same scores from joins: for models beyond the broadcast bound.
 
-    Of all pairs that documents ask for, each distinct one is looked up once, in the filter of its first word's shard;
-    the rows of the documents then join the few that were found, a join that can be split at a frequent pair, and the
-    terms are summed per document. So no task holds the rows of a frequent word.
+    Documents are dealt into chunks by a hash of id and text. A chunk asks each shard once for its different words and
+    pairs, as packed arrays; the shard answers with counts, sums and a byte for each pair; and the chunk meets its
+    answers and scores its texts. So a text is shuffled twice and a pair once per chunk, however often it comes, and no
+    row of a token is ever made.
     """
     stats = model.selectExpr("octet_length(words) / 8 as v", "counts")
 
@@ -322,64 +360,51 @@ def _scored_by_join(thin: DataFrame, model: DataFrame, entries: int) -> DataFram
             yield pd.DataFrame({"n": [float(sum(np.frombuffer(c, "u8").sum() for c in b["counts"]))], "v": [int(b["v"].sum())]})
 
     n, v = stats.mapInPandas(totals, "n double, v long").agg(F.coalesce(F.sum("n"), F.lit(0.0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    shards = model.count()
-    top = max(1, shards - 1).bit_length()
-    docs = share(thin.withColumn("row", F.monotonically_increasing_id()), "scored-documents")
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, "_text"):
-                w, h, starts = sequences(part.column(1))
-                row = np.repeat(part.column(0).to_numpy(), np.diff(starts))
-                h[starts[:-1]] = END
-                found = pd.DataFrame({"row": row, "w": w.view(np.int64), "h": h.view(np.int64)})
-                found = found.groupby(["row", "w", "h"], sort=False).size().reset_index(name="n")
-                yield pa.RecordBatch.from_pandas(found, preserve_index=False)
-
-    asked = docs.select("row", "_text").mapInArrow(ask, "row long, w long, h long, n long")
-
-    def open_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for r in b.itertuples():
-                yield pd.DataFrame({
-                    "word": np.frombuffer(r.words, "i8"), "count": np.frombuffer(r.counts, "i8").astype(float),
-                    "left": np.frombuffer(r.left, "i8").astype(float), "mass": np.frombuffer(r.mass, "i8").astype(float),
-                })
-
-    words = model.select("words", "counts", "left", "mass").mapInPandas(open_words, "word long, count double, left double, mass double")
-    words = share(words, "words")
-    of_word = words.select(F.col("word").alias("w"), F.col("count").alias("cw"))
-    of_before = words.select(F.col("word").alias("h"), F.col("mass").alias("mh"), F.col("left").alias("th"))
-    asked = share(asked, "asked-pairs")
-    bits = int(model.agg(F.max("shard")).first()[0] or 0)
-    bits = max(2, bits.bit_length(), top)
-    known = words.select("word")
-    pairs = asked.select("w", "h").distinct()
-    pairs = pairs.join(known.withColumnRenamed("word", "w"), "w", "left_semi").join(known.withColumnRenamed("word", "h"), "h", "left_semi")
-    pairs = pairs.withColumn("shard", F.shiftrightunsigned("h", 64 - bits))
-
-    def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(right) or not len(left):
-            return pd.DataFrame({"w": [], "h": [], "pair": []})
-        lm = Model([right.iloc[0].to_dict()], bits).ready()
-        w, h = (left[c].to_numpy().view(np.uint64) for c in ("w", "h"))
-        found = left.assign(pair=COUNT[lm.level(h, w)])[["w", "h", "pair"]]
-        return found[found["pair"] > 0]
-
-    counted = pairs.groupBy("shard").cogroup(model.groupBy("shard")).applyInPandas(probe, "w long, h long, pair double")
-    counted = share(counted, "pair-counts")
-    told = (
-        asked.join(of_word, "w", "left").join(of_before, "h", "left").join(counted, ["w", "h"], "left")
-        .fillna(0.0, ["cw", "mh", "th", "pair"])
-    )
-    p1 = (F.col("cw") + 0.1) / F.lit(n + 0.1 * (v + 1))
-    weight = F.greatest("th", F.lit(1.0))
-    sums = told.groupBy("row").agg(
-        F.sum("n").alias("n_tokens"), F.sum(F.when(F.col("cw") > 0, F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("n") * F.log10(p1)).alias("base_score"),
-        F.sum(F.col("n") * F.log10((F.col("pair") + weight * p1) / (F.col("mh") + weight))).alias("score"),
-    )
-    return docs.select("row", "doc_id", "held_out").join(sums, "row").select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score",
-        "score", F.lit(int(entries)).cast("long").alias("entries"),
-    )
+    size = thin.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
+    dealt = thin.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "_text"), F.lit(1 + int(size) // CHUNK_BYTES)))
+
+    def binary(rows: list[np.ndarray]) -> pa.Array:
+        return pa.array([x.tobytes() for x in rows], pa.binary())
+
+    def ask(docs: pa.Table) -> pa.Table:
+        of = Asked(docs["_text"].combine_chunks(), bits)
+        shards = np.union1d(of.shard_of_words, of.shard_of_pairs)
+        words, pairs = zip(*map(of.of, shards))
+        return pa.table({
+            "chunk": pa.array([docs["chunk"][0].as_py()] * len(shards), pa.int64()), "shard": pa.array(shards, pa.int64()),
+            "words": binary([of.words[x] for x in words]), "pairs": binary([of.pairs[x] for x in pairs]),
+        })
+
+    def tell(asked: pa.Table, shards: pa.Table) -> pa.Table:
+        if not (asked.num_rows and shards.num_rows):
+            return pa.table({c: pa.array([], pa.int64() if c in ("chunk", "shard") else pa.binary()) for c in ("chunk", "shard", "counts", "left", "mass", "levels")})
+        lm = Model(shards.to_pylist(), bits).ready()
+        words, pairs = ([np.frombuffer(x, "u8") for x in asked[c].to_pylist()] for c in ("words", "pairs"))
+        count, left, mass = lm.find(np.concatenate(words))
+        keys, which = np.unique(np.concatenate(pairs), return_inverse=True)
+        level = lm.levels(keys, np.full(len(keys), shards["shard"][0].as_py()))[which]
+        words_end, pairs_end = (np.cumsum([len(x) for x in some])[:-1] for some in (words, pairs))
+        answers = {"counts": np.split(count.astype("u8"), words_end), "left": np.split(left.astype("u4"), words_end),
+                   "mass": np.split(mass.astype("u8"), words_end), "levels": np.split(level.astype("i1"), pairs_end)}
+        return pa.table({"chunk": asked["chunk"], "shard": asked["shard"]} | {c: binary(x) for c, x in answers.items()})
+
+    def score(docs: pa.Table, told: pa.Table) -> pa.Table:
+        of = Asked(docs["_text"].combine_chunks(), bits)
+        count, left, mass = (np.zeros(len(of.words)) for _ in range(3))
+        level = np.zeros(len(of.pairs), np.int64)
+        for r in told.to_pylist():
+            words, pairs = of.of(r["shard"])
+            count[words], left[words], mass[words] = (np.frombuffer(r[c], k) for c, k in (("counts", "u8"), ("left", "u4"), ("mass", "u8")))
+            level[pairs] = np.frombuffer(r["levels"], "i1")
+        own = np.log10((count + 0.1) / (n + 0.1 * (v + 1)))[of.word_at]
+        before = np.concatenate([of.word_at[-1:], of.word_at[:-1]])  # every row closes with an end token, also the last
+        mass_before, t_before, known = mass[before], left[before], count[of.word_at]
+        pair = np.where((known > 0) & (mass_before > 0), COUNT[level[of.pair_at]], 0.0)
+        rows = len(of.starts) - 1
+        columns = [docs["doc_id"], docs["held_out"], *map(pa.array, rated(of.starts, known, own, pair, mass_before, t_before))]
+        columns[4:4] = [pa.array(np.full(rows, int(n)))]
+        return pa.table(dict(zip(SCORED_NAMES, [*columns, pa.array(np.full(rows, int(entries)))])))
+
+    asked = dealt.groupBy("chunk").applyInArrow(ask, ASKED)
+    told = share(asked.groupBy("shard").cogroup(model.groupBy("shard")).applyInArrow(tell, TOLD), "pair-counts")
+    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(score, SCORED)

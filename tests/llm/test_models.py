@@ -79,6 +79,18 @@ def test_scores_without_training_rows(make):
     assert score_texts(make([])).count() == 0
 
 
+def test_scores_by_join_are_asked_in_chunks_and_make_no_row_of_a_token(make, monkeypatch):
+    rng = random.Random(3)
+    rows = [(k if k % 9 else None, " ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(rng.randrange(200))), "s") for k in range(1 << 53, (1 << 53) + 300)]
+    stored, real = [], lm_scoring.share
+    monkeypatch.setattr(lm_scoring, "share", lambda df, name: stored.append(real(df, name)) or stored[-1])
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 1 << 14)
+    check_scores(make(rows), max_broadcast_mb=0)
+    told = stored[-1].selectExpr("count(distinct chunk) chunks", "count(*) n").first()
+    assert told.chunks > 3 and told.n <= 4 * told.chunks  # four shards, so at most one answer of each to a chunk
+    assert max(df.count() for df in stored) <= 4 * told.chunks
+
+
 def test_filter_keeps_levels_and_grows():
     rng = np.random.default_rng(1)
     words, before = rng.integers(0, 2**63, 4000, dtype=np.uint64), rng.integers(0, 2**63, 4000, dtype=np.uint64)
