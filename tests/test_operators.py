@@ -1,10 +1,12 @@
 import datetime as dt
 import random
+import re
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from stowage.functions.dates import coerce_dates
 from stowage.operators import first, focus, intervals, lookup, series, totals
 from stowage.plans.quality import fill_counts, handle_unknown_warehouse
 
@@ -238,3 +240,39 @@ def test_exclude_keeps_null(spark):
     df = spark.createDataFrame([("5",), ("1",), (None,)], "s string")
     assert rows(focus.exclude(df, "s", ["5", "9"])) == [("1",), (None,)]
     assert rows(focus.list_entities(spark.createDataFrame([("1", "a"), ("1", "a")], "idcontacto string, descrip string"))) == [("1", "a")]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """Joins by shuffle; gives how many shuffles a plan ran, each that was read again counted once."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for n in names:
+        spark.conf.set(n, "-1")
+
+    def ran(df):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan[: plan.index("== Initial Plan ==")]
+        return len(re.findall(r"(?<!Reused)Exchange hashpartitioning", final)), plan
+
+    yield ran
+    for n in names:
+        spark.conf.unset(n)
+
+
+def test_expand_shuffles_the_heads_once(spark, shuffled_joins, tmp_path):
+    """Also where a date that is one already is made one once more."""
+    spark.sql("select * from values ('1', 1), ('2', 2), (null, 3) as t(k, n)").selectExpr("k", "n", "timestamp'2024-01-01 00:00:00' d").write.parquet(f"{tmp_path}/heads")
+    items = spark.createDataFrame([("1", i) for i in range(5)] + [(None, 9)], "k string, i int")
+    heads = first.latest_per_key(coerce_dates(spark.read.parquet(f"{tmp_path}/heads"), "d"), ["k"], "d")
+    df = lookup.expand(heads, items, "k")
+    assert sorted((r.k or "", r.n, r.i or 0) for r in df.collect()) == [("", 3, 0), *[("1", 1, i) for i in range(5)], ("2", 2, 0)]
+    n, plan = shuffled_joins(df)
+    assert n <= 6 and "ReusedExchange" in plan, plan  # heads by hash and by key, unkeyed heads, items, keys
+
+
+def test_a_join_of_tables_dealt_by_one_hash_needs_no_shuffle(spark, shuffled_joins):
+    df = spark.range(100).selectExpr("cast(id % 7 as string) k", "id")
+    newest = first.latest_per_key(df, ["k"], "id", apart="_apart")
+    n, plan = shuffled_joins(newest.join(lookup.grouped_apart(df, ["k"], F.count("*").alias("rows"), apart="_apart"), ["_apart", "k"]))
+    assert n == 2, plan

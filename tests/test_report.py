@@ -260,3 +260,14 @@ def test_receipts_are_grouped_for_the_width_only_where_they_are_widest(spark, ba
     report._cleaned = report._cleaned.with_(receipts=given)
     del report._width
     assert report._width == len("newest") and grouped
+
+
+def test_a_bill_of_receipts_stores_what_it_reads_and_no_rows_on_hand(spark, base, lookups):
+    stored = session._SHARED.setdefault(spark.sparkContext.applicationId, [])
+    got = reports.client_report(load_tables(spark, base), *lookups, "01-01-2024", "31/12/24", "2024-03-01", official="salidas")
+    before = len(stored)
+    assert got.billing_inflow.count()
+    names = [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in stored[before:]]
+    assert sorted(names) == ["receipts", "received"]
+    assert set(got._received.columns) == {*flows.RECEIVED, "salidas"}
+    assert got._dispatched.columns == flows.DISPATCHED

@@ -1,8 +1,10 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from stowage import session
 from stowage.plans import billing
 from stowage.session import share, shared_dir
 from stowage.sources import extracts, lookups, sinks
@@ -85,6 +87,21 @@ def test_share_writes_a_table_in_the_shared_folder(spark):
     assert df.count() == 10 and all(shared_dir(spark) in f for f in df.inputFiles())
 
 
+def test_share_leaves_no_shuffle_files(spark):
+    import glob
+
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for d in manager.localDirsString() for f in glob.glob(f"{d}/*/shuffle_*")}
+    before = files()
+    setting = spark.conf.get(session.CLEAN_UP, None)
+    df = share(spark.range(1000).groupBy(F.col("id") % 7).count(), "sevens")
+    deadline = time.time() + 20
+    while files() - before and time.time() < deadline:
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(session.CLEAN_UP, None) == setting
+    assert df.count() == 7 and all(f.endswith(".zstd.parquet") for f in df.inputFiles())
+
+
 def test_first_override_line_wins(spark, tmp_path):
     path = write(tmp_path, "override.csv", "idmodelo,mode_count", "M1 ,3", "M1,9", "M2,1", "M3,x")
     mode = spark.createDataFrame([("M1", 2), ("M2", 4), ("M4", 5)], "idmodelo string, mode_count long")

@@ -3,6 +3,7 @@
 import pytest
 
 from catalog import queries, views
+from stowage.plans import flows
 from stowage.session import clear_shared
 
 
@@ -22,6 +23,7 @@ def odd(spark, tmp_path):
     spark.sql("select * from values (7, 'Ana'), (8, 'Eva'), (9, 'Eva'), (null, 'Ida') as t(c_custkey, c_name)").selectExpr(
         "cast(c_custkey as long) c_custkey", "c_name", "1 c_nationkey", "1D c_acctbal", "'m' c_mktsegment"
     ).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("select 1L s_suppkey, 'n' s_name, 1 s_nationkey, 1D s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
     return str(tmp_path)
 
 
@@ -39,3 +41,26 @@ def test_a_report_query_reads_no_files_of_another(spark, odd):
     clear_shared(spark)
     again = queries.QUERIES["stored_report_dispatches"](spark, odd).collect()
     assert first and sorted(map(repr, first)) == sorted(map(repr, again))
+
+
+def test_days_of_levels_are_stored_once(spark, odd, monkeypatch):
+    stored, real = [], queries.share
+    monkeypatch.setattr(queries, "share", lambda df, name: stored.append(name) or real(df, name))
+    plan = queries.QUERIES["level_from_months"](spark, odd)._jdf.queryExecution().optimizedPlan().toString()
+    assert stored == ["client-days"] and "l_orderkey" not in plan
+
+
+def test_extracts_are_written_packed(spark, odd, monkeypatch):
+    written, real = [], queries.load_tables
+    monkeypatch.setattr(queries, "load_tables", lambda s, base, **kw: written.append(base) or real(s, base, **kw))
+    queries.QUERIES["loaded_and_prepared"](spark, odd)
+    files = spark.read.format("binaryFile").load(f"{written[0]}/*.csv").select("path").collect()
+    assert files and all(f.path.endswith(".csv.gz") for f in files)
+
+
+def test_pallet_modes_store_no_rows_on_hand(spark, odd, monkeypatch):
+    stored, real = [], queries.share
+    monkeypatch.setattr(queries, "share", lambda df, name: stored.append((name, df.columns)) or real(df, name))
+    queries.QUERIES["report_daily_level"](spark, odd)
+    assert {name for name, _ in stored} == {"received", "dispatched", "pallet-modes"}
+    assert dict(stored)["received"] == flows.RECEIVED
