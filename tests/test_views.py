@@ -62,5 +62,5 @@ def test_pallet_modes_store_no_rows_on_hand(spark, odd, monkeypatch):
     stored, real = [], queries.share
     monkeypatch.setattr(queries, "share", lambda df, name: stored.append((name, df.columns)) or real(df, name))
     queries.QUERIES["report_daily_level"](spark, odd)
-    assert {name for name, _ in stored} == {"received", "dispatched", "pallet-modes"}
+    assert {name for name, _ in stored} == {"receipts", "received", "dispatched", "pallet-modes"} and len(stored) == 4
     assert dict(stored)["received"] == flows.RECEIVED
